@@ -1,0 +1,155 @@
+"""Structured Streaming: bronze, silver and gold queries and the ways to run them."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tidewater.functions import parse_ts
+from tidewater.operators.clean import clean_ts
+from tidewater.operators.enrich import enrich_zones
+from tidewater.operators.gold import gold_zone_hour_window
+from tidewater.sources.records import with_record_meta
+
+
+# -- running -----------------------------------------------------------------
+
+
+def _writer(df: DataFrame, checkpoint: str, trigger: str | None, mode: str = "append"):
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if trigger is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=trigger)
+
+
+def stream_append(
+    df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+    partition_by: tuple[str, ...] = (), name: str | None = None,
+) -> StreamingQuery:
+    """Start appending a stream to a Parquet folder.
+
+    Without a trigger interval the query takes all data that is there and ends;
+    started again on its checkpoint it goes on behind what it took.
+    """
+    writer = _writer(df, checkpoint, trigger).format("parquet").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if name:
+        writer = writer.queryName(name)
+    return writer.start()
+
+
+def stream_to_table(df: DataFrame, table: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Start appending a stream to a catalog table."""
+    return _writer(df, checkpoint, trigger).toTable(table)
+
+
+def stream_to_memory(
+    df: DataFrame, name: str, checkpoint: str | None = None, mode: str = "append", trigger: str | None = None
+) -> StreamingQuery:
+    """Start a stream into an in-memory table, to look at it by SQL.
+
+    The rows end up in the driver, so this is for a glance at a stream, not for data.
+    """
+    for query in df.sparkSession.streams.active:
+        if query.name == name:
+            query.stop()
+    writer = df.writeStream.outputMode(mode)
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    return writer.format("memory").queryName(name).start()
+
+
+def run_once(df: DataFrame, path: str, checkpoint: str, **options) -> None:
+    """Append all data that is there, and wait for it."""
+    stream_append(df, path, checkpoint, **options).awaitTermination()
+
+
+def stop(spark: SparkSession, name: str) -> None:
+    """Stop the active query of a name."""
+    for query in spark.streams.active:
+        if query.name == name:
+            query.stop()
+
+
+# -- layers ------------------------------------------------------------------
+
+
+def bronze_stream(records: DataFrame) -> DataFrame:
+    """Payload as text beside the record's place in the log."""
+    return with_record_meta(records)
+
+
+def parse_json_payload(df: DataFrame, schema: StructType | str, value: str = "value") -> DataFrame:
+    """The fields of a JSON payload, typed by a declared schema, in place of the payload.
+
+    A field that does not fit its type is NULL; names match by case.
+    """
+    keep = [c for c in df.columns if c != value]
+    return df.select(*keep, F.from_json(F.col(value).cast("string"), schema).alias("d")).select(*keep, "d.*")
+
+
+def dedup_stream(
+    df: DataFrame,
+    keys: list[str],
+    ts: str | None = None,
+    delay: str | None = None,
+    salt: Column | None = None,
+    salts: int = 32,
+) -> DataFrame:
+    """The first row of each key in a stream.
+
+    With a delay the state stays bounded. If the event time is part of the key,
+    its copies share one time and are dropped as long as they are not later than
+    the delay; otherwise a key is remembered for the delay after its first row.
+    Without a delay every key is remembered for good.
+
+    All copies of a key meet in one state partition. For keys with very many
+    copies give a ``salt`` that differs between copies, such as the log offset:
+    a first pass then drops copies within ``salts`` sub-keys, and the second pass
+    sees at most that many rows per key.
+    """
+    if delay is not None:
+        df = df.withWatermark(ts, delay)
+
+    def first(rows: DataFrame, by: list[str]) -> DataFrame:
+        if delay is not None and ts not in keys:
+            return rows.dropDuplicatesWithinWatermark(by)
+        return rows.dropDuplicates(by)
+
+    if salt is not None:
+        df = first(df.withColumn("__salt", F.pmod(F.hash(salt), F.lit(salts))), [*keys, "__salt"]).drop("__salt")
+    return first(df, keys)
+
+
+def silver_stream(
+    bronze: DataFrame,
+    zones: DataFrame,
+    schema: StructType | str,
+    keys: list[str],
+    pickup: str = "tpep_pickup_datetime",
+    dropoff: str = "tpep_dropoff_datetime",
+    delay: str | None = None,
+    salt: Column | None = None,
+    **lookup,
+) -> DataFrame:
+    """Parse, drop rows without times, deduplicate, look zones up."""
+    parsed = parse_json_payload(bronze, schema)
+    timed = clean_ts(
+        parsed.withColumns({"pickup_ts": parse_ts(pickup), "dropoff_ts": parse_ts(dropoff)}).drop(pickup, dropoff)
+    )
+    return enrich_zones(dedup_stream(timed, keys, "pickup_ts", delay, salt), zones, **lookup)
+
+
+def gold_stream(
+    silver: DataFrame, delay: str, zone: str = "pickup_zone", ts: str = "pickup_ts", fare: str = "fare_amount"
+) -> DataFrame:
+    """Trips and average fare per zone and hour, each window once it is closed.
+
+    A window closes when the newest time seen is more than the delay past its
+    end. Rows that come later than that are not counted.
+    """
+    return gold_zone_hour_window(silver.withWatermark(ts, delay), zone, ts, fare)
