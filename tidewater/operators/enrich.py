@@ -33,8 +33,8 @@ def _role(zones: DataFrame, key: str, names: dict[str, str], role: str) -> DataF
 def enrich_zones(
     trips: DataFrame,
     zones: DataFrame,
-    pickup: str = "PULocationID",
-    dropoff: str = "DOLocationID",
+    pickup: str | None = "PULocationID",
+    dropoff: str | None = "DOLocationID",
     key: str = "LocationID",
     names: dict[str, str] | None = None,
     hint: bool = True,
@@ -42,7 +42,8 @@ def enrich_zones(
     """Look one zone table up twice, as the pickup and as the dropoff zone.
 
     Trips without a match keep NULL names. ``names`` maps zone columns to the
-    suffix they get behind ``pickup_`` and ``dropoff_``. With ``hint`` the zone
+    suffix they get behind ``pickup_`` and ``dropoff_``. A role without a column is
+    left out. With ``hint`` the zone
     table is broadcast if it passes the size check; otherwise, and beyond the
     bounds, Spark picks the join by its own statistics and splits hot zones.
     Works on streams as well, with a static zone table.
@@ -53,6 +54,8 @@ def enrich_zones(
     is_small = hint and fits_broadcast(lookup)
     out = trips
     for role, col in (("pickup", pickup), ("dropoff", dropoff)):
+        if col is None:
+            continue
         side = _role(lookup, key, names, role)
         out = out.join(
             F.broadcast(side) if is_small else side, out[col] == side[f"__{role}"], "left"

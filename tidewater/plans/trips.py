@@ -44,7 +44,7 @@ def months_per_file(trips: DataFrame, ts: str, n: int | None) -> DataFrame:
 
 def ingest_inbox(
     spark: SparkSession,
-    inbox: str,
+    inbox_glob: str,
     manifest: str,
     out: str,
     zones: DataFrame,
@@ -54,14 +54,14 @@ def ingest_inbox(
     trip: Trip = TRIP,
     **lookup,
 ) -> int:
-    """Process the inbox files that the manifest does not list; returns how many.
+    """Process the files under a glob that the manifest does not list; returns how many.
 
     All new files are one job. Output is partitioned by file and replaces that
     partition, so a run that died between the write and the manifest is simply
     repeated and leaves no second copy. File names come to the driver, which
     needs them to plan the scan anyway; rows do not.
     """
-    todo = new_files(list_files(spark, f"{inbox}/*.parquet"), read_manifest(spark, manifest))
+    todo = new_files(list_files(spark, inbox_glob), read_manifest(spark, manifest))
     found = todo.select("file_name", "path").collect()
     if not found:
         return 0

@@ -134,6 +134,8 @@ def silver_stream(
     dropoff: str = "tpep_dropoff_datetime",
     delay: str | None = None,
     salt: Column | None = None,
+    pickup_zone: str | None = "PULocationID",
+    dropoff_zone: str | None = "DOLocationID",
     **lookup,
 ) -> DataFrame:
     """Parse, drop rows without times, deduplicate, look zones up."""
@@ -141,7 +143,8 @@ def silver_stream(
     timed = clean_ts(
         parsed.withColumns({"pickup_ts": parse_ts(pickup), "dropoff_ts": parse_ts(dropoff)}).drop(pickup, dropoff)
     )
-    return enrich_zones(dedup_stream(timed, keys, "pickup_ts", delay, salt), zones, **lookup)
+    unique = dedup_stream(timed, keys, "pickup_ts", delay, salt)
+    return enrich_zones(unique, zones, pickup_zone, dropoff_zone, **lookup)
 
 
 def gold_stream(
