@@ -24,7 +24,7 @@ def _empty(spark: SparkSession) -> DataFrame:
 
 
 def _mirror(spark: SparkSession, sf: str) -> DataFrame:
-    return apply_changes(_empty(spark), _events(spark, sf), "id", ["id", "name", "cents"])
+    return apply_changes(_empty(spark), _events(spark, sf), "id", ["name", "cents"])
 
 
 @query("parse_cdc", f"""
@@ -122,7 +122,7 @@ def merge_cdc(spark: SparkSession, sf: str) -> DataFrame:
     """The log in two batches: the second one updates, deletes and adds rows of the first one's mirror."""
     events = _events(spark, sf)
     half = F.lit("2024-01-16").cast("timestamp")
-    values = ["id", "name", "cents"]
+    values = ["name", "cents"]
     first = apply_changes(_empty(spark), events.filter(F.col("timestamp") < half), "id", values)
     return apply_changes(first, events.filter(F.col("timestamp") >= half), "id", values)
 
@@ -130,7 +130,7 @@ def merge_cdc(spark: SparkSession, sf: str) -> DataFrame:
 @query("cdc_reapply", _MIRROR_SQL)
 def cdc_reapply(spark: SparkSession, sf: str) -> DataFrame:
     """Applying a log to the mirror it made changes nothing."""
-    return apply_changes(_mirror(spark, sf), _events(spark, sf), "id", ["id", "name", "cents"])
+    return apply_changes(_mirror(spark, sf), _events(spark, sf), "id", ["name", "cents"])
 
 
 @query("reconcile", f"""

@@ -183,7 +183,7 @@ CDC_SQL = """
 cdc as (
   select user_id as id, event_type as name, cast(round(value * 100) as bigint) as cents,
          case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end as op,
-         epoch_ms(ts) as ts_ms, event_id as lsn
+         epoch_us(ts) // 1000 as ts_ms, event_id as lsn
   from events
 ),
 latest as (
