@@ -29,12 +29,12 @@ ELEMENTS = "array<struct<cls:string,text:string,bounds:array<int>>>"
 # -- trees -------------------------------------------------------------------
 
 
-def flatten_tree(df: DataFrame, key: str, tree: str = "tree") -> DataFrame:
-    """Rows (key, elements): the nodes of each UI tree in depth-first order, parents first.
+def tree_elements(tree: Column | str) -> Column:
+    """The nodes of a UI tree in JSON, in depth-first order with parents first.
 
     Nodes without text and class are left out but their children are not. The
-    walk starts at ``activity.root`` where there is one. A document that is not
-    JSON gives NULL. Depth is not bounded, so this is a loop in Arrow batches.
+    walk starts at ``activity.root`` where there is one. A text that is not JSON
+    gives NULL. Depth is not bounded, so this is a loop in Arrow batches.
     """
 
     def walk(raw: str | None) -> list[dict] | None:
@@ -57,12 +57,17 @@ def flatten_tree(df: DataFrame, key: str, tree: str = "tree") -> DataFrame:
             todo += below[::-1] if isinstance(below, list) else []
         return found
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(ELEMENTS)
+    def elements(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.DataFrame({key: part[key], "elements": [walk(raw) for raw in part[tree]]})
+            yield part.map(walk)
+
+    return elements(tree)
 
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(key, tree).mapInPandas(batches, f"`{key}` {kind}, elements {ELEMENTS}")
+
+def flatten_tree(df: DataFrame, key: str, tree: str = "tree") -> DataFrame:
+    """Rows (key, elements) of :func:`tree_elements`."""
+    return df.select(key, tree_elements(tree).alias("elements"))
 
 
 def screen_text(elements: Column | str) -> Column:
@@ -84,6 +89,24 @@ def screen_text(elements: Column | str) -> Column:
 # -- models ------------------------------------------------------------------
 
 
+def encoded(content: Column | str, encoder: Callable[[], Callable[[list], np.ndarray]]) -> Column:
+    """Unit-length vectors of bytes or texts."""
+
+    def vectors(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = encoder()
+        for part in parts:
+            if part.empty:
+                yield pd.Series([], dtype=object)
+                continue
+            raw = np.asarray(encode(part.tolist()), dtype="float64")
+            norms = np.sqrt((raw * raw).sum(axis=1, keepdims=True))
+            unit = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0)
+            yield pd.Series(list(unit.astype("float32")))
+
+    # Not deterministic to the optimizer, so that it never runs a model twice.
+    return F.pandas_udf(vectors, "array<float>", F.PandasUDFType.SCALAR_ITER).asNondeterministic()(content)
+
+
 def embed(
     df: DataFrame,
     key: str,
@@ -94,40 +117,19 @@ def embed(
     model_version: str,
     run_id: str | None = None,
 ) -> DataFrame:
-    """Unit-length embeddings of bytes or texts, with the hash of what was encoded.
+    """Embedding rows with the hash of what was encoded.
 
-    The hash is taken by Spark; only the vectors come back from Python.
+    Only the content goes to Python and only the vectors come back; the key and
+    the hash stay in Spark.
     """
-
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder()
-        for part in parts:
-            if part.empty:
-                continue
-            vectors = np.asarray(encode(part[content].tolist()), dtype="float64")
-            norms = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-            unit = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
-            yield pd.DataFrame(
-                {
-                    key: part[key],
-                    "source_fingerprint": part["source_fingerprint"],
-                    "embedding": list(unit.astype("float32")),
-                }
-            )
-
-    fields = df.select(key, content, fingerprint(content).alias("source_fingerprint"))
-    key_type = df.schema[key].dataType.simpleString()
-    vectors = fields.mapInPandas(
-        batches, f"`{key}` {key_type}, source_fingerprint string, embedding array<float>"
-    )
-    return vectors.select(
+    return df.select(
         key,
         F.lit(model_name).alias("model_name"),
         F.lit(model_version).alias("model_version"),
         F.lit(kind).alias("embedding_kind"),
-        "embedding",
+        encoded(content, encoder).alias("embedding"),
         F.lit(run_id).cast("string").alias("run_id"),
-        "source_fingerprint",
+        fingerprint(content).alias("source_fingerprint"),
     )
 
 
@@ -143,37 +145,40 @@ def not_embedded(
     return df.join(same.select(key), key, "left_anti")
 
 
-def extract(
+def generated(prompt: Column, generator: Callable[[], Callable[[list[str]], list[str]]]) -> Column:
+    """The model's output for each prompt."""
+
+    def outputs(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        generate = generator()
+        for part in parts:
+            yield pd.Series(generate(part.tolist()), dtype=object)
+
+    return F.pandas_udf(outputs, "string", F.PandasUDFType.SCALAR_ITER).asNondeterministic()(prompt)
+
+
+def with_extraction(
     df: DataFrame,
-    key: str,
     text: Column | str,
     generator: Callable[[], Callable[[list[str]], list[str]]],
     prompt: str = PROMPT,
     prompt_version: str = PROMPT_VERSION,
 ) -> DataFrame:
-    """Model output per row: output, prompt_version, confidence and the hash of the text.
+    """Rows with output, confidence, parsed, prompt_version and the hash of the text.
 
     The confidence is read from the output; 0.0 if the output is not such JSON.
     """
     body = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    made = df.withColumn("output", generated(F.concat(F.lit(prompt), body), generator))
+    return parse_output(made).withColumns(
+        {"prompt_version": F.lit(prompt_version), "source_fingerprint": fingerprint(body)}
+    )
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generate = generator()
-        for part in parts:
-            yield pd.DataFrame(
-                {
-                    key: part[key],
-                    "source_fingerprint": part["source_fingerprint"],
-                    "output": generate(part["prompt"].tolist()),
-                }
-            )
 
-    asked = df.select(
-        key, F.concat(F.lit(prompt), body).alias("prompt"), fingerprint(body).alias("source_fingerprint")
+def extract(df: DataFrame, key: str, text: Column | str, generator: Callable, **options) -> DataFrame:
+    """The columns of :func:`with_extraction` beside the key."""
+    return with_extraction(df, text, generator, **options).select(
+        key, "source_fingerprint", "output", "confidence", "parsed", "prompt_version"
     )
-    key_type = df.schema[key].dataType.simpleString()
-    made = asked.mapInPandas(batches, f"`{key}` {key_type}, source_fingerprint string, output string")
-    return parse_output(made).withColumn("prompt_version", F.lit(prompt_version))
 
 
 def parse_output(made: DataFrame, output: str = "output") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import latest_per_key
 from tidewater.operators.merge import merge_upsert
+from tidewater.session import staged
 
 LEDGER_SCHEMA = "table_name string, execution_date date, snapshot_id bigint, recorded_at timestamp"
 COMMIT_SCHEMA = "snapshot_id bigint, committed_at timestamp, seq bigint"
@@ -119,31 +120,38 @@ def latest_snapshot(commits: DataFrame) -> DataFrame:
     return commits.orderBy(F.desc("committed_at"), F.desc("seq")).select("snapshot_id").limit(1)
 
 
+def _head(spark: SparkSession, root: str) -> tuple[int | None, int, int]:
+    """The current snapshot, the highest snapshot id and the number of commits so far."""
+    row = snapshots(spark, root).agg(
+        F.max_by("snapshot_id", "seq").alias("now"),
+        F.coalesce(F.max("snapshot_id"), F.lit(0)).alias("top"),
+        F.coalesce(F.max("seq"), F.lit(0)).alias("seq"),
+    ).first()
+    return row["now"], row["top"], row["seq"]
+
+
 def current_snapshot_id(spark: SparkSession, root: str) -> int | None:
     """The snapshot readers see now."""
-    row = latest_snapshot(snapshots(spark, root)).first()
-    return None if row is None else row["snapshot_id"]
+    return _head(spark, root)[0]
 
 
-def _commit(spark: SparkSession, root: str, snapshot_id: int) -> None:
-    last = snapshots(spark, root).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-    row = spark.createDataFrame([(snapshot_id, last + 1)], "snapshot_id bigint, seq bigint")
+def _commit(spark: SparkSession, root: str, snapshot_id: int, seq: int) -> None:
+    row = spark.createDataFrame([(snapshot_id, seq)], "snapshot_id bigint, seq bigint")
     row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
         f"{root}/commits"
     )
 
 
-def next_snapshot_id(spark: SparkSession, root: str) -> int:
-    """An id above all committed ones."""
-    return snapshots(spark, root).agg(F.coalesce(F.max("snapshot_id"), F.lit(0))).first()[0] + 1
-
-
 def commit_state(spark: SparkSession, root: str, state: DataFrame) -> int:
-    """Write a whole state under a new snapshot id, then make it current."""
-    snapshot_id = next_snapshot_id(spark, root)
-    state.write.mode("overwrite").parquet(f"{root}/states/snapshot_id={snapshot_id}")
-    _commit(spark, root, snapshot_id)
-    return snapshot_id
+    """Write a whole state under a new snapshot id, then make it current.
+
+    A table has one writer at a time. What a failed attempt left under the id is
+    replaced by the next one.
+    """
+    _, top, seq = _head(spark, root)
+    state.write.mode("overwrite").parquet(f"{root}/states/snapshot_id={top + 1}")
+    _commit(spark, root, top + 1, seq + 1)
+    return top + 1
 
 
 def state_at(spark: SparkSession, root: str, snapshot_id: int) -> DataFrame:
@@ -153,7 +161,7 @@ def state_at(spark: SparkSession, root: str, snapshot_id: int) -> DataFrame:
 
 def rollback(spark: SparkSession, root: str, snapshot_id: int) -> None:
     """Make an older snapshot current again. No data is rewritten."""
-    _commit(spark, root, snapshot_id)
+    _commit(spark, root, snapshot_id, _head(spark, root)[2] + 1)
 
 
 def rollback_table(spark: SparkSession, table: str, snapshot_id: int) -> None:
@@ -176,17 +184,18 @@ def stateful_merge(
     spark: SparkSession, root: str, source: DataFrame, keys: list[str], table: str,
     execution_date: date, ledger_path: str,
 ) -> int:
-    """Go back to the snapshot before the date, merge the source, record the new snapshot.
+    """Merge into the snapshot before the date, and record the new snapshot.
 
     A backfill for an older date thereby starts from what the table was before
-    that date. If the merge fails, nothing is recorded and the ledger is as before.
+    that date; without an earlier one it starts from the current state. Nothing
+    becomes visible before the merge is written, so if it fails the table and the
+    ledger are as before.
     """
     base = get_snapshot_before(read_ledger(spark, ledger_path), table, execution_date)
-    if base is not None:
-        rollback(spark, root, base)
-    else:
+    if base is None:
         base = current_snapshot_id(spark, root)
-    target = source.limit(0) if base is None else state_at(spark, root, base)
-    snapshot_id = commit_state(spark, root, merge_upsert(target, source, keys))
+    batch = staged(source, "source")
+    target = batch.limit(0) if base is None else state_at(spark, root, base)
+    snapshot_id = commit_state(spark, root, merge_upsert(target, batch, keys))
     record_snapshot(spark, ledger_path, table, execution_date, snapshot_id)
     return snapshot_id

@@ -1,10 +1,12 @@
 """Merge, upsert, insert-if-absent, keyed update and delete, as plain joins.
 
-Each function returns the new state of a target. The target is never shuffled
+Each function returns the new state of a target. The target is not shuffled
 when the change set is small: it is left-joined to the changes, which Spark
 broadcasts below its size threshold, and only the target's key column is read a
 second time, to see which changes hit. When both sides are large these are
-shuffle joins in which AQE can split a hot key of the target.
+shuffle joins in which AQE can split a hot key of the target. The changes are
+read by several branches, so a change set that took work to compute should be
+passed through :func:`tidewater.session.staged` first.
 
 A NULL in a key matches nothing, as in SQL.
 """
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.dedup import dedup
+from tidewater.operators.dedup import dedup, keys_over
 
 
 def _no_null(keys: list[str]) -> Column:
@@ -24,21 +26,11 @@ def _no_null(keys: list[str]) -> Column:
     return cond
 
 
-def one_row_per_key(df: DataFrame, keys: list[str], what: str = "merge source") -> DataFrame:
-    """The rows unchanged, or an error while the query runs if a key repeats.
-
-    Copies are counted by a partial aggregate before the shuffle.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest) if rest else F.struct(F.lit(1).alias("__one"))
-    packed = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.any_value(row).alias("__row"))
-    names = ", ".join(keys)
-    single = F.when(F.col("__n") == 1, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"{what} repeats a value of ({names})")).cast("boolean")
-    )
-    return packed.filter(single).select(
-        *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]
-    )
+def require_unique(df: DataFrame, keys: list[str], what: str = "merge source") -> None:
+    """Raise if a key repeats. Reads the key columns and brings one row to the driver."""
+    twice = keys_over(df.filter(_no_null(keys)), keys).limit(1).collect()
+    if twice:
+        raise ValueError(f"{what} repeats the key {[twice[0][k] for k in keys]} of {keys}")
 
 
 def _hits(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,16 +68,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: b
     A source that repeats a key is refused, since it does not say which row
     should win. ``check=False`` is for sources known to be unique.
     """
-    keyed = source.filter(_no_null(keys))
     if check:
-        keyed = one_row_per_key(keyed, keys)
-    joined, hit = _matched(target, keyed, keys)
+        require_unique(source, keys)
+    joined, hit = _matched(target, source, keys)
     kept = joined.select(
         *[F.when(hit, F.col(f"__s.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns]
     )
-    added = keyed.join(_hits(target, keyed, keys), keys, "left_anti").select(*target.columns)
-    unkeyed = source.filter(~_no_null(keys)).select(*target.columns)
-    return kept.unionByName(added).unionByName(unkeyed)
+    added = source.join(_hits(target, source, keys), keys, "left_anti")
+    return kept.unionByName(added.select(*target.columns))
 
 
 def merge_cdc(
@@ -97,16 +87,19 @@ def merge_cdc(
     op: str = "op",
     deletes: tuple[str, ...] = ("d",),
     upserts: tuple[str, ...] = ("c", "u", "r"),
+    check: bool = True,
 ) -> DataFrame:
     """Apply change events, one per key, to a current-state table.
 
     ``values`` maps target columns to change columns. A delete of a key that is
     not there does nothing, and other kinds of events leave a row as it is.
+    ``check=False`` is for events already reduced to one per key.
     """
     batch = changes.filter(F.col(change_key).isNotNull()).select(
         F.col(change_key).alias(key), F.col(op).alias("__op"), *[F.col(c).alias(t) for t, c in values.items()]
     )
-    batch = one_row_per_key(batch, [key], "change batch")
+    if check:
+        require_unique(batch, [key], "change batch")
     joined, _ = _matched(target, batch, [key])
     kind = F.coalesce(F.col("__s.__op"), F.lit(""))
     kept = joined.filter(~kind.isin(*deletes)).select(
@@ -144,9 +137,8 @@ def absent_rows(
 
 def update_by_key(target: DataFrame, patch: DataFrame, key: str, check: bool = True) -> DataFrame:
     """Set the patch's columns on target rows of the same key; rows without a patch stay."""
-    patch = patch.filter(F.col(key).isNotNull())
     if check:
-        patch = one_row_per_key(patch, [key], "patch")
+        require_unique(patch, [key], "patch")
     joined, hit = _matched(target, patch, [key])
     return joined.select(
         *[

@@ -37,8 +37,8 @@ def finish_run(runs: DataFrame, run_id: str, ended_at: Column | None = None, sta
 
 
 def finish_runs(runs: DataFrame, ends: DataFrame) -> DataFrame:
-    """The registry with every run ended that ``ends`` (run_id, ended_at, status) lists."""
-    return update_by_key(runs, ends, "run_id")
+    """The registry with every run ended that ``ends`` lists, once each: run_id, ended_at, status."""
+    return update_by_key(runs, ends, "run_id", check=False)
 
 
 def run_duration(runs: DataFrame, run_id: str) -> DataFrame:

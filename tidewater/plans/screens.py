@@ -8,8 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import json_text
-from tidewater.operators.corpus import embed, extract, flatten_tree, not_embedded, payload_with_output, screen_text
-from tidewater.operators.merge import update_by_key
+from tidewater.operators.corpus import (
+    embed,
+    flatten_tree,
+    not_embedded,
+    payload_with_output,
+    screen_text,
+    with_extraction,
+)
+from tidewater.operators.merge import require_unique, update_by_key
 
 
 def parse_screens(metadata: DataFrame, trees: DataFrame, key: str = "screen_id") -> DataFrame:
@@ -19,7 +26,8 @@ def parse_screens(metadata: DataFrame, trees: DataFrame, key: str = "screen_id")
         F.to_json(F.struct(screen_text("elements").alias("texts"))).alias("extraction_payload"),
         F.current_timestamp().alias("updated_at"),
     )
-    return update_by_key(metadata, texts, key)
+    require_unique(trees, [key], "tree table")
+    return update_by_key(metadata, texts, key, check=False)
 
 
 def payload_text() -> Column:
@@ -38,17 +46,12 @@ def embed_new_texts(
     )
 
 
-def extract_screens(metadata: DataFrame, generator: Callable, key: str = "screen_id", **options) -> DataFrame:
-    """Metadata with the model's output set in the payload, and the hash of the text it saw."""
-    made = extract(metadata.withColumn("text", json_text("extraction_payload", "texts", default="")), key, "text",
-                   generator, **options)
-    rows = metadata.select(key, "extraction_payload").join(
-        made.select(key, "output", "prompt_version", "confidence", "source_fingerprint"), key
-    )
-    patch = rows.select(
-        key,
-        payload_with_output("extraction_payload").alias("extraction_payload"),
-        "source_fingerprint",
-        F.current_timestamp().alias("updated_at"),
-    )
-    return update_by_key(metadata, patch, key, check=False)
+def extract_screens(metadata: DataFrame, generator: Callable, **options) -> DataFrame:
+    """Metadata with the model's output set in the payload, and the hash of the text it saw.
+
+    The output becomes a column of the same rows, so nothing has to be joined.
+    """
+    made = with_extraction(metadata, json_text("extraction_payload", "texts", default=""), generator, **options)
+    return made.withColumns(
+        {"extraction_payload": payload_with_output("extraction_payload"), "updated_at": F.current_timestamp()}
+    ).select(*metadata.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written for. Shuffle partitions are left to the
 # cluster: AQE coalesces from whatever start value it is given.
@@ -53,3 +53,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
     return f"{shared_dir(spark)}/tidewater/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str = "stage") -> DataFrame:
+    """The rows written once to the shared folder and read from there.
+
+    For a result that several branches of a plan read: it is computed once, its
+    size is known to the planner, and a lost executor does not bring back the work
+    that led to it.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from tidewater import sinks, sources
 from tidewater.functions import fingerprint, json_double, json_set, json_text, l2_normalize, parse_ts, text_or_empty
 from tidewater.operators import clean, dedup, enrich, gold, merge
 from tidewater.plans import trips as trip_plans
-from tidewater.session import fresh_path
+from tidewater.session import fresh_path, staged
 from tidewater.streaming import parse_json_payload
 from tidewater.workloads import shapes
 from tidewater.workloads.registry import query
@@ -457,11 +457,12 @@ SIDE_COLS = [*LINE_KEY, "l_partkey", "l_quantity"]
 
 
 def _side(spark: SparkSession, sf: str, new: bool) -> DataFrame:
+    """One side as a stored table, as a merge finds it."""
     day = F.lit(SPLIT).cast("timestamp_ntz")
     items = table(spark, sf, "lineitem").select(*SIDE_COLS, "l_suppkey", "l_extendedprice", "l_shipdate")
     items = items.filter(F.col("l_shipdate") >= day if new else F.col("l_shipdate") < day)
     order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
-    return dedup.dedup(items, LINE_KEY, order).select(*SIDE_COLS)
+    return staged(dedup.dedup(items, LINE_KEY, order).select(*SIDE_COLS), "side")
 
 
 @query("merge_classify", f"""
