@@ -104,7 +104,7 @@ def encoded(content: Column | str, encoder: Callable[[], Callable[[list], np.nda
             yield pd.Series(list(unit.astype("float32")))
 
     # Not deterministic to the optimizer, so that it never runs a model twice.
-    return F.pandas_udf(vectors, "array<float>", F.PandasUDFType.SCALAR_ITER).asNondeterministic()(content)
+    return F.pandas_udf(vectors, "array<float>").asNondeterministic()(content)
 
 
 def embed(
@@ -153,7 +153,7 @@ def generated(prompt: Column, generator: Callable[[], Callable[[list[str]], list
         for part in parts:
             yield pd.Series(generate(part.tolist()), dtype=object)
 
-    return F.pandas_udf(outputs, "string", F.PandasUDFType.SCALAR_ITER).asNondeterministic()(prompt)
+    return F.pandas_udf(outputs, "string").asNondeterministic()(prompt)
 
 
 def with_extraction(
