@@ -185,6 +185,16 @@ def test_tie_on_time_goes_to_later_log_position(spark):
     assert got == [(1, "new", 5)]
 
 
+def test_equal_ids_of_two_tables(spark):
+    def of(table, name):
+        return event("c", after={"id": 1, "name": name}).replace('"table": "t"', f'"table": "{table}"')
+
+    events = cdc.with_entity_key(cdc.parse_cdc(log(spark, of("customers", "c"), of("drivers", "d")), FIELDS))
+    assert cdc.latest_changes(events, ["source_table", "entity_id"]).count() == 2
+    drivers = apply_changes(spark.createDataFrame([], MIRROR), cdc.for_table(events, "drivers"), "id", ["name"])
+    assert rows(drivers) == [(1, "d", 1)]
+
+
 def test_replay_is_dropped(spark):
     records = log(spark, event("c", after={"id": 1}), event("c", after={"id": 2}))
     assert cdc.new_events(records.limit(1), records).count() == 1

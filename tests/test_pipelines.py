@@ -155,6 +155,18 @@ def test_partition_overwrite_leaves_other_partitions(spark, path):
     assert {tuple(r) for r in spark.read.parquet(path("x")).select("v", "p").collect()} == {(1, "a"), (9, "b")}
 
 
+def test_tables(spark, path):
+    sinks.overwrite_table(spark.range(3), "tw_over", path("t"))
+    sinks.overwrite_table(spark.range(2), "tw_over", path("t"))
+    sinks.create_or_append(spark.range(2), "tw_over")
+    assert sources.read_table(spark, "tw_over").count() == 4
+    land(spark, path, "in", [(1, at(0))])
+    streaming.stream_to_table(stream(spark, path, "in"), "tw_streamed", path("c")).awaitTermination()
+    assert sources.read_table(spark, "tw_streamed").count() == 1
+    for name in ("tw_over", "tw_streamed"):
+        spark.sql(f"drop table {name}")
+
+
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)).rstrip("/")
 

@@ -74,6 +74,31 @@ def test_failed_merge_records_nothing(spark, path):
     assert history.snapshots(spark, path("h")).count() == 1
 
 
+@pytest.mark.parametrize("fails", [False, True])
+def test_table_merge_order_and_no_record_on_failure(spark, path, monkeypatch, fails):
+    """Lookup, rollback, merge, record, in that order, and no record if the merge fails."""
+    calls = []
+    history.record_snapshot(spark, path("l"), "cat.s.t", d(1), 11)
+    monkeypatch.setattr(history, "rollback_table", lambda _, table, snap: calls.append(("rollback", table, snap)))
+
+    def merge(table, source, keys):
+        calls.append(("merge", table, keys))
+        if fails:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(history, "merge_into_table", merge)
+    made = spark.createDataFrame([(11, datetime(2024, 1, 1)), (12, datetime(2024, 1, 2))], "snapshot_id bigint, committed_at timestamp")
+    monkeypatch.setattr(history, "table_snapshots", lambda *_: made)
+    run = lambda: history.stateful_merge_table(spark, "cat.s.t", users(spark, [1]), ["user_id"], d(2), path("l"))
+    if fails:
+        with pytest.raises(RuntimeError):
+            run()
+    else:
+        assert run() == 12
+    assert calls == [("rollback", "cat.s.t", 11), ("merge", "cat.s.t", ["user_id"])]
+    assert history.read_ledger(spark, path("l")).count() == (1 if fails else 2)
+
+
 def test_rollback(spark, path):
     root = path("h")
     assert history.current_snapshot_id(spark, root) is None

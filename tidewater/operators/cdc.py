@@ -22,7 +22,7 @@ def drop_tombstones(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_cdc(records: DataFrame, fields: dict[str, str], value: str = "value") -> DataFrame:
-    """Change events as flat columns: op, before_*, after_*, source_lsn, ts_ms.
+    """Change events as flat columns: op, before_*, after_*, source_table, source_lsn, ts_ms.
 
     ``fields`` maps the row's columns to types. The envelope may or may not be
     wrapped in ``payload``. It is parsed once per record, with text leaves; a leaf
@@ -43,11 +43,17 @@ def parse_cdc(records: DataFrame, fields: dict[str, str], value: str = "value")
         leaf("op").alias("op"),
         *[leaf(f"before.{n}").try_cast(t).alias(f"before_{n}") for n, t in fields.items()],
         *[leaf(f"after.{n}").try_cast(t).alias(f"after_{n}") for n, t in fields.items()],
+        leaf("source.table").alias("source_table"),
         leaf("source.lsn").try_cast("bigint").alias("source_lsn"),
         leaf("ts_ms").try_cast("bigint").alias("ts_ms"),
     )
 
 
+def for_table(events: DataFrame, table: str) -> DataFrame:
+    """The events of one source table. Ids of different tables may be equal, so each has its own mirror."""
+    return events.filter(F.col("source_table") == table)
+
+
 def parse_cdc_nested(records: DataFrame, image: str | StructType, value: str = "value") -> DataFrame:
     """Change events with the before and after images as structs of a declared type."""
     kind = image.simpleString() if isinstance(image, StructType) else image

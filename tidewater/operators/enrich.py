@@ -6,22 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup is hinted as broadcast only below both bounds.
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Whether a table is within the bounds; reads at most max_rows + 1 of its rows."""
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return seen["n"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
-
+    """Whether a table is within the bounds.
 
-def small(df: DataFrame) -> DataFrame:
-    """The table hinted as broadcast if it is small, else as it is."""
-    return F.broadcast(df) if fits_broadcast(df) else df
+    Only row sizes come to the driver, and not more than ``max_rows + 1`` of them:
+    Spark reads partitions one after the other and stops when it has that many.
+    """
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    sizes = [r[0] for r in df.select(width.alias("w")).take(max_rows + 1)]
+    return len(sizes) <= max_rows and sum(sizes) <= max_bytes
 
 
 def _role(zones: DataFrame, key: str, names: dict[str, str], role: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import latest_per_key
-from tidewater.operators.merge import merge_upsert
+from tidewater.operators.merge import merge_into_table, merge_upsert
 from tidewater.session import staged
 
 LEDGER_SCHEMA = "table_name string, execution_date date, snapshot_id bigint, recorded_at timestamp"
@@ -164,12 +164,30 @@ def rollback(spark: SparkSession, root: str, snapshot_id: int) -> None:
     _commit(spark, root, snapshot_id, _head(spark, root)[2] + 1)
 
 
+def table_snapshots(spark: SparkSession, table: str) -> DataFrame:
+    """The commits of an Iceberg table, from its metadata table."""
+    return spark.table(f"{table}.snapshots").select("snapshot_id", "committed_at")
+
+
 def rollback_table(spark: SparkSession, table: str, snapshot_id: int) -> None:
     """The same on an Iceberg table ``catalog.schema.name``."""
     catalog, name = table.split(".", 1)
     spark.sql(f"CALL {catalog}.system.rollback_to_snapshot('{name}', {int(snapshot_id)})")
 
 
+def stateful_merge_table(
+    spark: SparkSession, table: str, source: DataFrame, keys: list[str], execution_date: date, ledger_path: str
+) -> int:
+    """:func:`stateful_merge` on an Iceberg table, whose files are rewritten only where rows change."""
+    base = get_snapshot_before(read_ledger(spark, ledger_path), table, execution_date)
+    if base is not None:
+        rollback_table(spark, table, base)
+    merge_into_table(table, source, keys)
+    made = table_snapshots(spark, table).orderBy(F.desc("committed_at")).first()["snapshot_id"]
+    record_snapshot(spark, ledger_path, table, execution_date, made)
+    return made
+
+
 def state_from_changes(log: DataFrame, keys: list[str], upto: int | None = None) -> DataFrame:
     """State of a change log whose rows carry ``snapshot_id``: the newest row per key up to a snapshot.
 

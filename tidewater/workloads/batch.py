@@ -511,20 +511,21 @@ def delete_where(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("insert_rows", """
-select n_nationkey, n_name, n_regionkey from nation
-union all select 100, 'ATLANTIS', 1 union all select 101, 'LEMURIA', null""")
+select c_custkey, c_name, c_nationkey from customer
+union all select -1, 'ATLANTIS', 1 union all select -2, 'LEMURIA', null""")
 def insert_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = [{"n_nationkey": 100, "n_name": "ATLANTIS", "n_regionkey": 1}, {"n_nationkey": 101, "n_name": "LEMURIA"}]
-    return merge.insert_rows(table(spark, sf, "nation"), rows)
+    rows = [{"c_custkey": -1, "c_name": "ATLANTIS", "c_nationkey": 1}, {"c_custkey": -2, "c_name": "LEMURIA"}]
+    return merge.insert_rows(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), rows)
 
 
 # -- sources and sinks, by writing and reading back --------------------------
 
 
-@query("read_parquet_glob", "select n_nationkey as id, n_name as name from nation union all select r_regionkey, r_name from region")
+@query("read_parquet_glob", """
+select c_custkey as id, c_name as name from customer union all select s_suppkey, s_name from supplier""")
 def read_parquet_glob(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "glob")
-    for name, key, text in (("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name")):
+    for name, key, text in (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name")):
         part = table(spark, sf, name).select(F.col(key).alias("id"), F.col(text).alias("name"))
         sinks.append(part, f"{path}/{name}.parquet")
     return sources.read_parquet(spark, f"{path}/*.parquet")
@@ -637,6 +638,34 @@ def land_objects(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _landed_documents(spark: SparkSession, sf: str) -> str:
+    """Documents as text objects of bounded size, one JSON text per line."""
+    path = fresh_path(spark, "texts")
+    docs = table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "text")))
+    docs.write.option("maxRecordsPerFile", 500).text(path)
+    return path
+
+
+_DOCUMENT_FP_SQL = "select doc_id, sha256(text) as fp from documents"
+
+
+def _document_fp(lines: DataFrame) -> DataFrame:
+    doc = F.from_json("line", "doc_id bigint, text string")
+    return lines.filter("line <> ''").select(doc.alias("d")).select("d.doc_id", fingerprint("d.text").alias("fp"))
+
+
+@query("read_texts", _DOCUMENT_FP_SQL)
+def read_texts(spark: SparkSession, sf: str) -> DataFrame:
+    texts = sources.read_texts(spark, f"{_landed_documents(spark, sf)}/*.txt")
+    return _document_fp(texts.select(F.explode(F.split("text", "\n")).alias("line")))
+
+
+@query("read_objects", _DOCUMENT_FP_SQL)
+def read_objects(spark: SparkSession, sf: str) -> DataFrame:
+    blobs = sources.read_objects(spark, f"{_landed_documents(spark, sf)}/*.txt")
+    return _document_fp(blobs.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")))
+
+
 # -- pipelines ---------------------------------------------------------------
 
 

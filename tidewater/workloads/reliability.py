@@ -169,14 +169,18 @@ def pre_audit(spark: SparkSession, sf: str) -> DataFrame:
     return quality.pre_audit(_holes(spark, sf), cfg)
 
 
-@query("check_freshness", "select 'events' as table_name, case when count(*) = 0 then 'CRITICAL' else 'OK' end as status, count(*)::double as value from events")
+@query("check_freshness", """
+select 'events' as table_name, case when count(*) = 0 then 'CRITICAL' else 'OK' end as status,
+       count(*)::double as value from events""")
 def check_freshness(spark: SparkSession, sf: str) -> DataFrame:
     return quality.check_freshness(table(spark, sf, "events"), "events")
 
 
-@query("check_volume", "select 'region' as table_name, case when count(*) < 6 then 'CRITICAL' else 'OK' end as status, count(*)::double as value from region")
+@query("check_volume", """
+select 'supplier' as table_name, case when count(*) < 500 then 'CRITICAL' else 'OK' end as status,
+       count(*)::double as value from supplier""")
 def check_volume(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.check_volume(table(spark, sf, "region"), "region", 6)
+    return quality.check_volume(table(spark, sf, "supplier"), "supplier", 500)
 
 
 @query("check_sla", """
