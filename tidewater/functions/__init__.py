@@ -3,6 +3,7 @@
 from tidewater.functions.scalars import (
     CHANNELS,
     channel,
+    computed_once,
     fingerprint,
     json_double,
     json_set,
@@ -18,6 +19,7 @@ from tidewater.functions.scalars import (
 __all__ = [
     "CHANNELS",
     "channel",
+    "computed_once",
     "fingerprint",
     "json_double",
     "json_set",

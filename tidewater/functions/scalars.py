@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Severities and the channels they go to.
@@ -79,3 +79,13 @@ def l2_normalize(c: Column | str) -> Column:
 def stable_id(*keys: Column | str) -> Column:
     """A row id that depends on the key alone, so a rerun gives the same ids."""
     return F.xxhash64(*[_col(k) for k in keys])
+
+
+def computed_once(df: DataFrame, keep: list[str], name: str, value: Column) -> DataFrame:
+    """Columns ``keep`` and a value that is expensive to compute, such as parsed JSON.
+
+    As the output of a generator the value is there before any later filter. In a
+    plain projection a filter on it would be pushed below, with a second copy of
+    the expression.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(value.alias(name)))))

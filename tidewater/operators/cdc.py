@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewater.errors import ReconcileError
-from tidewater.functions import fingerprint
+from tidewater.functions import computed_once, fingerprint
 from tidewater.operators.dedup import latest_per_key
 
 
@@ -31,9 +31,8 @@ def parse_cdc(records: DataFrame, fields: dict[str, str], value: str = "value")
     """
     image = "struct<" + ",".join(f"{name}:string" for name in fields) + ">"
     keep = [c for c in records.columns if c != value]
-    parsed = drop_tombstones(records, value).select(
-        *keep, F.from_json(F.col(value).cast("string"), _envelope(image)).alias("__e")
-    )
+    envelope = F.from_json(F.col(value).cast("string"), _envelope(image))
+    parsed = computed_once(drop_tombstones(records, value), keep, "__e", envelope)
 
     def leaf(path: str) -> Column:
         return F.coalesce(F.col(f"__e.payload.{path}"), F.col(f"__e.{path}"))
@@ -57,9 +56,9 @@ def for_table(events: DataFrame, table: str) -> DataFrame:
 def parse_cdc_nested(records: DataFrame, image: str | StructType, value: str = "value") -> DataFrame:
     """Change events with the before and after images as structs of a declared type."""
     kind = image.simpleString() if isinstance(image, StructType) else image
-    e = F.from_json(F.col(value).cast("string"), _envelope(kind))
+    envelope = F.from_json(F.col(value).cast("string"), _envelope(kind))
     keep = [c for c in records.columns if c != value]
-    parsed = drop_tombstones(records, value).select(*keep, e.alias("__e"))
+    parsed = computed_once(drop_tombstones(records, value), keep, "__e", envelope)
 
     def leaf(path: str) -> Column:
         return F.coalesce(F.col(f"__e.payload.{path}"), F.col(f"__e.{path}"))

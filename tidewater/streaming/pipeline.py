@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidewater.functions import parse_ts
+from tidewater.functions import computed_once, parse_ts
 from tidewater.operators.clean import clean_ts
 from tidewater.operators.enrich import enrich_zones
 from tidewater.operators.gold import gold_zone_hour_window
@@ -89,7 +89,7 @@ def parse_json_payload(df: DataFrame, schema: StructType | str, value: str = "va
     A field that does not fit its type is NULL; names match by case.
     """
     keep = [c for c in df.columns if c != value]
-    return df.select(*keep, F.from_json(F.col(value).cast("string"), schema).alias("d")).select(*keep, "d.*")
+    return computed_once(df, keep, "d", F.from_json(F.col(value).cast("string"), schema)).select(*keep, "d.*")
 
 
 def dedup_stream(
