@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import latest_per_key
 from tidewater.operators.merge import merge_into_table, merge_upsert
-from tidewater.session import staged
+from tidewater.session import one_row, staged
 
 LEDGER_SCHEMA = "table_name string, execution_date date, snapshot_id bigint, recorded_at timestamp"
 COMMIT_SCHEMA = "snapshot_id bigint, committed_at timestamp, seq bigint"
@@ -45,10 +45,10 @@ def record_snapshot(
     spark: SparkSession, path: str, table: str, execution_date: date, snapshot_id: int
 ) -> None:
     """Add a ledger row. Rows are never changed; several rows per date are normal."""
-    row = spark.createDataFrame(
-        [(table, execution_date, snapshot_id)], "table_name string, execution_date date, snapshot_id bigint"
+    row = one_row(spark, table_name=table, execution_date=execution_date).withColumns(
+        {"snapshot_id": F.lit(snapshot_id).cast("bigint"), "recorded_at": F.current_timestamp()}
     )
-    row.withColumn("recorded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+    row.write.mode("append").parquet(path)
 
 
 def snapshot_before(ledger: DataFrame, requests: DataFrame) -> DataFrame:
@@ -136,10 +136,12 @@ def current_snapshot_id(spark: SparkSession, root: str) -> int | None:
 
 
 def _commit(spark: SparkSession, root: str, snapshot_id: int, seq: int) -> None:
-    row = spark.createDataFrame([(snapshot_id, seq)], "snapshot_id bigint, seq bigint")
-    row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
-        f"{root}/commits"
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
+        F.current_timestamp().alias("committed_at"),
+        F.lit(seq).cast("bigint").alias("seq"),
     )
+    row.write.mode("append").parquet(f"{root}/commits")
 
 
 def commit_state(spark: SparkSession, root: str, state: DataFrame) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.errors import DataQualityError
 from tidewater.functions import channel, ratio
 from tidewater.operators.dedup import count_duplicates, keys_over
+from tidewater.session import one_row
 
 # Thresholds of the checks.
 MAX_NULL_RATE = 0.01
@@ -160,10 +161,9 @@ def post_audit(df: DataFrame, cfg: TableChecks, alerts_path: str | None = None)
         return
     message = f"{dups} values of {cfg.primary_key} occur more than once"
     if alerts_path:
-        problem = df.sparkSession.createDataFrame(
-            [("CRITICAL", cfg.name, message)], "severity string, table_name string, message string"
-        ).withColumn("ts", F.current_timestamp())
-        alerts(problem).coalesce(1).write.mode("append").parquet(alerts_path)
+        problem = one_row(df.sparkSession, severity="CRITICAL", table_name=cfg.name, message=message)
+        problem = problem.withColumn("ts", F.current_timestamp())
+        alerts(problem).write.mode("append").parquet(alerts_path)
     raise DataQualityError(f"{cfg.name}: {message}")
 
 
@@ -217,7 +217,7 @@ def enforce_audit(audit: DataFrame, path: str | None = None) -> None:
     """Store an audit row, then stop the run if it failed."""
     row = audit.first()
     if path:
-        stored = audit.sparkSession.createDataFrame([row], audit.schema)
-        stored.withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+        stored = one_row(audit.sparkSession, **row.asDict()).withColumn("run_id", F.lit(row["run_id"]).cast("string"))
+        stored.withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(path)
     if row["audit_status"] != "passed":
         raise DataQualityError(f"{row['audit_name']}: {row['details']}")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the operators are written for. Shuffle partitions are left to the
 # cluster: AQE coalesces from whatever start value it is given.
@@ -65,3 +66,8 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def one_row(spark: SparkSession, **values) -> DataFrame:
+    """One row of literals, in one partition and without a trip through Python."""
+    return spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in values.items()])
