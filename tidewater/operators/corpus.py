@@ -11,7 +11,8 @@ import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,31 +37,52 @@ def tree_elements(tree: Column | str) -> Column:
     walk starts at ``activity.root`` where there is one. A text that is not JSON
     gives NULL. Depth is not bounded, so this is a loop in Arrow batches.
     """
+    end = object()
+
+    def parents_first(root) -> Iterator[dict]:
+        levels = [iter([root])]
+        while levels:
+            node = next(levels[-1], end)
+            if node is end:
+                levels.pop()
+            elif isinstance(node, dict):
+                yield node
+                if isinstance(node.get("children"), list):
+                    levels.append(iter(node["children"]))
+
+    def start(doc):
+        app = doc.get("activity") if isinstance(doc, dict) else None
+        return app.get("root", doc) if isinstance(app, dict) else doc
+
+    def label(node: dict, name: str) -> str:
+        return str(node.get(name) or "").strip()
+
+    def flat(texts: pa.Array) -> pa.Array:
+        cls, text, bounds, sides, ends, missing = [], [], [], [0], [0], []
+        for raw in texts.to_pylist():
+            try:
+                root = start(json.loads(raw))
+                missing.append(False)
+            except (TypeError, ValueError):
+                root = None
+                missing.append(True)
+            for node in parents_first(root):
+                pair = label(node, "class"), label(node, "text")
+                if any(pair):
+                    cls.append(pair[0])
+                    text.append(pair[1])
+                    bounds.extend(int(b) for b in node.get("bounds") or (0, 0, 0, 0))
+                    sides.append(len(bounds))
+            ends.append(len(cls))
+        boxes = pa.ListArray.from_arrays(pa.array(sides, pa.int32()), pa.array(bounds, pa.int32()))
+        nodes = pa.StructArray.from_arrays(
+            [pa.array(cls, pa.string()), pa.array(text, pa.string()), boxes], ["cls", "text", "bounds"]
+        )
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), nodes, mask=pa.array(missing, pa.bool_()))
 
-    def walk(raw: str | None) -> list[dict] | None:
-        try:
-            doc = json.loads(raw)
-        except (TypeError, ValueError):
-            return None
-        found: list[dict] = []
-        activity = doc.get("activity") if isinstance(doc, dict) else None
-        todo = [activity.get("root", doc) if isinstance(activity, dict) else doc]
-        while todo:
-            node = todo.pop()
-            if not isinstance(node, dict):
-                continue
-            item = {name: str(node.get(field) or "").strip() for name, field in (("cls", "class"), ("text", "text"))}
-            if item["cls"] or item["text"]:
-                item["bounds"] = [int(b) for b in node.get("bounds") or (0, 0, 0, 0)]
-                found.append(item)
-            below = node.get("children")
-            todo += below[::-1] if isinstance(below, list) else []
-        return found
-
-    @F.pandas_udf(ELEMENTS)
-    def elements(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield part.map(walk)
+    @F.arrow_udf(ELEMENTS)
+    def elements(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from map(flat, parts)
 
     return elements(tree)
 
@@ -92,19 +114,18 @@ def screen_text(elements: Column | str) -> Column:
 def encoded(content: Column | str, encoder: Callable[[], Callable[[list], np.ndarray]]) -> Column:
     """Unit-length vectors of bytes or texts."""
 
-    def vectors(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def vectors(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder()
         for part in parts:
-            if part.empty:
-                yield pd.Series([], dtype=object)
-                continue
-            raw = np.asarray(encode(part.tolist()), dtype="float64")
+            raw = np.asarray(encode(part.to_pylist()), dtype="float64").reshape(len(part), -1)
             norms = np.sqrt((raw * raw).sum(axis=1, keepdims=True))
-            unit = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0)
-            yield pd.Series(list(unit.astype("float32")))
+            unit = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0).astype("float32")
+            ends = np.arange(len(part) + 1, dtype="int32") * unit.shape[1]
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(unit.ravel()))
 
     # Not deterministic to the optimizer, so that it never runs a model twice.
-    return F.pandas_udf(vectors, "array<float>").asNondeterministic()(content)
+    return vectors.asNondeterministic()(content)
 
 
 def embed(
@@ -148,12 +169,13 @@ def not_embedded(
 def generated(prompt: Column, generator: Callable[[], Callable[[list[str]], list[str]]]) -> Column:
     """The model's output for each prompt."""
 
-    def outputs(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def outputs(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generate = generator()
         for part in parts:
-            yield pd.Series(generate(part.tolist()), dtype=object)
+            yield pa.array(generate(part.to_pylist()), pa.string())
 
-    return F.pandas_udf(outputs, "string").asNondeterministic()(prompt)
+    return outputs.asNondeterministic()(prompt)
 
 
 def with_extraction(
@@ -226,16 +248,16 @@ _NEAREST = "query_id bigint, corpus_id bigint, sim double, corpus_label int"
 
 
 def _block_search(k: int):
-    """A function that finds, for each of some queries, the k nearest of some corpus rows."""
+    """Unit rows of a column of vectors, and the search of one block of rows for some queries."""
+    names = ["query_id", "corpus_id", "sim", "corpus_label"]
 
-    def unit(vectors: pd.Series) -> np.ndarray:
-        rows = np.stack(vectors.to_numpy()).astype("float64")
+    def unit(vectors) -> np.ndarray:
+        rows = np.asarray(pc.list_flatten(vectors)).astype("float64").reshape(len(vectors), -1)
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
 
-    def search(query_ids: np.ndarray, query_rows: np.ndarray, part: pd.DataFrame) -> list[pd.DataFrame]:
-        corpus_ids, labels = part["corpus_id"].to_numpy(), part["corpus_label"].to_numpy()
-        rows = unit(part["embedding"])
-        found = []
+    def search(query_ids: np.ndarray, query_rows: np.ndarray, part) -> Iterator[pa.RecordBatch]:
+        corpus_ids = np.asarray(part.column("corpus_id"))
+        rows = unit(part.column("embedding"))
         for at in range(0, len(query_ids), 256):
             ids = query_ids[at : at + 256]
             sims = np.round(query_rows[at : at + 256] @ rows.T, SIMILARITY_DIGITS)
@@ -243,12 +265,15 @@ def _block_search(k: int):
             nth = min(k, sims.shape[1]) - 1
             floor = -np.partition(-sims, nth, axis=1)[:, nth : nth + 1]
             q, c = np.nonzero((sims >= floor) & (sims > -np.inf))
-            near = pd.DataFrame(
-                {"query_id": ids[q], "corpus_id": corpus_ids[c], "sim": sims[q, c], "corpus_label": labels[c]}
+            order = np.lexsort((corpus_ids[c], -sims[q, c], q))
+            q, c = q[order], c[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            q, c = q[place < k], c[place < k]
+            labels = part.column("corpus_label").take(pa.array(c))
+            labels = labels.combine_chunks() if isinstance(labels, pa.ChunkedArray) else labels
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[q]), pa.array(corpus_ids[c]), pa.array(sims[q, c]), labels.cast(pa.int32())], names
             )
-            near = near.sort_values(["query_id", "sim", "corpus_id"], ascending=[True, False, True])
-            found.append(near.groupby("query_id").head(k))
-        return found
 
     return unit, search
 
@@ -265,28 +290,34 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """
     spark = corpus.sparkSession
     unit, search = _block_search(k)
+    corpus = corpus.filter(F.col("embedding").isNotNull())
+    queries = queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding")
     n_queries = queries.count()
     if n_queries <= MAX_BROADCAST_QUERIES and fits_broadcast(queries):
-        local = queries.select("query_id", "embedding").toPandas()
-        shared = spark.sparkContext.broadcast(
-            (local["query_id"].to_numpy(), unit(local["embedding"]) if n_queries else None)
-        )
+        local = queries.toArrow()
+        ids = np.asarray(local.column("query_id"))
+        shared = spark.sparkContext.broadcast((ids, unit(local.column("embedding")) if len(ids) else None))
 
-        def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, rows = shared.value
             for part in parts:
                 if len(ids) and len(part):
                     yield from search(ids, rows, part)
 
-        near = corpus.select("corpus_id", "embedding", "corpus_label").mapInPandas(scan, _NEAREST)
+        near = corpus.select("corpus_id", "embedding", "corpus_label").mapInArrow(scan, _NEAREST)
     else:
         q_blocks = -(-n_queries // QUERY_BLOCK)
         c_blocks = max(1, -(-corpus.count() // CORPUS_BLOCK))
 
-        def cell(q_part: pd.DataFrame, c_part: pd.DataFrame) -> pd.DataFrame:
-            if q_part.empty or c_part.empty:
-                return pd.DataFrame({"query_id": [], "corpus_id": [], "sim": [], "corpus_label": []})
-            return pd.concat(search(q_part["query_id"].to_numpy(), unit(q_part["embedding"]), c_part))
+        def cell(q_part: pa.Table, c_part: pa.Table) -> pa.Table:
+            found = []
+            if len(q_part) and len(c_part):
+                found = list(search(np.asarray(q_part.column("query_id")), unit(q_part.column("embedding")), c_part))
+            return pa.Table.from_batches(found, schema)
+
+        schema = pa.schema(
+            [("query_id", pa.int64()), ("corpus_id", pa.int64()), ("sim", pa.float64()), ("corpus_label", pa.int32())]
+        )
 
         def every(n: int) -> Column:
             return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -301,7 +332,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             every(q_blocks).alias("qb"), block("corpus_id", c_blocks).alias("cb"),
             "corpus_id", "embedding", "corpus_label",
         )
-        near = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(cell, _NEAREST)
+        near = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, _NEAREST)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "corpus_id"))
     return near.withColumn("place", place).filter(F.col("place") <= k)
 
