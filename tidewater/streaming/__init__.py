@@ -1,6 +1,6 @@
 """Structured Streaming."""
 
-from tidewater.streaming.pipeline import (
+from tidewater.streaming.layers import (
     bronze_stream,
     dedup_stream,
     gold_stream,
