@@ -116,6 +116,31 @@ def test_state_from_changes(spark):
     assert got == {(1, "b"), (2, "x")}
 
 
+def test_change_log_follows_the_line_of_a_snapshot(spark, path):
+    """After a backfill the snapshots of both lines can be read, also by later merges."""
+    root, keys = path("h"), ["user_id"]
+
+    def merge(rows, day):
+        source = spark.createDataFrame(rows, "user_id int, email string")
+        return history.stateful_merge_changes(spark, root, source, keys, "users", d(day), path("l"))
+
+    def state(snap):
+        return sorted((tuple(r) for r in history.state_at_changes(spark, root, keys, snap).collect()), key=repr)
+
+    first = merge([(1, "a"), (2, "b"), (None, "n")], 1)
+    ninth = merge([(2, "B"), (3, "c"), (None, "n")], 9)
+    fifth = merge([(1, "A")], 5)
+    tenth = merge([(4, "d")], 10)
+    assert state(first) == [(1, "a"), (2, "b"), (None, "n")]
+    assert state(fifth) == [(1, "A"), (2, "b"), (None, "n")]
+    assert state(ninth) == [(1, "a"), (2, "B"), (3, "c"), (None, "n"), (None, "n")]
+    assert state(tenth) == [(1, "a"), (2, "B"), (3, "c"), (4, "d"), (None, "n"), (None, "n")]
+    assert history.lineage(spark, root, tenth) == [tenth, ninth, first]
+    with pytest.raises(ValueError):
+        merge([(5, "x"), (5, "y")], 11)
+    assert history.current_snapshot_id(spark, root) == tenth
+
+
 # -- quality -----------------------------------------------------------------
 
 CFG = quality.TableChecks("t", "id", ["a", "b"])

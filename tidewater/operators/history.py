@@ -1,9 +1,11 @@
 """Table history as ordinary data: states by snapshot id, a commit log, and a run ledger.
 
-A history folder holds ``states`` (whole states, partitioned by snapshot_id)
-and ``commits`` (one row per commit). Readers find states through the commit
-log only, and its row is written last, so a merge that fails half way leaves
-nothing behind that a reader could see. Where the catalog has Iceberg tables,
+A history folder holds ``commits`` (one row per commit) and either ``states``
+(whole states, partitioned by snapshot_id) or ``changes`` (only the batch that
+each snapshot merged, partitioned the same way). The first form is cheap to read,
+the second one cheap to merge into and the one for large tables. Readers find
+snapshots through the commit log only, and its row is written last, so a merge
+that fails half way leaves nothing behind that a reader could see. Where the catalog has Iceberg tables,
 :func:`rollback_table` and :func:`tidewater.operators.merge.merge_into_table`
 do the same on the table itself.
 """
@@ -17,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import latest_per_key
-from tidewater.operators.merge import merge_into_table, merge_upsert
+from tidewater.operators.merge import merge_into_table, merge_upsert, no_null, require_unique
 from tidewater.session import one_row, staged
 
 LEDGER_SCHEMA = "table_name string, execution_date date, snapshot_id bigint, recorded_at timestamp"
-COMMIT_SCHEMA = "snapshot_id bigint, committed_at timestamp, seq bigint"
+COMMIT_SCHEMA = "snapshot_id bigint, parent_id bigint, committed_at timestamp, seq bigint"
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -135,9 +137,10 @@ def current_snapshot_id(spark: SparkSession, root: str) -> int | None:
     return _head(spark, root)[0]
 
 
-def _commit(spark: SparkSession, root: str, snapshot_id: int, seq: int) -> None:
+def _commit(spark: SparkSession, root: str, snapshot_id: int, seq: int, parent: int | None = None) -> None:
     row = spark.range(0, 1, 1, 1).select(
         F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
+        F.lit(parent).cast("bigint").alias("parent_id"),
         F.current_timestamp().alias("committed_at"),
         F.lit(seq).cast("bigint").alias("seq"),
     )
@@ -193,11 +196,59 @@ def stateful_merge_table(
 def state_from_changes(log: DataFrame, keys: list[str], upto: int | None = None) -> DataFrame:
     """State of a change log whose rows carry ``snapshot_id``: the newest row per key up to a snapshot.
 
-    For tables too large to store whole per snapshot: a merge appends only its
-    batch, and a rollback reads up to an older id.
+    Rows with a NULL in the key replace nothing and are all kept.
     """
     rows = log if upto is None else log.filter(F.col("snapshot_id") <= upto)
-    return latest_per_key(rows, keys, ["snapshot_id"])
+    keyed = latest_per_key(rows.filter(no_null(keys)), keys, ["snapshot_id"])
+    return keyed.unionByName(rows.filter(~no_null(keys)))
+
+
+def commit_changes(
+    spark: SparkSession, root: str, batch: DataFrame, keys: list[str], parent: int | None
+) -> int:
+    """Write one batch of upserts on top of a snapshot, then make the result current."""
+    require_unique(batch, keys)
+    _, top, seq = _head(spark, root)
+    batch.write.mode("overwrite").parquet(f"{root}/changes/snapshot_id={top + 1}")
+    _commit(spark, root, top + 1, seq + 1, parent)
+    return top + 1
+
+
+def lineage(spark: SparkSession, root: str, snapshot_id: int) -> list[int]:
+    """A snapshot and those it was built on, newest first.
+
+    One number pair per commit comes to the driver, as the file list of a table does.
+    """
+    parents = dict(
+        snapshots(spark, root).groupBy("snapshot_id").agg(F.max("parent_id").alias("parent_id")).collect()
+    )
+    line, at = [], snapshot_id
+    while at is not None:
+        line.append(at)
+        at = parents.get(at)
+    return line
+
+
+def state_at_changes(spark: SparkSession, root: str, keys: list[str], snapshot_id: int) -> DataFrame:
+    """The table as of a snapshot, from the batches it was built on; other partitions are not read."""
+    log = spark.read.parquet(f"{root}/changes").filter(F.col("snapshot_id").isin(lineage(spark, root, snapshot_id)))
+    return state_from_changes(log, keys).drop("snapshot_id")
+
+
+def _base(spark: SparkSession, root: str, table: str, execution_date: date, ledger_path: str) -> int | None:
+    before = get_snapshot_before(read_ledger(spark, ledger_path), table, execution_date)
+    return current_snapshot_id(spark, root) if before is None else before
+
+
+def stateful_merge_changes(
+    spark: SparkSession, root: str, source: DataFrame, keys: list[str], table: str,
+    execution_date: date, ledger_path: str,
+) -> int:
+    """:func:`stateful_merge` that writes the batch only, whatever the size of the table."""
+    base = _base(spark, root, table, execution_date, ledger_path)
+    snapshot_id = commit_changes(spark, root, staged(source, "source"), keys, base)
+    record_snapshot(spark, ledger_path, table, execution_date, snapshot_id)
+    return snapshot_id
 
 
 def stateful_merge(
@@ -211,9 +262,7 @@ def stateful_merge(
     becomes visible before the merge is written, so if it fails the table and the
     ledger are as before.
     """
-    base = get_snapshot_before(read_ledger(spark, ledger_path), table, execution_date)
-    if base is None:
-        base = current_snapshot_id(spark, root)
+    base = _base(spark, root, table, execution_date, ledger_path)
     batch = staged(source, "source")
     target = batch.limit(0) if base is None else state_at(spark, root, base)
     snapshot_id = commit_state(spark, root, merge_upsert(target, batch, keys))

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from tidewater.operators.dedup import dedup, keys_over
 
 
-def _no_null(keys: list[str]) -> Column:
+def no_null(keys: list[str]) -> Column:
+    """Whether every key column holds a value."""
     cond = F.col(keys[0]).isNotNull()
     for k in keys[1:]:
         cond = cond & F.col(k).isNotNull()
@@ -28,7 +29,7 @@ def _no_null(keys: list[str]) -> Column:
 
 def require_unique(df: DataFrame, keys: list[str], what: str = "merge source") -> None:
     """Raise if a key repeats. Reads the key columns and brings one row to the driver."""
-    twice = keys_over(df.filter(_no_null(keys)), keys).limit(1).collect()
+    twice = keys_over(df.filter(no_null(keys)), keys).limit(1).collect()
     if twice:
         raise ValueError(f"{what} repeats the key {[twice[0][k] for k in keys]} of {keys}")
 
@@ -129,9 +130,9 @@ def absent_rows(
 
     A NULL key conflicts with nothing, so those rows are all added.
     """
-    keyed = source.filter(_no_null(keys))
+    keyed = source.filter(no_null(keys))
     new = keyed.join(_hits(target, keyed, keys), keys, "left_anti")
-    unkeyed = source.filter(~_no_null(keys))
+    unkeyed = source.filter(~no_null(keys))
     return dedup(new, keys, order).select(*source.columns).unionByName(unkeyed)
 
 

@@ -88,9 +88,25 @@ def rollback_state(spark: SparkSession, sf: str) -> DataFrame:
     return history.state_at(spark, root, history.current_snapshot_id(spark, root))
 
 
-@query("stateful_merge", """
+_BACKFILLED_SQL = """
 select c_custkey, coalesce(o.top, c_acctbal) as c_acctbal
-from customer left join (select o_custkey, max(o_totalprice) as top from orders group by 1) o on c_custkey = o_custkey""")
+from customer left join (select o_custkey, max(o_totalprice) as top from orders group by 1) o on c_custkey = o_custkey"""
+
+
+@query("stateful_merge_changes", _BACKFILLED_SQL)
+def stateful_merge_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same backfill on a table of which only the merged batches are stored."""
+    root, ledger = fresh_path(spark, "history"), fresh_path(spark, "ledger")
+    for day, source in (
+        (date(2024, 5, 1), _customers(spark, sf, F.col("c_acctbal"))),
+        (date(2024, 5, 9), _customers(spark, sf, F.lit(-1.0))),
+        (date(2024, 5, 5), _spent(spark, sf)),
+    ):
+        made = history.stateful_merge_changes(spark, root, source, ["c_custkey"], "customer", day, ledger)
+    return history.state_at_changes(spark, root, ["c_custkey"], made)
+
+
+@query("stateful_merge", _BACKFILLED_SQL)
 def stateful_merge(spark: SparkSession, sf: str) -> DataFrame:
     """A backfill for the 5th starts from the state of the 1st and so drops what the 9th had merged."""
     root, ledger = fresh_path(spark, "history"), fresh_path(spark, "ledger")
