@@ -54,6 +54,13 @@ def test_embedding_rows(spark):
     assert len(got[1]["source_fingerprint"]) == 64 and got[1]["run_id"] == "r"
 
 
+def test_null_content_gives_no_vector(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "screen_id int, t string").coalesce(1)
+    for rows in (df, df.filter("t is null")):
+        got = corpus.embed(rows, "screen_id", "t", letter_encoder(), "text", "m", "1").collect()
+        assert all((r["embedding"] is None) == (r["screen_id"] != 2) for r in got)
+
+
 def test_confidence_defaults(spark):
     outputs = ['{"confidence": 0.9}', '{"confidence": "0.4"}', '{"confidence": "high"}', "{}", "nope", None]
     made = corpus.parse_output(spark.createDataFrame([(i, o) for i, o in enumerate(outputs)], "id int, output string"))

@@ -112,17 +112,20 @@ def screen_text(elements: Column | str) -> Column:
 
 
 def encoded(content: Column | str, encoder: Callable[[], Callable[[list], np.ndarray]]) -> Column:
-    """Unit-length vectors of bytes or texts."""
+    """Unit-length vectors of bytes or texts; NULL for NULL, which the encoder does not see."""
 
     @F.arrow_udf("array<float>")
     def vectors(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder()
         for part in parts:
-            raw = np.asarray(encode(part.to_pylist()), dtype="float64").reshape(len(part), -1)
+            given = np.asarray(part.is_valid())
+            count = int(given.sum())
+            raw = np.asarray(encode(part.drop_null().to_pylist()) if count else np.zeros((0, 0)), dtype="float64")
+            raw = raw.reshape(count, -1) if count else raw
             norms = np.sqrt((raw * raw).sum(axis=1, keepdims=True))
             unit = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0).astype("float32")
-            ends = np.arange(len(part) + 1, dtype="int32") * unit.shape[1]
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(unit.ravel()))
+            ends = np.concatenate([[0], np.cumsum(given * unit.shape[1])]).astype("int32")
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(unit.ravel()), mask=pa.array(~given))
 
     # Not deterministic to the optimizer, so that it never runs a model twice.
     return vectors.asNondeterministic()(content)

@@ -50,16 +50,18 @@ def _matched(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[Dat
 
 
 def classify_merge(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Key values with a class: matched, target_only or source_only."""
-    sides = target.select(*keys, F.lit(1).alias("t"), F.lit(0).alias("s")).unionByName(
-        source.select(*keys, F.lit(0).alias("t"), F.lit(1).alias("s"))
-    )
-    return sides.groupBy(*keys).agg(F.max("t").alias("t"), F.max("s").alias("s")).select(
-        *keys,
-        F.when(F.col("s") == 0, "target_only")
-        .when(F.col("t") == 0, "source_only")
-        .otherwise("matched")
-        .alias("merge_class"),
+    """Key values with a class: matched, target_only or source_only. A NULL in a key never matches."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        apart = F.when(~no_null(keys), F.lit(name))
+        return df.select(*keys, F.lit(name).alias("side"), apart.alias("apart"))
+
+    sides = side(target, "target_only").unionByName(side(source, "source_only"))
+    low, high = F.min("side"), F.max("side")
+    return (
+        sides.groupBy(*keys, "apart")
+        .agg(F.when(low == high, low).otherwise("matched").alias("merge_class"))
+        .drop("apart")
     )
 
 

@@ -13,7 +13,7 @@ from tidewater.session import fresh_path, staged
 from tidewater.streaming import parse_json_payload
 from tidewater.workloads import shapes
 from tidewater.workloads.registry import query
-from tidewater.workloads.shapes import LINE_KEY, LINE_ORDER, LOG_SQL, TRIPS_SQL, ZONES_SQL, ntz, table
+from tidewater.workloads.shapes import LINE_KEY, LINE_ORDER, LOG_SQL, TIMED_SQL, TRIPS_SQL, ZONES_SQL, ntz, table
 
 ROW = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 ROW_COLS = ROW.split(", ")
@@ -26,7 +26,7 @@ from lineitem"""
 
 
 @query("clean_basic", f"""
-with {TRIPS_SQL}
+with {TIMED_SQL}
 select count(*) as kept, sum(fare_amount) as fares from trips
 where trip_distance >= 0 and passenger_count >= 0 and pickup_ts is not null and dropoff_ts is not null""")
 def clean_basic(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,13 +35,13 @@ def clean_basic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("clean_ts", f"""
-with {TRIPS_SQL} select {ROW} from trips where pickup_ts is not null and dropoff_ts is not null""")
+with {TIMED_SQL} select {ROW} from trips where pickup_ts is not null and dropoff_ts is not null""")
 def clean_ts(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_ts(shapes.timed_trips(spark, sf)).select(*ROW_COLS)
 
 
 @query("clean_strict", f"""
-with {TRIPS_SQL}
+with {TIMED_SQL}
 select {ROW}, trip_distance, fare_amount from trips
 where pickup_ts < dropoff_ts and trip_distance > 0 and fare_amount > 0 and passenger_count between 1 and 6""")
 def clean_strict(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +49,7 @@ def clean_strict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("reject_counts", f"""
-with {TRIPS_SQL}
+with {TIMED_SQL}
 select 'too_short' as rule, count(*) filter (where trip_distance < 5) as rejected from trips
 union all select 'too_many', count(*) filter (where passenger_count > 6) from trips
 union all select 'backwards', count(*) filter (where pickup_ts >= dropoff_ts) from trips""")
@@ -63,7 +63,7 @@ def reject_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("typed_trips", f"""
-with {TRIPS_SQL}
+with {TIMED_SQL}
 select {ROW}, case when passenger_count > 6 then null else pickup_ts end as pickup_ts, dropoff_ts,
        case when trip_distance > 40 then null else trip_distance end as trip_distance,
        cast(passenger_count as int) as passenger_count, cast(fare_amount as double) as fare_amount
@@ -83,7 +83,7 @@ def typed_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("duration", f"""
-with {TRIPS_SQL}
+with {TIMED_SQL}
 select {ROW}, (epoch(dropoff_ts) - epoch(pickup_ts)) / 60 as trip_duration_minutes,
        cast(pickup_ts as date) as pickup_date, date_trunc('hour', pickup_ts) as pickup_hour from trips""")
 def duration(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,7 +197,7 @@ def fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 @query("text_or_empty", """
 select doc_id, trim(coalesce(case when lang = 'en' then null else '  ' || source || ' ' end, '')) as t from documents""")
 def empty_text(spark: SparkSession, sf: str) -> DataFrame:
-    raw = F.when(F.col("lang") != "en", F.concat(F.lit("  "), F.col("source"), F.lit(" ")))
+    raw = F.when(F.col("lang") == "en", None).otherwise(F.concat(F.lit("  "), F.col("source"), F.lit(" ")))
     return table(spark, sf, "documents").select("doc_id", text_or_empty(raw).alias("t"))
 
 
@@ -298,7 +298,7 @@ def keys_over(spark: SparkSession, sf: str) -> DataFrame:
 @query("gold_zone_hour_window", f"""
 with {LOG_SQL}
 select n_name as pickup_zone, date_trunc('hour', ts) as pickup_hour, count(*) as trip_count,
-       sum(cents)::double / count(*) as avg_fare
+       sum(cents)::double / count(cents) as avg_fare
 from log left join nation on user_id % 25 = n_nationkey group by 1, 2""")
 def gold_zone_hour_window(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(gold.gold_zone_hour_window(_zoned_events(spark, sf), fare="cents"))
@@ -317,7 +317,7 @@ def _zoned_events(spark: SparkSession, sf: str) -> DataFrame:
 @query("gold_zone_hour", f"""
 with {LOG_SQL}
 select n_name as pickup_zone, date_trunc('hour', ts) as pickup_hour, count(*) as trips_count,
-       sum(cents)::double / count(*) as avg_fare_amount, sum(user_id)::double / count(*) as avg_trip_distance
+       sum(cents)::double / count(cents) as avg_fare_amount, sum(user_id)::double / count(user_id) as avg_trip_distance
 from log left join nation on user_id % 25 = n_nationkey group by 1, 2""")
 def gold_zone_hour(spark: SparkSession, sf: str) -> DataFrame:
     df = _zoned_events(spark, sf)
@@ -334,8 +334,8 @@ first_trips as (
     where trip_distance >= 0 and passenger_count >= 0 and pickup_ts is not null and dropoff_ts is not null
   ) where rn = 1)
 select zone as pickup_zone, date_trunc('day', pickup_ts)::timestamp as pickup_day, count(*) as trips_count,
-       sum(fare_amount)::double / count(*) as avg_fare_amount,
-       sum(trip_distance) / count(*) as avg_trip_distance
+       sum(fare_amount)::double / count(fare_amount) as avg_fare_amount,
+       sum(trip_distance) / count(trip_distance) as avg_trip_distance
 from first_trips left join zones on pu = id group by 1, 2"""
 
 
@@ -376,7 +376,7 @@ def row_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("null_rates", """
-select coalesce(count(*) filter (where event_type = 'error')::double / nullif(count(*), 0), 0) as rate_value,
+select coalesce(count(*) filter (where event_type = 'error' or value is null)::double / nullif(count(*), 0), 0) as rate_value,
        coalesce(count(*) filter (where props is null)::double / nullif(count(*), 0), 0) as rate_props from events""")
 def null_rates(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "events").withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
@@ -478,7 +478,7 @@ def merge_classify(spark: SparkSession, sf: str) -> DataFrame:
 @query("merge_upsert", f"""
 with {_SIDES_SQL}
 select l_orderkey, l_linenumber, coalesce(s.l_partkey, t.l_partkey) as l_partkey,
-       coalesce(s.l_quantity, t.l_quantity) as l_quantity
+       case when s.l_partkey is not null then s.l_quantity else t.l_quantity end as l_quantity
 from tgt t full join src s using (l_orderkey, l_linenumber)""")
 def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return merge.merge_upsert(_side(spark, sf, False), _side(spark, sf, True), LINE_KEY)
@@ -487,7 +487,7 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
 @query("insert_if_absent", f"""
 with {_SIDES_SQL}
 select l_orderkey, l_linenumber, coalesce(t.l_partkey, s.l_partkey) as l_partkey,
-       coalesce(t.l_quantity, s.l_quantity) as l_quantity
+       case when t.l_partkey is not null then t.l_quantity else s.l_quantity end as l_quantity
 from tgt t full join src s using (l_orderkey, l_linenumber)""")
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     return merge.insert_if_absent(_side(spark, sf, False), _side(spark, sf, True), LINE_KEY, ["l_partkey"])
@@ -699,7 +699,7 @@ def ingest_inbox(spark: SparkSession, sf: str) -> DataFrame:
 @query("silver_gold_trips", f"""
 with {TRIPS_SQL}, {ZONES_SQL}
 select zone as pickup_zone, date_trunc('hour', pickup_ts) as pickup_hour, count(*) as trips_count,
-       sum(fare_amount)::double / count(*) as avg_fare_amount, sum(trip_distance) / count(*) as avg_trip_distance
+       sum(fare_amount)::double / count(fare_amount) as avg_fare_amount, sum(trip_distance) / count(trip_distance) as avg_trip_distance
 from trips left join zones on pu = id
 where pickup_ts < dropoff_ts and trip_distance > 0 and fare_amount > 0 and passenger_count between 1 and 6
 group by 1, 2""")

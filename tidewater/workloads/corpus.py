@@ -47,9 +47,9 @@ nodes as (select doc_id, lang, i, n, {_STRIPPED} as text from raw)"""
 
 @query("flatten_tree", f"""
 with {_LINES_SQL}
-select doc_id, 0::bigint as place, lang as cls, '' as text, 0 as top from documents
+select doc_id, 0::bigint as place, lang as cls, '' as text, 0 as top from documents where lang is not null
 union all
-select doc_id, i::bigint, 'line', text, (n - i + 1)::int from nodes""")
+select doc_id, (i - case when lang is null then 1 else 0 end)::bigint, 'line', text, (n - i + 1)::int from nodes""")
 def flatten_tree(spark: SparkSession, sf: str) -> DataFrame:
     flat = corpus.flatten_tree(_trees(spark, sf), "doc_id")
     return flat.select("doc_id", F.posexplode("elements").alias("place", "e")).select(
@@ -106,7 +106,7 @@ def _wide(vectors: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
 _COUNTS = ", ".join(f"(length(text) - length(replace(text, '{c}', '')))::double as c{i}" for i, c in enumerate(LETTERS))
 _SQUARES = " + ".join(f"c{i} * c{i}" for i in range(len(LETTERS)))
 _UNIT = ", ".join(
-    f"(case when sq > 0 then c{i} / sqrt(sq) else 0 end)::float::double as e{i}" for i in range(len(LETTERS))
+    f"(case when sq > 0 then c{i} / sqrt(sq) when sq = 0 then 0 end)::float::double as e{i}" for i in range(len(LETTERS))
 )
 
 
@@ -164,7 +164,7 @@ def _made_sql(texts: str, key: str, text: str) -> str:
     return f"""
 made as (
   select *, case when n % 5 = 0 then 0 else (n % 100)::double / 100 end as confidence, n % 5 <> 0 as parsed
-  from (select {key}, {text} as body, length('{corpus.PROMPT}' || {text}) as n from {texts}))"""
+  from (select {key}, coalesce({text}, '') as body, length('{corpus.PROMPT}' || coalesce({text}, '')) as n from {texts}))"""
 
 
 @query("extract", f"""

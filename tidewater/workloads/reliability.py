@@ -90,7 +90,8 @@ def rollback_state(spark: SparkSession, sf: str) -> DataFrame:
 
 _BACKFILLED_SQL = """
 select c_custkey, coalesce(o.top, c_acctbal) as c_acctbal
-from customer left join (select o_custkey, max(o_totalprice) as top from orders group by 1) o on c_custkey = o_custkey"""
+from customer left join (select o_custkey, max(o_totalprice) as top from orders group by 1) o on c_custkey = o_custkey
+union all select o_custkey, max(o_totalprice) from orders where o_custkey is null group by 1"""
 
 
 @query("stateful_merge_changes", _BACKFILLED_SQL)
@@ -134,7 +135,9 @@ def recorded_snapshots(spark: SparkSession, sf: str) -> DataFrame:
 @query("state_from_changes", """
 select o_custkey, o_orderkey, snapshot_id from (
   select o_custkey, o_orderkey, year(o_orderdate) as snapshot_id,
-         row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
+         row_number() over (
+           partition by o_custkey, case when o_custkey is null then year(o_orderdate) end
+           order by o_orderdate desc, o_orderkey desc) as rn
   from orders where year(o_orderdate) <= 1999) where rn = 1""")
 def state_from_changes(spark: SparkSession, sf: str) -> DataFrame:
     """A change log with one batch per year, as of 1999."""
@@ -250,7 +253,7 @@ _ALERTS_SQL = """
 alerts as (
   select ts, case when value > 100 then 'CRITICAL' else 'WARNING' end as severity,
          case when value > 100 then '#data-incidents' else '#data-quality-drift' end as channel,
-         't' || user_id as table_name, event_id::varchar as message, value > 100 as pages
+         't' || user_id as table_name, event_id::varchar as message, coalesce(value > 100, false) as pages
   from events where event_type = 'error')"""
 
 
@@ -325,7 +328,7 @@ _RUNS_SQL = """
 ended as (select l_orderkey, max(l_shipdate) as ended_at from lineitem group by 1),
 runs as (
   select o_orderkey::varchar as run_id, o_orderdate as started_at, ended_at,
-         case when ended_at is null then 'running' else 'succeeded' end as status
+         case when l_orderkey is null then 'running' else 'succeeded' end as status
   from orders left join ended on o_orderkey = l_orderkey)"""
 
 

@@ -93,6 +93,14 @@ trips as (
   join supplier on l_suppkey = s_suppkey
 )"""
 
+TIMED_SQL = """
+trips as (
+  select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity as trip_distance,
+         cast(round(l_extendedprice * 100) as bigint) as fare_amount, l_linenumber as passenger_count,
+         o_orderdate as pickup_ts, l_shipdate as dropoff_ts
+  from lineitem join orders on l_orderkey = o_orderkey
+)"""
+
 ZONES_SQL = """
 zones as (
   select n_nationkey as id, n_name as zone, r_name as borough

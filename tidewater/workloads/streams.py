@@ -91,7 +91,7 @@ def dedup_stream_watermark(spark: SparkSession, sf: str) -> DataFrame:
 @query("gold_stream", f"""
 with {LOG_SQL}
 select topic as pickup_zone, date_trunc('hour', ts) as pickup_hour, count(*) as trip_count,
-       sum(cents)::double / count(*) as avg_fare
+       sum(cents)::double / count(cents) as avg_fare
 from log group by 1, 2
 having date_trunc('hour', ts) + interval 1 hour
        <= date_trunc('milliseconds', (select max(ts) from events)) - interval 2 hour""")
