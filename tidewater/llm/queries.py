@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, chat, lines, quality, secrets, urls, warc
+import corpus_pipeline
+from tidewater.llm import bpe, chat, decontam, lines, minhash, passages, quality, secrets, urls, warc
 from tidewater.llm.arrow import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +190,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.dedup_table(docs)
     return kept.select("doc_id", "line_stats.*", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op6_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document, and whether it stands for the class."""
+    classes = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+@query("op5_decontam")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the best passage."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_passages")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph that more than one document holds, its class, and whether it stays."""
+    return passages.repeats(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that pass all stages, as tokens."""
+    return corpus_pipeline.run(spark, sf_dir)
