@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.errors import ReconcileError
 from tidewater.operators import cdc, dedup, merge
-from tidewater.plans.cdc import apply_changes
+from tidewater.plans.cdc import apply_changes, current
 
 
 def rows(df):
@@ -220,3 +220,50 @@ def test_merge_into_needs_a_table_that_supports_it(spark, source):
     source.createOrReplaceTempView("plain_target")
     with pytest.raises(PySparkException):
         merge.merge_into_table("plain_target", source, ["k"])
+
+
+def test_replayed_and_late_events_change_nothing(spark):
+    state = spark.createDataFrame([], MIRROR + ", last_lsn bigint, deleted boolean")
+    new, old = event("u", {"id": 1}, {"id": 1, "name": "new"}, ts=200, lsn=9), event("c", None, {"id": 1, "name": "old"}, ts=100, lsn=3)
+    gone, back = event("d", {"id": 2}, None, ts=150, lsn=5), event("c", None, {"id": 2, "name": "b"}, ts=120, lsn=4)
+    for values in ((new, gone), (old, back), (new, gone)):
+        state = apply_changes(state, cdc.parse_cdc(log(spark, *values), FIELDS), "id", ["name"])
+    assert rows(current(state)) == [(1, "new", 200)]
+    assert apply(spark, [(1, "new", 200)], old) == [(1, "new", 200)]
+
+
+def test_other_columns_and_null_keys_of_a_mirror_stay(spark):
+    mirror = spark.createDataFrame([(1, "a", 1, "x"), (None, "n", 1, "y"), (3, "c", 1, "z")], MIRROR + ", note string")
+    events = cdc.parse_cdc(log(spark, event("u", {"id": 1}, {"id": 1, "name": "b"}, ts=2), event("c", None, {"id": 4, "name": "d"}, ts=2)), FIELDS)
+    got = rows(apply_changes(mirror, events, "id", ["name"]))
+    assert got == sorted([(1, "b", 2, "x"), (None, "n", 1, "y"), (3, "c", 1, "z"), (4, "d", 2, None)], key=repr)
+
+
+def test_each_table_has_its_mirror(spark):
+    events = cdc.parse_cdc(log(spark, event("c", None, {"id": 1, "name": "a"})), FIELDS)
+    start = spark.createDataFrame([], MIRROR)
+    assert apply_changes(start, events, "id", ["name"], "t").count() == 1
+    assert apply_changes(start, events, "id", ["name"], "other").count() == 0
+
+
+def test_a_merge_is_one_join_and_reads_each_side_once(spark, path):
+    for name in ("t", "s"):
+        spark.range(100).selectExpr("id as k", "id * 2 as v").write.parquet(path(name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge.merge_upsert(spark.read.parquet(path("t")), spark.read.parquet(path("s")), ["k"], check=False)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (plan.count("SortMergeJoin"), plan.count("Exchange hash"), plan.count("FileScan")) == (1, 2, 2)
+
+
+def test_bronze_is_compared_from_the_lowest_offset_on(spark):
+    bronze = spark.createDataFrame([("a", 0, i) for i in range(10)] + [("b", 0, 99)], "topic string, partition int, offset bigint")
+    batch = spark.createDataFrame([("a", 0, 9), ("a", 0, 10), ("b", 1, 0)], "topic string, partition int, offset bigint")
+    assert rows(cdc.new_events(bronze, batch)) == [("a", 0, 10), ("b", 1, 0)]
+
+
+def test_unreadable_records_are_returned(spark):
+    events = cdc.parse_cdc(log(spark, "junk", event("c", None, {"id": 1})), FIELDS)
+    assert cdc.unreadable(events).count() == 1

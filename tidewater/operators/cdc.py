@@ -97,11 +97,23 @@ def latest_changes(
     return latest_per_key(events.filter(F.col("op").isNotNull()), keys or ["entity_id"], list(order))
 
 
+def unreadable(events: DataFrame) -> DataFrame:
+    """Parsed records without a kind of change: what :func:`latest_changes` leaves out."""
+    return events.filter(F.col("op").isNull())
+
+
 def new_events(
     bronze: DataFrame, batch: DataFrame, at: tuple[str, ...] = ("topic", "partition", "offset")
 ) -> DataFrame:
-    """Records of a batch that bronze does not hold yet, by their place in the log."""
-    return batch.join(bronze.select(*at), list(at), "left_anti")
+    """Records of a batch that bronze does not hold yet, by their place in the log.
+
+    ``at`` ends with the offset, which rises within the columns before it. Only what bronze
+    holds from the batch's lowest offsets on is compared: one small row per partition of the log.
+    """
+    *log, offset = at
+    lowest = batch.groupBy(*log).agg(F.min(offset).alias("__from"))
+    recent = bronze.select(*at).join(lowest, log).filter(F.col(offset) >= F.col("__from")).drop("__from")
+    return batch.join(recent, list(at), "left_anti")
 
 
 def op_counts(events: DataFrame) -> DataFrame:

@@ -34,12 +34,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 def dedup_against(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key the target does not hold yet; a NULL matches a NULL, as in :func:`dedup`."""
-    seen = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
-    same = [df[k].eqNullSafe(seen[f"__t_{k}"]) for k in keys]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return df.join(seen, cond, "left_anti")
+    asked = df.select(*[F.col(k).alias(f"__a_{k}") for k in keys]).distinct()
+    held = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+
+    def same(left: str, right: str) -> Column:
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}"))
+        return cond
+
+    # The target is cut down to the batch's keys where it lies, when Spark can broadcast these.
+    seen = held.join(asked, same("__t_", "__a_"), "left_semi").distinct()
+    return df.join(seen, same("", "__t_"), "left_anti")
 
 
 def _per_key(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,12 +1,8 @@
 """Merge, upsert, insert-if-absent, keyed update and delete, as plain joins.
 
-Each function returns the new state of a target. The target is not shuffled
-when the change set is small: it is left-joined to the changes, which Spark
-broadcasts below its size threshold, and only the target's key column is read a
-second time, to see which changes hit. When both sides are large these are
-shuffle joins in which AQE can split a hot key of the target. The changes are
-read by several branches, so a change set that took work to compute should be
-passed through :func:`tidewater.session.staged` first.
+Each function returns the new state of a target. A merge is one full outer join, in
+which either side is read and shuffled once. Updates and inserts are left and anti
+joins, whose target stays where it is when Spark can broadcast the changes.
 
 A NULL in a key matches nothing, as in SQL.
 """
@@ -49,6 +45,16 @@ def _matched(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[Dat
     return target.join(side, cond, "left"), F.col("__s").isNotNull()
 
 
+def _merged(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[DataFrame, Column, Column]:
+    """All rows of both sides, packed in ``__t`` and ``__s``, and whether a target or source row is there."""
+    left = target.select(*[F.col(k).alias(f"__l_{k}") for k in keys], F.struct(*target.columns).alias("__t"))
+    right = source.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.struct(*source.columns).alias("__s"))
+    cond = F.col(f"__l_{keys[0]}") == F.col(f"__r_{keys[0]}")
+    for k in keys[1:]:
+        cond = cond & (F.col(f"__l_{k}") == F.col(f"__r_{k}"))
+    return left.join(right, cond, "full"), F.col("__t").isNotNull(), F.col("__s").isNotNull()
+
+
 def classify_merge(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Key values with a class: matched, target_only or source_only. A NULL in a key never matches."""
 
@@ -73,12 +79,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: b
     """
     if check:
         require_unique(source, keys)
-    joined, hit = _matched(target, source, keys)
-    kept = joined.select(
-        *[F.when(hit, F.col(f"__s.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns]
-    )
-    added = source.join(_hits(target, source, keys), keys, "left_anti")
-    return kept.unionByName(added.select(*target.columns))
+    joined, old, new = _merged(target, source, keys)
+    return joined.select(*[F.when(new, F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c) for c in target.columns])
 
 
 def merge_cdc(
@@ -103,19 +105,16 @@ def merge_cdc(
     )
     if check:
         require_unique(batch, [key], "change batch")
-    joined, _ = _matched(target, batch, [key])
+    joined, old, _ = _merged(target, batch, [key])
     kind = F.coalesce(F.col("__s.__op"), F.lit(""))
-    kept = joined.filter(~kind.isin(*deletes)).select(
+    puts = kind.isin(*upserts)
+    named = {key, *values}
+    return joined.filter((old & ~kind.isin(*deletes)) | (~old & puts)).select(
         *[
-            F.when(kind.isin(*upserts), F.col(f"__s.{c}")).otherwise(F.col(c)).alias(c)
-            if c in values
-            else F.col(c)
+            F.when(puts, F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c) if c in named else F.col(f"__t.{c}")
             for c in target.columns
         ]
     )
-    new = batch.filter(F.col("__op").isin(*upserts))
-    added = new.join(_hits(target, new, [key]), key, "left_anti")
-    return kept.unionByName(added.drop("__op"), allowMissingColumns=True).select(*target.columns)
 
 
 def insert_if_absent(
@@ -168,9 +167,9 @@ def insert_rows(target: DataFrame, rows: list[dict]) -> DataFrame:
 
 def merge_into_table(table: str, source: DataFrame, keys: list[str]) -> None:
     """The upsert as ``MERGE INTO``, for catalogs whose tables support it."""
-    source.createOrReplaceTempView("tidewater_merge_source")
     on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
     source.sparkSession.sql(
-        f"MERGE INTO {table} AS t USING tidewater_merge_source AS s ON {on} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        f"MERGE INTO {table} AS t USING {{source}} AS s ON {on} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+        source=source,
     )

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import cdc, clean, dedup
-from tidewater.plans.cdc import apply_changes
+from tidewater.plans.cdc import apply_changes, current
+from tidewater.session import staged
 from tidewater.workloads import shapes
 from tidewater.workloads.registry import query
 from tidewater.workloads.shapes import CDC_SQL, IMAGE, table
@@ -59,13 +60,19 @@ def drop_tombstones(spark: SparkSession, sf: str) -> DataFrame:
     return kept.unionByName(every).agg(F.sum("records").alias("records"), F.sum("all").alias("with_tombstones"))
 
 
-@query("payload_schema", """select count(*) as n from events""")
+@query("payload_schema", f"""
+with {CDC_SQL}
+select op, count(*) as n, sum(case when op <> 'd' then cents end) as cents, max(ts_ms) as ts_ms from cdc group by 1""")
 def payload_schema(spark: SparkSession, sf: str) -> DataFrame:
-    """Events parsed with the JSON type that all of them together have."""
-    log = shapes.change_log(spark, sf)
-    return cdc.drop_tombstones(log).select(F.try_parse_json("value").alias("v")).agg(
-        F.schema_of_variant_agg("v").alias("s"), F.count("v").alias("n")
-    ).filter(F.col("s").contains("cents") & F.col("s").contains("ts_ms")).select("n")
+    """The log parsed with the type inferred from it; its first records have no after image or no before image."""
+    log = cdc.drop_tombstones(shapes.change_log(spark, sf))
+    kind = cdc.infer_payload_schema(log).replace("OBJECT<", "STRUCT<")
+    parsed = log.select(F.from_json("value", kind).alias("v")).select("v.payload.*")
+    return parsed.groupBy("op").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("after.cents").cast("bigint")).alias("cents"),
+        F.max(F.col("ts_ms").cast("bigint")).alias("ts_ms"),
+    )
 
 
 @query("entity_key", f"with {CDC_SQL} select lsn as source_lsn, id as entity_id from cdc")
@@ -134,10 +141,46 @@ def cdc_reapply(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("reconcile", f"""
-with {CDC_SQL}
-select count(*) as source_n, count(*) as mirror_n, true as matches from latest where op <> 'd'""")
+with {CDC_SQL},
+sides as (
+  select id, true as is_source, true as is_mirror from latest where op <> 'd'
+  union all select id, true, false from latest where op = 'd')
+select 'same' as side, count(*) filter (is_mirror) as source_n, count(*) filter (is_mirror) as mirror_n, true as matches from sides
+union all
+select 'with_deleted', count(*), count(*) filter (is_mirror), count(*) = count(*) filter (is_mirror) from sides""")
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    return cdc.reconcile(_source(spark, sf), _mirror(spark, sf))
+    """The mirror against its source, and against one that still has the deleted users."""
+    mirror = staged(_mirror(spark, sf), "mirror")
+    deleted = cdc.latest_changes(cdc.with_entity_key(_events(spark, sf))).filter("op = 'd'")
+    more = _source(spark, sf).select("id").unionByName(deleted.select(F.col("entity_id").alias("id")))
+    return (
+        cdc.reconcile(_source(spark, sf), mirror).withColumn("side", F.lit("same"))
+        .unionByName(cdc.reconcile(more, mirror).withColumn("side", F.lit("with_deleted")))
+    )
+
+
+STATE = MIRROR + ", last_lsn bigint, deleted boolean"
+
+
+@query("cdc_replay", _MIRROR_SQL)
+def cdc_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The log in two batches, then the first one again, as after a replay: older events change nothing."""
+    events = staged(_events(spark, sf), "events")
+    half = F.lit("2024-01-16").cast("timestamp")
+    first, second = events.filter(F.col("timestamp") < half), events.filter(F.col("timestamp") >= half)
+    state = spark.createDataFrame([], STATE)
+    for batch in (first, second, first):
+        state = staged(apply_changes(state, batch, "id", ["name", "cents"]), "state")
+    return current(state)
+
+
+@query("cdc_two_tables", _MIRROR_SQL)
+def cdc_two_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """A log of two tables with equal ids; each mirror takes its own."""
+    events = table(spark, sf, "events")
+    other = events.withColumns({"value": -F.col("value"), "ts": F.col("ts") + F.expr("interval 1 day")})
+    both = shapes.as_change_records(events).unionByName(shapes.as_change_records(other, "drivers"))
+    return apply_changes(_empty(spark), cdc.parse_cdc(both, IMAGE), "id", ["name", "cents"], "users")
 
 
 def _source(spark: SparkSession, sf: str) -> DataFrame:

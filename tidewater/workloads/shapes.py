@@ -63,6 +63,19 @@ def timed_trips(spark: SparkSession, sf: str, items: DataFrame | None = None) ->
     return items.join(pickups(spark, sf, False), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 
 
+def flawed_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Timed trips of which some have no pickup time, no dropoff time or negative counts."""
+    df = timed_trips(spark, sf)
+    return df.withColumns(
+        {
+            "pickup_ts": F.when(F.col("l_linenumber") != 7, F.col("pickup_ts")),
+            "dropoff_ts": F.when(F.col("l_partkey") % 11 != 0, F.col("dropoff_ts")),
+            "trip_distance": F.when(F.col("l_suppkey") % 5 == 0, -F.col("trip_distance")).otherwise(F.col("trip_distance")),
+            "passenger_count": F.when(F.col("l_partkey") % 13 != 0, F.col("passenger_count")),
+        }
+    )
+
+
 def pickup_trips(spark: SparkSession, sf: str, items: DataFrame | None = None) -> DataFrame:
     """Trips with times and the pickup zone. The smaller pair of tables is joined first."""
     items = lines(spark, sf) if items is None else items
@@ -101,6 +114,16 @@ trips as (
   from lineitem join orders on l_orderkey = o_orderkey
 )"""
 
+FLAWED_SQL = TIMED_SQL.replace("trips as", "timed as") + """,
+trips as (
+  select * exclude (pickup_ts, dropoff_ts, trip_distance, passenger_count),
+         case when l_linenumber <> 7 then pickup_ts end as pickup_ts,
+         case when l_partkey % 11 <> 0 then dropoff_ts end as dropoff_ts,
+         case when l_suppkey % 5 = 0 then -trip_distance else trip_distance end as trip_distance,
+         case when l_partkey % 13 <> 0 then passenger_count end as passenger_count
+  from timed
+)"""
+
 ZONES_SQL = """
 zones as (
   select n_nationkey as id, n_name as zone, r_name as borough
@@ -153,7 +176,7 @@ log as (
 # -- change log: an event changes the row of its user; errors delete it
 
 
-def as_change_records(events: DataFrame) -> DataFrame:
+def as_change_records(events: DataFrame, name: str = "users") -> DataFrame:
     """Events as change records, each delete followed by a tombstone."""
     kind = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
     image = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name"), cents("value").alias("cents"))
@@ -161,7 +184,7 @@ def as_change_records(events: DataFrame) -> DataFrame:
         kind.alias("op"),
         F.when(kind != "c", image).alias("before"),
         F.when(kind != "d", image).alias("after"),
-        F.struct(F.col("event_id").alias("lsn"), F.lit("users").alias("table")).alias("source"),
+        F.struct(F.col("event_id").alias("lsn"), F.lit(name).alias("table")).alias("source"),
         F.unix_millis(ts("ts")).alias("ts_ms"),
     )
     record = F.to_json(F.struct(payload.alias("payload")))
