@@ -1,11 +1,13 @@
 """Structured Streaming."""
 
 from tidewater.streaming.layers import (
+    append_new,
     bronze_stream,
     dedup_stream,
     gold_stream,
     parse_json_payload,
     run_once,
+    silver_rows,
     silver_stream,
     stop,
     stream_append,
@@ -14,11 +16,13 @@ from tidewater.streaming.layers import (
 )
 
 __all__ = [
+    "append_new",
     "bronze_stream",
     "dedup_stream",
     "gold_stream",
     "parse_json_payload",
     "run_once",
+    "silver_rows",
     "silver_stream",
     "stop",
     "stream_append",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,8 +10,10 @@ from pyspark.sql.types import StructType
 
 from tidewater.functions import computed_once, parse_ts
 from tidewater.operators.clean import clean_ts
+from tidewater.operators.dedup import dedup, dedup_against
 from tidewater.operators.enrich import enrich_zones
 from tidewater.operators.gold import gold_zone_hour_window
+from tidewater.session import staged
 from tidewater.sources.records import with_record_meta
 
 
@@ -104,8 +107,9 @@ def dedup_stream(
 
     With a delay the state stays bounded. If the event time is part of the key,
     its copies share one time and are dropped as long as they are not later than
-    the delay; otherwise a key is remembered for the delay after its first row.
-    Without a delay every key is remembered for good.
+    the delay; otherwise a key is remembered for the delay after its first row. A row that
+    comes later than the delay is dropped even if its key is new: Spark cannot tell. Without a
+    delay every key is remembered for good. :func:`append_new` has neither limit.
 
     All copies of a key meet in one state partition. For keys with very many
     copies give a ``salt`` that differs between copies, such as the log offset:
@@ -125,26 +129,76 @@ def dedup_stream(
     return first(df, keys)
 
 
-def silver_stream(
+def append_new(
+    df: DataFrame, path: str, checkpoint: str, keys: list[str], ts: str, trigger: str | None = None
+) -> StreamingQuery:
+    """Start appending those rows of a stream whose key the dataset does not hold yet.
+
+    Each micro-batch keeps one row per key and is compared with what the dataset holds of
+    the batch's days only (it is partitioned by ``<ts>_day``; the time belongs to the key, so copies share
+    a day). Nothing is remembered between batches and no row is lost to lateness. A batch
+    that is retried finds its rows and adds nothing. Rows without a time are one more day.
+    """
+    if ts not in keys:
+        raise ValueError(f"{ts} has to be one of the keys, so that copies are found on one day")
+    day = f"{ts}_day"
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch = batch.withColumn(day, F.coalesce(F.to_date(ts), F.lit("1000-01-01").cast("date")))
+        unique = staged(dedup(batch, keys), "stream-batch")
+        try:
+            held = batch.sparkSession.read.schema(unique.schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            held = unique.limit(0)
+        days = unique.select(day).distinct()
+        seen = held.join(days, day, "left_semi")
+        dedup_against(unique, seen, keys).write.mode("append").partitionBy(day).parquet(path)
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
+def silver_rows(
     bronze: DataFrame,
     zones: DataFrame,
     schema: StructType | str,
-    keys: list[str],
     pickup: str = "tpep_pickup_datetime",
     dropoff: str = "tpep_dropoff_datetime",
-    delay: str | None = None,
-    salt: Column | None = None,
     pickup_zone: str | None = "PULocationID",
     dropoff_zone: str | None = "DOLocationID",
     **lookup,
 ) -> DataFrame:
-    """Parse, drop rows without times, deduplicate, look zones up."""
+    """Parse, drop rows without times, look zones up; copies are left to :func:`append_new`."""
     parsed = parse_json_payload(bronze, schema)
     timed = clean_ts(
         parsed.withColumns({"pickup_ts": parse_ts(pickup), "dropoff_ts": parse_ts(dropoff)}).drop(pickup, dropoff)
     )
-    unique = dedup_stream(timed, keys, "pickup_ts", delay, salt)
-    return enrich_zones(unique, zones, pickup_zone, dropoff_zone, **lookup)
+    return enrich_zones(timed, zones, pickup_zone, dropoff_zone, **lookup)
+
+
+def silver_stream(
+    bronze: DataFrame,
+    zones: DataFrame,
+    schema: StructType | str,
+    keys: list[str],
+    pickup: str = "tpep_pickup_datetime",
+    dropoff: str = "tpep_dropoff_datetime",
+    delay: str | None = None,
+    salt: Column | None = None,
+    pickup_zone: str | None = "PULocationID",
+    dropoff_zone: str | None = "DOLocationID",
+    **lookup,
+) -> DataFrame:
+    """:func:`silver_rows` with copies dropped by state, see :func:`dedup_stream` for what that costs.
+
+    For a silver table that loses nothing and keeps no state, append the rows of
+    :func:`silver_rows` with :func:`append_new`.
+    """
+    rows = silver_rows(bronze, zones, schema, pickup, dropoff, pickup_zone, dropoff_zone, **lookup)
+    return dedup_stream(rows, keys, "pickup_ts", delay, salt)
 
 
 def gold_stream(
