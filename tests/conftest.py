@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidewater import shared_dir, sinks, sources, streaming
@@ -62,16 +61,8 @@ def test_duration_and_months(spark):
 
 def test_zone_lookup_keeps_unmatched(spark, zones):
     raw = spark.createDataFrame([trip(), trip(pu=None, do=9)], TRIP)
-    for hint in (True, False):
-        got = enrich.enrich_zones(raw, zones, hint=hint)
-        assert {(r["pickup_zone"], r["dropoff_borough"]) for r in got.collect()} == {("Z1", "B2"), (None, None)}
-
-
-def test_size_check(spark, zones):
-    assert enrich.fits_broadcast(zones)
-    assert not enrich.fits_broadcast(zones, max_rows=1)
-    assert not enrich.fits_broadcast(zones, max_bytes=10)
-    assert enrich.fits_broadcast(zones.limit(0))
+    got = enrich.enrich_zones(raw, zones)
+    assert {(r["pickup_zone"], r["dropoff_borough"]) for r in got.collect()} == {("Z1", "B2"), (None, None)}
 
 
 def test_hot_zone_survives_without_broadcast(spark, zones):
@@ -79,7 +70,7 @@ def test_hot_zone_survives_without_broadcast(spark, zones):
     raw = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("int").alias("PULocationID"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = enrich.enrich_zones(raw, zones, dropoff=None, hint=False).groupBy("pickup_zone").count().collect()
+        got = enrich.enrich_zones(raw, zones, dropoff=None).groupBy("pickup_zone").count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r["pickup_zone"]: r["count"] for r in got} == {"Z1": 1001, "Z2": 1, None: 1998}
@@ -141,11 +132,18 @@ def test_inferred_csv_types(spark, tmp_path):
     assert df.dtypes == [("id", "int"), ("v", "string")] and df.count() == 2
 
 
-def test_empty_batch_is_not_written(spark, path):
+def test_empty_batch_adds_nothing_and_the_plan_runs_once(spark, path):
     assert not sinks.append_nonempty(spark.range(0), path("x"))
-    with pytest.raises(PySparkException):
-        spark.read.parquet(path("x"))
-    assert sinks.append_nonempty(spark.range(1), path("x"))
+    assert spark.read.parquet(path("x")).count() == 0
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    assert sinks.append_nonempty(spark.range(5).mapInArrow(count, "id long"), path("x"))
+    assert seen.value == 5 and spark.read.parquet(path("x")).count() == 5
 
 
 def test_partition_overwrite_leaves_other_partitions(spark, path):
@@ -167,8 +165,29 @@ def test_tables(spark, path):
         spark.sql(f"drop table {name}")
 
 
+def test_append_by_name(spark, path):
+    sinks.create_or_append(spark.createDataFrame([(1, "x")], "a int, b string"), "tw_named_columns", path("t"))
+    sinks.create_or_append(spark.createDataFrame([("y", 2)], "b string, a int"), "tw_named_columns")
+    assert {(r["a"], r["b"]) for r in spark.table("tw_named_columns").collect()} == {(1, "x"), (2, "y")}
+    with pytest.raises(ValueError, match="columns"):
+        sinks.create_or_append(spark.createDataFrame([(1,)], "a int"), "tw_named_columns")
+    spark.sql("drop table tw_named_columns")
+
+
 def test_shared_dir_comes_from_the_session(spark):
-    assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)).rstrip("/")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_staged_data_lies_in_one_folder_per_application(spark):
+    import os
+
+    from tidewater import drop_staged, fresh_path, staged
+
+    assert staged(spark.range(3)).count() == 3
+    folder = os.path.dirname(fresh_path(spark, "x"))
+    assert os.path.basename(folder) == spark.sparkContext.applicationId and os.listdir(folder)
+    drop_staged(spark)
+    assert not os.path.exists(folder)
 
 
 def test_inbox(spark, path, zones):
@@ -191,6 +210,22 @@ def test_inbox(spark, path, zones):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_files_of_equal_name_in_two_folders(spark, path, zones):
+    import pathlib
+
+    for folder, rows in (("a", [trip(1)]), ("b", [trip(1), trip(2)])):
+        spark.createDataFrame(rows, TRIP).coalesce(1).write.parquet(path(f"new-{folder}"))
+        target = pathlib.Path(path("inbox")) / folder
+        target.mkdir(parents=True)
+        next(pathlib.Path(path(f"new-{folder}")).glob("part-*.parquet")).rename(target / "trips.parquet")
+        args = (spark, path("inbox") + "/*/*.parquet", path("manifest"), path("out"), zones, KEYS)
+        assert trips.ingest_inbox(*args) == 1
+        assert trips.ingest_inbox(*args) == 0
+    got = spark.read.parquet(path("out"))
+    assert sorted(r["VendorID"] for r in got.collect()) == [1, 1, 2]
+    assert {r["source_file"] for r in got.collect()} == {"trips.parquet"}
+
+
 def test_crash_before_the_manifest_leaves_no_second_copy(spark, path, zones):
     inbox, out = path("inbox"), path("out")
     spark.createDataFrame([trip()], TRIP).coalesce(1).write.parquet(inbox)
@@ -225,6 +260,21 @@ def test_stream_dedup_across_batches(spark, path, salted, delay):
     assert sorted(r["k"] for r in spark.read.parquet(path("out")).collect()) == [1, 2, 3]
 
 
+def test_append_new_keeps_late_rows_and_adds_none_twice(spark, path):
+    batches = [[(1, at(0)), (1, at(0)), (2, at(5000))], [(3, at(1)), (2, at(5000)), (4, None)], [(1, at(0)), (4, None), (5, at(9))]]
+    for k, batch in enumerate(batches):
+        land(spark, path, "in", batch)
+        if k != 1:
+            rows = stream(spark, path, "in")
+            streaming.append_new(rows, path("out"), path("ckpt"), ["k", "ts"], "ts").awaitTermination()
+    assert sorted(r["k"] for r in spark.read.parquet(path("out")).collect()) == [1, 2, 3, 4, 5]
+    again = stream(spark, path, "in")
+    streaming.append_new(again, path("out"), path("lost-ckpt"), ["k", "ts"], "ts").awaitTermination()
+    assert spark.read.parquet(path("out")).count() == 5
+    with pytest.raises(ValueError):
+        streaming.append_new(again, path("out"), path("c"), ["k"], "ts")
+
+
 def test_stream_dedup_with_time_in_the_key(spark, path):
     land(spark, path, "in", [(1, at(0)), (1, at(0)), (1, at(1))])
     land(spark, path, "in", [(1, at(0)), (1, at(2))])

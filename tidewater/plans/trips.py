@@ -18,8 +18,9 @@ from tidewater.operators.clean import (
 from tidewater.operators.dedup import dedup
 from tidewater.operators.enrich import enrich_zones
 from tidewater.operators.gold import gold_zone_period
+from tidewater.session import staged
 from tidewater.sinks import overwrite_partitions
-from tidewater.sources import list_files, mark_processed, new_files, read_manifest, read_parquet
+from tidewater.sources import mark_processed, read_manifest, read_parquet, with_source_path
 
 
 def clean_trips(
@@ -27,10 +28,9 @@ def clean_trips(
 ) -> DataFrame:
     """Parse, clean, deduplicate and derive the trips of one batch of files.
 
-    Rows carry the file they came from, and copies are looked for within a file.
+    Rows carry the file they came from (``source_path``), and copies are looked for within a file.
     """
-    typed = typed_trips(with_lineage(raw), trip)
-    unique = dedup(clean_basic(typed, trip), [*keys, "source_file"], order)
+    unique = dedup(clean_basic(typed_trips(raw, trip), trip), [*keys, "source_path"], order)
     return with_pickup_date(with_duration(unique, trip), trip)
 
 
@@ -38,8 +38,8 @@ def months_per_file(trips: DataFrame, ts: str, n: int | None) -> DataFrame:
     """Of each file the rows from n months before its newest one on."""
     if not n or n <= 0:
         return trips
-    cutoffs = trips.groupBy("source_file").agg(F.add_months(F.max(ts), -n).alias("__from"))
-    return trips.join(cutoffs, "source_file").filter(F.col(ts) >= F.col("__from")).drop("__from")
+    cutoffs = trips.groupBy("source_path").agg(F.add_months(F.max(ts), -n).alias("__from"))
+    return trips.join(cutoffs, "source_path").filter(F.col(ts) >= F.col("__from")).drop("__from")
 
 
 def ingest_inbox(
@@ -54,29 +54,38 @@ def ingest_inbox(
     trip: Trip = TRIP,
     **lookup,
 ) -> int:
-    """Process the files under a glob that the manifest does not list; returns how many.
+    """Process the files under a glob that no earlier run has; returns how many had rows.
 
-    All new files are one job. Output is partitioned by file and replaces that
-    partition, so a run that died between the write and the manifest is simply
-    repeated and leaves no second copy. File names come to the driver, which
-    needs them to plan the scan anyway; rows do not.
+    The inbox is a file stream, run until all that is there is taken: its checkpoint beside the
+    manifest knows files by their full path, so files of equal name in two folders are two files, and no
+    list of files goes through this function. Files that the manifest lists are left out as well.
+    Output is partitioned by file and replaces that partition, so a run that died
+    between the write and the manifest is simply repeated and leaves no second copy.
     """
-    todo = new_files(list_files(spark, inbox_glob), read_manifest(spark, manifest))
-    found = todo.select("file_name", "path").collect()
-    if not found:
-        return 0
-    trips = clean_trips(read_parquet(spark, *[f["path"] for f in found]), keys, order, trip)
-    recent = months_per_file(trips, trip.pickup, months)
-    rich = enrich_zones(recent, zones, trip.pickup_zone, trip.dropoff_zone, **lookup)
-    overwrite_partitions(rich, out, "source_file")
-    mark_processed(spark.createDataFrame([(f["file_name"],) for f in found], "file_name string"), manifest)
-    return len(found)
+    schema = read_parquet(spark, inbox_glob).schema
+    inbox = with_source_path(with_lineage(spark.readStream.schema(schema).parquet(inbox_glob)))
+    taken = [0]
+
+    def process(batch: DataFrame, _: int) -> None:
+        done = read_manifest(spark, manifest).select(F.col("path").alias("source_path"))
+        fresh = batch.join(done, "source_path", "left_anti")
+        trips = months_per_file(clean_trips(fresh, keys, order, trip), trip.pickup, months)
+        rich = enrich_zones(trips, zones, trip.pickup_zone, trip.dropoff_zone, **lookup)
+        overwrite_partitions(rich.withColumn("source_id", F.sha2("source_path", 256)), out, "source_id")
+        files = fresh.groupBy(F.col("source_path").alias("path")).agg(F.any_value("source_file").alias("file_name"))
+        files = staged(files, "files")
+        mark_processed(files, manifest)
+        taken[0] += files.count()
+
+    query = inbox.writeStream.foreachBatch(process).option("checkpointLocation", f"{manifest}-checkpoint")
+    query.trigger(availableNow=True).start().awaitTermination()
+    return taken[0]
 
 
 def silver_trips(bronze: DataFrame, zones: DataFrame, trip: Trip = TRIP, **lookup) -> DataFrame:
     """Typed, strictly cleaned trips with zone names and the pickup day to partition by."""
     clean = clean_strict(typed_trips(bronze, trip), trip)
-    rich = enrich_zones(clean, zones, trip.pickup_zone, trip.dropoff_zone, hint=False, **lookup)
+    rich = enrich_zones(clean, zones, trip.pickup_zone, trip.dropoff_zone, **lookup)
     return with_pickup_date(rich, trip)
 
 

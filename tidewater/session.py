@@ -51,9 +51,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def application_dir(spark: SparkSession) -> str:
+    """What this application has staged lies under this folder."""
+    return f"{shared_dir(spark)}/tidewater/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
-    return f"{shared_dir(spark)}/tidewater/{label}-{uuid.uuid4().hex}"
+    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all that this application has staged. For its end: DataFrames may still read from there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,17 +15,26 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def append_nonempty(df: DataFrame, path: str) -> bool:
-    """Add the rows unless there are none; says whether it wrote."""
-    if df.isEmpty():
-        return False
-    append(df, path)
-    return True
+    """Add the rows; says whether there were any.
+
+    The plan runs once and its rows are counted as they are written. Without rows the
+    dataset gains no row, at most a file that holds its schema.
+    """
+    seen = Observation()
+    append(df.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    return seen.get["n"] > 0
 
 
 def create_or_append(df: DataFrame, table: str, path: str | None = None, fmt: str = "parquet") -> None:
-    """Create the catalog table on the first run, add to it afterwards."""
+    """Create the catalog table on the first run, add to it afterwards.
+
+    Columns are matched by name; a batch with other columns than the table is refused.
+    """
     if df.sparkSession.catalog.tableExists(table):
-        df.write.mode("append").insertInto(table)
+        columns = df.sparkSession.table(table).columns
+        if sorted(columns) != sorted(df.columns):
+            raise ValueError(f"{table} has the columns {columns}, the batch has {df.columns}")
+        df.select(*columns).write.mode("append").insertInto(table)
         return
     writer = df.write.format(fmt)
     (writer.option("path", path) if path else writer).saveAsTable(table)

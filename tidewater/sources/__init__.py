@@ -12,6 +12,7 @@ from tidewater.sources.files import (
     read_texts,
     take_first,
     with_source_file,
+    with_source_path,
 )
 from tidewater.sources.records import in_log_order, read_event_log, read_event_stream, with_record_meta
 from tidewater.sources.tables import read_jdbc, read_table, read_table_stream
@@ -35,4 +36,5 @@ __all__ = [
     "take_first",
     "with_record_meta",
     "with_source_file",
+    "with_source_path",
 ]

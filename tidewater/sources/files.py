@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-MANIFEST_SCHEMA = "file_name string, processed_at timestamp"
+MANIFEST_SCHEMA = "path string, file_name string, processed_at timestamp"
 
 
 def read_parquet(spark: SparkSession, *paths: str, schema: StructType | str | None = None) -> DataFrame:
@@ -34,6 +34,11 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def with_source_path(df: DataFrame) -> DataFrame:
+    """Full path of the file each row came from; like the name it is taken at the scan."""
+    return df.withColumn("source_path", F.col("_metadata.file_path"))
+
+
 def list_files(spark: SparkSession, glob: str) -> DataFrame:
     """Name, path, length and time of the files under a glob; contents are not read."""
     return spark.read.format("binaryFile").load(glob).select(
@@ -44,8 +49,8 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
-def new_files(inbox: DataFrame, manifest: DataFrame, key: str = "file_name") -> DataFrame:
-    """Inbox files that the manifest does not list."""
+def new_files(inbox: DataFrame, manifest: DataFrame, key: str = "path") -> DataFrame:
+    """Inbox files that the manifest does not list. Files of equal name in different folders are different."""
     return inbox.join(manifest.select(key), key, "left_anti")
 
 
@@ -58,9 +63,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
             raise
         return spark.createDataFrame([], MANIFEST_SCHEMA)
 
+
 def mark_processed(files: DataFrame, manifest_path: str) -> None:
-    """Add file names to the manifest, after their output has been written."""
-    done = files.select("file_name", F.current_timestamp().alias("processed_at"))
+    """Add files (path, file_name) to the manifest, after their output has been written."""
+    done = files.select("path", "file_name", F.current_timestamp().alias("processed_at"))
     done.coalesce(1).write.mode("append").parquet(manifest_path)
 
 
