@@ -100,11 +100,10 @@ def brute_force(vectors, queries, k):
     return want
 
 
-@pytest.mark.parametrize("blocks", [None, (7, 30)])
+@pytest.mark.parametrize("blocks", [(5_000, 50_000), (7, 30)])
 def test_nearest_is_exact_also_with_many_copies(spark, monkeypatch, blocks):
-    """A third of the vectors are copies of one; both ways to search agree with brute force."""
+    """A third of the vectors are copies of one; one block and several agree with brute force."""
     if blocks:
-        monkeypatch.setattr(corpus, "MAX_BROADCAST_QUERIES", 0)
         monkeypatch.setattr(corpus, "QUERY_BLOCK", blocks[0])
         monkeypatch.setattr(corpus, "CORPUS_BLOCK", blocks[1])
     rng = np.random.default_rng(3)
@@ -136,3 +135,20 @@ def test_changed(spark):
     old = corpus.embed(spark.createDataFrame([(1, "a"), (2, "b")], "k int, t string"), "k", "t", letter_encoder(), "text", "m", "1")
     new = spark.createDataFrame([(1, "a"), (2, "c"), (3, "d")], "k int, t string")
     assert [r["k"] for r in corpus.changed(old, new, "k", "t").collect()] == [2]
+
+
+def test_no_tree_ends_the_job(spark):
+    deep = "[" * 200_000
+    bounds = ["[null, 1, 2, 3]", '"wide"', "7", "[1, 2, 3]", f"[0, 0, 1, {2**40}]", "[1, 2, 3, 4]", "[1e400, 0, 0, 0]"]
+    trees = [f'{{"class": "a", "text": "t", "bounds": {b}}}' for b in bounds]
+    df = spark.createDataFrame(enumerate([*trees, deep, None, ""]), "k int, tree string")
+    got = {r["k"]: r["elements"] for r in corpus.flatten_tree(df, "k").collect()}
+    assert [list(got[i][0]["bounds"]) for i in range(len(bounds))] == [[0] * 4] * 5 + [[1, 2, 3, 4], [0] * 4]
+    assert [got[i] for i in range(len(bounds), len(bounds) + 3)] == [None] * 3
+
+
+def test_no_confidence_goes_to_review(spark):
+    made = corpus.parse_output(
+        spark.createDataFrame([(1, '{"confidence": "NaN"}'), (2, '{"confidence": 0.9}'), (3, "no")], "k int, output string")
+    ).withColumn("source_fingerprint", F.lit("f"))
+    assert {r["k"] for r in corpus.review_queue(made, "k").collect()} == {1, 3}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.errors import DataQualityError
-from tidewater.operators import history, quality, runs
+from tidewater.operators import clean, history, quality, runs
 from tidewater.plans.replicate import Replication, replicate
 
 
@@ -262,3 +262,19 @@ def test_replication_end_to_end(spark, path):
     with pytest.raises(ValueError, match="repeats"):
         replicate(spark, cfg(csv(spark, path, "dups", range(700), range(1, 11))), d(3))
     assert history.current_snapshot_id(spark, path("h")) == second
+
+
+def test_repeated_ends_of_a_run(spark):
+    run = runs.start_run(spark, datetime(2024, 1, 1))
+    run_id = run.first()["run_id"]
+    ends = spark.createDataFrame(
+        [(run_id, datetime(2024, 1, 1, 1), "failed"), (run_id, datetime(2024, 1, 1, 2), "succeeded")] * 2,
+        "run_id string, ended_at timestamp, status string",
+    )
+    got = runs.finish_runs(run, ends).collect()
+    assert [(r["status"], r["ended_at"]) for r in got] == [("succeeded", datetime(2024, 1, 1, 2))]
+
+
+def test_ids_of_keys_with_nulls_differ(spark):
+    df = spark.createDataFrame([(None, 1), (1, None), (None, 1)], "a int, b int")
+    assert clean.with_row_id(df, "a", "b").select("trip_id").distinct().count() == 2

@@ -77,8 +77,12 @@ def l2_normalize(c: Column | str) -> Column:
 
 
 def stable_id(*keys: Column | str) -> Column:
-    """A row id that depends on the key alone, so a rerun gives the same ids."""
-    return F.xxhash64(*[_col(k) for k in keys])
+    """A row id that depends on the key alone, so a rerun gives the same ids.
+
+    SHA-256 of the key as JSON, in which a NULL has its place: (NULL, 1) and (1, NULL) differ.
+    """
+    named = F.struct(*[_col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    return F.sha2(F.to_json(named, {"ignoreNullFields": "false"}), 256)
 
 
 def computed_once(df: DataFrame, keep: list[str], name: str, value: Column) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import fingerprint, json_double, json_set
-from tidewater.operators.enrich import fits_broadcast
+from tidewater.session import staged
 
 # The extraction prompt, its version, and the payload key of its output.
 PROMPT = "You are an extractor. Return JSON with fields: title, elements, confidence. Text: "
@@ -34,8 +34,9 @@ def tree_elements(tree: Column | str) -> Column:
     """The nodes of a UI tree in JSON, in depth-first order with parents first.
 
     Nodes without text and class are left out but their children are not. The
-    walk starts at ``activity.root`` where there is one. A text that is not JSON
-    gives NULL. Depth is not bounded, so this is a loop in Arrow batches.
+    walk starts at ``activity.root`` where there is one. A text that is not JSON, or
+    nested deeper than the decoder goes, gives NULL. Bounds that are not four whole
+    numbers of 32 bits become zeros. Nodes may lie at any depth, so this is a loop in Arrow batches.
     """
     end = object()
 
@@ -57,13 +58,20 @@ def tree_elements(tree: Column | str) -> Column:
     def label(node: dict, name: str) -> str:
         return str(node.get(name) or "").strip()
 
+    def box(sides) -> list[int]:
+        try:
+            whole = [int(b) for b in sides]
+        except (TypeError, ValueError, OverflowError):
+            return [0, 0, 0, 0]
+        return whole if len(whole) == 4 and all(-(2**31) <= b < 2**31 for b in whole) else [0, 0, 0, 0]
+
     def flat(texts: pa.Array) -> pa.Array:
         cls, text, bounds, sides, ends, missing = [], [], [], [0], [0], []
         for raw in texts.to_pylist():
             try:
                 root = start(json.loads(raw))
                 missing.append(False)
-            except (TypeError, ValueError):
+            except (TypeError, ValueError, RecursionError):
                 root = None
                 missing.append(True)
             for node in parents_first(root):
@@ -71,7 +79,7 @@ def tree_elements(tree: Column | str) -> Column:
                 if any(pair):
                     cls.append(pair[0])
                     text.append(pair[1])
-                    bounds.extend(int(b) for b in node.get("bounds") or (0, 0, 0, 0))
+                    bounds.extend(box(node.get("bounds")))
                     sides.append(len(bounds))
             ends.append(len(cls))
         boxes = pa.ListArray.from_arrays(pa.array(sides, pa.int32()), pa.array(bounds, pa.int32()))
@@ -220,8 +228,8 @@ def payload_with_output(payload: Column | str) -> Column:
 
 
 def review_queue(extractions: DataFrame, key: str, min_confidence: float = 0.5) -> DataFrame:
-    """Rows a person has to look at: output that is not JSON, or of low confidence."""
-    low = F.col("confidence") < min_confidence
+    """Rows a person has to look at: output that is not JSON, or of low or no confidence."""
+    low = F.isnan("confidence") | (F.col("confidence") < min_confidence)
     return extractions.filter(~F.col("parsed") | low).select(
         key,
         "source_fingerprint",
@@ -243,8 +251,7 @@ def changed(stored: DataFrame, current: DataFrame, key: str, content: str) -> Da
 # Similarities are compared after rounding, so that equal vectors tie whatever
 # order a matrix product sums in; ties go to the smaller id.
 SIMILARITY_DIGITS = 9
-# A query set up to this size is broadcast; a larger one is cut into blocks.
-MAX_BROADCAST_QUERIES = 5_000
+# Queries and corpus rows that meet in one group.
 QUERY_BLOCK = 5_000
 CORPUS_BLOCK = 50_000
 _NEAREST = "query_id bigint, corpus_id bigint, sim double, corpus_label int"
@@ -285,57 +292,40 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k corpus rows nearest to each query by cosine, exactly.
 
     ``corpus`` has (corpus_id, embedding, corpus_label), ``queries`` (query_id,
-    embedding); a corpus row with the query's own id is left out. A small query
-    set travels to the corpus, which is then scanned without a shuffle. A larger
-    one is cut into blocks, the corpus as well, and each pair of blocks is one
-    bounded group. Either way a block of corpus rows gives at most k rows per
-    query, and only those are shuffled for the final cut.
+    embedding); a corpus row with the query's own id is left out. Queries and corpus are cut into
+    blocks, and each pair of blocks is one bounded group, which gives at most k
+    rows per query; only those are shuffled for the final cut. The queries are
+    staged, so that what they were computed from is read once.
     """
-    spark = corpus.sparkSession
     unit, search = _block_search(k)
     corpus = corpus.filter(F.col("embedding").isNotNull())
-    queries = queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding")
-    n_queries = queries.count()
-    if n_queries <= MAX_BROADCAST_QUERIES and fits_broadcast(queries):
-        local = queries.toArrow()
-        ids = np.asarray(local.column("query_id"))
-        shared = spark.sparkContext.broadcast((ids, unit(local.column("embedding")) if len(ids) else None))
-
-        def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, rows = shared.value
-            for part in parts:
-                if len(ids) and len(part):
-                    yield from search(ids, rows, part)
-
-        near = corpus.select("corpus_id", "embedding", "corpus_label").mapInArrow(scan, _NEAREST)
-    else:
-        q_blocks = -(-n_queries // QUERY_BLOCK)
-        c_blocks = max(1, -(-corpus.count() // CORPUS_BLOCK))
-
-        def cell(q_part: pa.Table, c_part: pa.Table) -> pa.Table:
-            found = []
-            if len(q_part) and len(c_part):
-                found = list(search(np.asarray(q_part.column("query_id")), unit(q_part.column("embedding")), c_part))
-            return pa.Table.from_batches(found, schema)
-
-        schema = pa.schema(
-            [("query_id", pa.int64()), ("corpus_id", pa.int64()), ("sim", pa.float64()), ("corpus_label", pa.int32())]
-        )
+    queries = staged(queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding"), "queries")
+    q_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    c_blocks = max(1, -(-corpus.count() // CORPUS_BLOCK))
+    schema = pa.schema(
+        [("query_id", pa.int64()), ("corpus_id", pa.int64()), ("sim", pa.float64()), ("corpus_label", pa.int32())]
+    )
 
-        def every(n: int) -> Column:
-            return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    def cell(q_part: pa.Table, c_part: pa.Table) -> pa.Table:
+        found = []
+        if len(q_part) and len(c_part):
+            found = list(search(np.asarray(q_part.column("query_id")), unit(q_part.column("embedding")), c_part))
+        return pa.Table.from_batches(found, schema)
 
-        def block(col: str, n: int) -> Column:
-            return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-        left = queries.select(
-            block("query_id", q_blocks).alias("qb"), every(c_blocks).alias("cb"), "query_id", "embedding"
-        )
-        right = corpus.select(
-            every(q_blocks).alias("qb"), block("corpus_id", c_blocks).alias("cb"),
-            "corpus_id", "embedding", "corpus_label",
-        )
-        near = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, _NEAREST)
+    def block(col: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
+
+    left = queries.select(
+        block("query_id", q_blocks).alias("qb"), every(c_blocks).alias("cb"), "query_id", "embedding"
+    )
+    right = corpus.select(
+        every(q_blocks).alias("qb"), block("corpus_id", c_blocks).alias("cb"),
+        "corpus_id", "embedding", "corpus_label",
+    )
+    near = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, _NEAREST)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "corpus_id"))
     return near.withColumn("place", place).filter(F.col("place") <= k)
 

@@ -5,24 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is hinted as broadcast only below both bounds.
-MAX_BROADCAST_ROWS = 100_000
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """Whether a table is within the bounds.
-
-    Only row sizes come to the driver, and not more than ``max_rows + 1`` of them:
-    Spark reads partitions one after the other and stops when it has that many.
-    """
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    sizes = [r[0] for r in df.select(width.alias("w")).take(max_rows + 1)]
-    return len(sizes) <= max_rows and sum(sizes) <= max_bytes
-
-
 def _role(zones: DataFrame, key: str, names: dict[str, str], role: str) -> DataFrame:
     return zones.select(
         F.col(key).alias(f"__{role}"), *[F.col(c).alias(f"{role}_{n}") for c, n in names.items()]
@@ -36,27 +18,21 @@ def enrich_zones(
     dropoff: str | None = "DOLocationID",
     key: str = "LocationID",
     names: dict[str, str] | None = None,
-    hint: bool = True,
 ) -> DataFrame:
     """Look one zone table up twice, as the pickup and as the dropoff zone.
 
     Trips without a match keep NULL names. ``names`` maps zone columns to the
     suffix they get behind ``pickup_`` and ``dropoff_``. A role without a column is
-    left out. With ``hint`` the zone
-    table is broadcast if it passes the size check; otherwise, and beyond the
-    bounds, Spark picks the join by its own statistics and splits hot zones.
-    Works on streams as well, with a static zone table.
+    left out. Spark picks the join by its own statistics of the zone table, and
+    splits hot zones of a shuffle join. Works on streams as well, with a static zone table.
     """
     names = names or {"Zone": "zone", "Borough": "borough", "service_zone": "service_zone"}
     names = {c: n for c, n in names.items() if c in zones.columns}
     lookup = zones.select(key, *names)
-    is_small = hint and fits_broadcast(lookup)
     out = trips
     for role, col in (("pickup", pickup), ("dropoff", dropoff)):
         if col is None:
             continue
         side = _role(lookup, key, names, role)
-        out = out.join(
-            F.broadcast(side) if is_small else side, out[col] == side[f"__{role}"], "left"
-        ).drop(f"__{role}")
+        out = out.join(side, out[col] == side[f"__{role}"], "left").drop(f"__{role}")
     return out

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import ratio, seconds_between
+from tidewater.operators.dedup import latest_per_key
 from tidewater.operators.gold import metrics_long
 from tidewater.operators.merge import update_by_key
 
@@ -37,8 +38,11 @@ def finish_run(runs: DataFrame, run_id: str, ended_at: Column | None = None, sta
 
 
 def finish_runs(runs: DataFrame, ends: DataFrame) -> DataFrame:
-    """The registry with every run ended that ``ends`` lists, once each: run_id, ended_at, status."""
-    return update_by_key(runs, ends, "run_id", check=False)
+    """The registry with every run ended that ``ends`` lists: run_id, ended_at, status.
+
+    Of several ends of a run the latest counts, so a retry changes nothing.
+    """
+    return update_by_key(runs, latest_per_key(ends, ["run_id"], ["ended_at", "status"]), "run_id", check=False)
 
 
 def run_duration(runs: DataFrame, run_id: str) -> DataFrame:
