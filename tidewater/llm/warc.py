@@ -176,7 +176,7 @@ def write(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> D
         def flush() -> pa.RecordBatch:
             data = archive(held)
             name = f"{label}-{number:05d}.warc.zst"
-            with files.open_output_stream(f"{base}/{name}") as out:
+            with files.open_output_stream(f"{base}/{name}", compression=None) as out:
                 out.write(data)
             row = [[f"{folder}/{name}"], [len(held)], [size], [len(data)]]
             return pa.RecordBatch.from_arrays(list(map(pa.array, row)), [x.split()[0] for x in MANIFEST.split(", ")])
@@ -205,7 +205,7 @@ def read(archives: DataFrame, payload: bool = True) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 files, name = fs.FileSystem.from_uri(path)
-                with files.open_input_stream(name) as stream:
+                with files.open_input_stream(name, compression=None) as stream:
                     rows, size = [], 0
                     for data in read_archive(stream):
                         rows.append(parse(data))
