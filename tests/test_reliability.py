@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.errors import DataQualityError
 from tidewater.operators import clean, history, quality, runs
-from tidewater.plans.replicate import Replication, replicate
+from tidewater.plans.replicate import Replication, replica, replicate
 
 
 def d(day):
@@ -87,6 +87,7 @@ def test_table_merge_order_and_no_record_on_failure(spark, path, monkeypatch, fa
             raise RuntimeError("lost")
 
     monkeypatch.setattr(history, "merge_into_table", merge)
+    monkeypatch.setattr(type(spark.catalog), "tableExists", lambda *_: True)
     made = spark.createDataFrame([(11, datetime(2024, 1, 1)), (12, datetime(2024, 1, 2))], "snapshot_id bigint, committed_at timestamp")
     monkeypatch.setattr(history, "table_snapshots", lambda *_: made)
     run = lambda: history.stateful_merge_table(spark, "cat.s.t", users(spark, [1]), ["user_id"], d(2), path("l"))
@@ -278,3 +279,14 @@ def test_repeated_ends_of_a_run(spark):
 def test_ids_of_keys_with_nulls_differ(spark):
     df = spark.createDataFrame([(None, 1), (1, None), (None, 1)], "a int, b int")
     assert clean.with_row_id(df, "a", "b").select("trip_id").distinct().count() == 2
+
+
+def test_replication_by_batches_writes_the_batches_only(spark, path):
+    def cfg(source):
+        return Replication("users", "user_id", source, path("h"), path("l"), ["email"], path("a"), "user_id int, email string", "batches")
+
+    for day, ids in ((1, range(1000)), (9, range(990, 1010)), (5, range(5))):
+        _, made = replicate(spark, cfg(csv(spark, path, f"day{day}", ids)), d(day))
+    # The backfill starts from what the table was before its date.
+    assert replica(spark, cfg(""), made).count() == 1000
+    assert spark.read.parquet(path("h") + "/changes").count() == 1000 + 20 + 5

@@ -118,8 +118,13 @@ def snapshots(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_snapshot(commits: DataFrame) -> DataFrame:
-    """One row: the snapshot id of the newest commit; no row without commits."""
-    return commits.orderBy(F.desc("committed_at"), F.desc("seq")).select("snapshot_id").limit(1)
+    """One row: the snapshot id of the newest commit; no row without commits.
+
+    The order of the commit log decides, as in :func:`current_snapshot_id`, not a clock; of a table's
+    own log, which has no such order, the time of commit.
+    """
+    newest = ["seq"] if "seq" in commits.columns else ["committed_at", "snapshot_id"]
+    return commits.orderBy(*map(F.desc, newest)).select("snapshot_id").limit(1)
 
 
 def _head(spark: SparkSession, root: str) -> tuple[int | None, int, int]:
@@ -183,7 +188,12 @@ def rollback_table(spark: SparkSession, table: str, snapshot_id: int) -> None:
 def stateful_merge_table(
     spark: SparkSession, table: str, source: DataFrame, keys: list[str], execution_date: date, ledger_path: str
 ) -> int:
-    """:func:`stateful_merge` on an Iceberg table, whose files are rewritten only where rows change."""
+    """:func:`stateful_merge` on an Iceberg table, whose files are rewritten only where rows change.
+
+    The first run creates the table with the source's columns.
+    """
+    if not spark.catalog.tableExists(table):
+        source.limit(0).writeTo(table).using("iceberg").create()
     base = get_snapshot_before(read_ledger(spark, ledger_path), table, execution_date)
     if base is not None:
         rollback_table(spark, table, base)

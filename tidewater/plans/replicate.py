@@ -8,14 +8,26 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidewater.operators.history import current_snapshot_id, state_at, stateful_merge
+from tidewater.operators.history import (
+    current_snapshot_id,
+    state_at,
+    state_at_changes,
+    stateful_merge,
+    stateful_merge_changes,
+    stateful_merge_table,
+)
 from tidewater.operators.quality import TableChecks, post_audit, pre_audit
 from tidewater.sources import read_csv_dir
 
 
 @dataclass(frozen=True)
 class Replication:
-    """What to replicate: a CSV folder into the history folder ``root``."""
+    """What to replicate, and into what.
+
+    ``mode`` says how a run is stored: ``batches`` writes the batch of each run only, ``states``
+    the whole table per run, for small tables that are read often, both below the folder ``root``;
+    ``table`` merges into the Iceberg table that ``root`` names.
+    """
 
     name: str
     primary_key: str
@@ -25,6 +37,7 @@ class Replication:
     critical_columns: list[str] = field(default_factory=list)
     alerts_path: str | None = None
     schema: StructType | str | None = None
+    mode: str = "states"
 
     @property
     def checks(self) -> TableChecks:
@@ -37,11 +50,24 @@ def replicate(spark: SparkSession, cfg: Replication, run_date: date) -> tuple[Da
     The pre-audit only reports. The post-audit raises when the merged table has
     repeated keys, after it left an alert.
     """
-    now = current_snapshot_id(spark, cfg.root)
-    before = pre_audit(None if now is None else state_at(spark, cfg.root, now), cfg.checks)
     source = read_csv_dir(spark, cfg.source_path, cfg.schema)
-    made = stateful_merge(
-        spark, cfg.root, source, [cfg.primary_key], cfg.name, run_date, cfg.ledger_path
-    )
-    post_audit(state_at(spark, cfg.root, made), cfg.checks, cfg.alerts_path)
+    keys = [cfg.primary_key]
+    if cfg.mode == "table":
+        now = spark.table(cfg.root) if spark.catalog.tableExists(cfg.root) else None
+        before = pre_audit(now, cfg.checks)
+        made = stateful_merge_table(spark, cfg.root, source, keys, run_date, cfg.ledger_path)
+        post_audit(spark.table(cfg.root), cfg.checks, cfg.alerts_path)
+        return before, made
+    now = current_snapshot_id(spark, cfg.root)
+    before = pre_audit(None if now is None else replica(spark, cfg, now), cfg.checks)
+    merge = {"batches": stateful_merge_changes, "states": stateful_merge}[cfg.mode]
+    made = merge(spark, cfg.root, source, keys, cfg.name, run_date, cfg.ledger_path)
+    post_audit(replica(spark, cfg, made), cfg.checks, cfg.alerts_path)
     return before, made
+
+
+def replica(spark: SparkSession, cfg: Replication, snapshot_id: int) -> DataFrame:
+    """The replicated table as of a snapshot below ``root``."""
+    if cfg.mode == "batches":
+        return state_at_changes(spark, cfg.root, [cfg.primary_key], snapshot_id)
+    return state_at(spark, cfg.root, snapshot_id)

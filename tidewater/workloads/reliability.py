@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import dedup, history, quality, runs
 from tidewater.operators.gold import most_recent
-from tidewater.plans.replicate import Replication, replicate
+from tidewater.plans.replicate import Replication, replica, replicate
 from tidewater.session import fresh_path
 from tidewater.sources import read_parquet
 from tidewater.workloads import shapes
@@ -59,8 +59,7 @@ def ledger_stats(spark: SparkSession, sf: str) -> DataFrame:
 @query("latest_snapshot", "select o_orderkey as snapshot_id from orders order by o_orderdate desc, o_orderkey desc limit 1")
 def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     commits = table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("snapshot_id"), shapes.ts("o_orderdate").alias("committed_at"),
-        F.col("o_orderkey").alias("seq"),
+        F.col("o_orderkey").alias("snapshot_id"), shapes.ts("o_orderdate").alias("committed_at")
     )
     return history.latest_snapshot(commits)
 
@@ -160,7 +159,24 @@ def run_replication(spark: SparkSession, sf: str) -> DataFrame:
     )
     for day in (date(2024, 5, 1), date(2024, 5, 2)):
         _, made = replicate(spark, cfg, day)
-    return history.state_at(spark, cfg.root, made)
+    return replica(spark, cfg, made)
+
+
+@query("replicate_batches", "select c_custkey, c_name, c_acctbal from customer")
+def run_replication_by_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A first load with other balances, then two runs with a part of the customers each; only batches are written."""
+    root = fresh_path(spark, "replica")
+    columns = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    odd = F.col("c_custkey") % 2 == 1
+    loads = [columns.withColumn("c_acctbal", F.lit(0.0)), columns.filter(odd), columns.filter(~odd)]
+    for day, load in enumerate(loads, 1):
+        load.write.option("header", True).csv(f"{root}/source-{day}")
+        cfg = Replication(
+            "customer", "c_custkey", f"{root}/source-{day}", f"{root}/history", f"{root}/ledger", ["c_name"],
+            f"{root}/alerts", "c_custkey bigint, c_name string, c_acctbal double", "batches",
+        )
+        _, made = replicate(spark, cfg, date(2024, 5, day))
+    return replica(spark, cfg, made)
 
 
 # -- quality -----------------------------------------------------------------
