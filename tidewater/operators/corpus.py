@@ -366,3 +366,16 @@ def recall_at_k(
         F.count(F.lit(1)).alias("n_queries"),
         F.avg("recall").alias(f"recall_at_{k}"),
     )
+
+
+def recall_per_version(
+    corpus: DataFrame, queries: DataFrame, versions: list[str], k: int = 5, of: str = "embedding_model_version", **names
+) -> DataFrame:
+    """A row of :func:`recall_at_k` per embedding version; queries meet the vectors of their own version only."""
+    rows = [
+        recall_at_k(corpus.filter(F.col(of) == v), queries.filter(F.col(of) == v), k, version=v, **names) for v in versions
+    ]
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
+    return out

@@ -239,3 +239,30 @@ def recall_at_k(spark: SparkSession, sf: str) -> DataFrame:
     mean = F.array(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(size)])
     queries = vectors.groupBy("label").agg(mean.alias("embedding")).withColumn("vec_id", -1 - F.col("label"))
     return corpus.recall_at_k(vectors, queries).withColumn("recall_at_5", F.round("recall_at_5", 9))
+
+
+@query("recall_per_version", """
+with vectors as (select vec_id, label, embedding::double[] as e, 'v' || (vec_id % 2) as ver from embeddings),
+parts as (select ver, label, unnest(e) as x, generate_subscripts(e, 1) as i from vectors),
+means as (select ver, label, i, avg(x) as x from parts group by 1, 2, 3),
+queries as (select ver, label, list(x order by i) as q from means group by 1, 2),
+sims as (
+  select v.ver, q.label as asked, v.vec_id, v.label, round(list_cosine_similarity(q.q, v.e), 9) as sim
+  from queries q join vectors v on v.ver = q.ver),
+near as (
+  select *, row_number() over (partition by ver, asked order by sim desc, vec_id) as rn from sims),
+members as (select ver, label as asked, count(*) as n from vectors group by 1, 2),
+scores as (
+  select ver, asked, count(*) filter (where asked = label) as hits from near where rn <= 5 group by 1, 2)
+select ver as embedding_model_version, count(*) as n_queries, round(avg(hits::double / n), 9) as recall_at_5
+from scores join members using (ver, asked) group by 1""")
+def recall_per_version(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of the vectors; per version and label the mean vector asks."""
+    version = F.concat(F.lit("v"), (F.col("vec_id") % 2).cast("string")).alias("embedding_model_version")
+    vectors = table(spark, sf, "embeddings").select("*", version)
+    size = len(vectors.select("embedding").first()[0])
+    mean = F.array(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(size)])
+    queries = vectors.groupBy("embedding_model_version", "label").agg(mean.alias("embedding"))
+    queries = queries.withColumn("vec_id", -1 - F.col("label"))
+    found = corpus.recall_per_version(vectors, queries, ["v0", "v1"])
+    return found.withColumn("recall_at_5", F.round("recall_at_5", 9))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import dedup, history, quality, runs
 from tidewater.operators.gold import most_recent
 from tidewater.plans.replicate import Replication, replica, replicate
-from tidewater.session import fresh_path
+from tidewater.session import fresh_path, staged
 from tidewater.sources import read_parquet
 from tidewater.workloads import shapes
 from tidewater.workloads.registry import query
@@ -348,6 +348,18 @@ runs as (
   from orders left join ended on o_orderkey = l_orderkey)"""
 
 
+@query("start_run", """
+select o_orderdate as started_at, 'running' as status, count(*) as orders from orders
+where o_orderdate = (select max(o_orderdate) from orders) group by 1""")
+def start_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that starts at the time of the newest order, stored and joined to that day's orders."""
+    orders = table(spark, sf, "orders").select("o_orderdate")
+    newest = orders.agg(F.max("o_orderdate").alias("t")).first()["t"]
+    started = staged(runs.start_run(spark, newest), "runs").filter(F.length("run_id") == 36)
+    joined = started.join(orders, F.col("started_at") == F.col("o_orderdate").cast("timestamp"))
+    return ntz(joined.groupBy("started_at", "status").agg(F.count(F.lit(1)).alias("orders")))
+
+
 @query("finish_runs", f"with {_RUNS_SQL} select * from runs")
 def finish_runs(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(_runs(spark, sf))
