@@ -1,8 +1,8 @@
 """Links among nodes that share buckets, without all pairs of a bucket.
 
 Every node is first compared with the smallest leader (smallest node of a bucket) it meets; most
-groups of copies are one component after that. Then each bucket's leader is compared with the
-bucket's nodes that are still in another component. What is left, the strays, are not
+nodes of a group of copies have the same leader after that. Then each bucket's leader is compared with the
+bucket's nodes that have another one. What is still in another component, the strays, are not
 compared pairwise either: two sets of similarity t or more share an element in the rarest part that
 holds more than 1 - t of each, so strays meet others of their buckets through these rare elements
 alone. All links within a bucket end up within one component; none is lost to a cap.
@@ -86,7 +86,8 @@ def link(
     others = shared.where("node <> leader")
     first = staged(others.groupBy("node").agg(F.min("leader").alias("a")).select("a", F.col("node").alias("b")), "pairs")
     links = staged(_verified(first, sets, threshold), "links")
-    labels = components(links)
+    # Each node has one link so far, to the leader it was compared with: that leader is its label for now.
+    labels = links.select(F.col("b").alias("node"), F.col("a").alias("label"))
 
     apart = _apart(others, labels).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     second = staged(apart.join(first, ["a", "b"], "left_anti"), "pairs")

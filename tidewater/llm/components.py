@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewater.session import staged
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _written(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges in the shared folder, with their number and a sum of hashes that tells them from other edges."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    written = staged(edges.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("total")), "star-edges")
+    return written, seen.get
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,9 +26,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     named = links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    edges = staged(named.select(a, b).distinct(), "star-edges")
-    mark = _mark(edges)
-    while mark[0]:
+    edges, mark = _written(named.select(a, b).distinct())
+    while mark["n"]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), F.least("a", "m").alias("m"))
         large = both.join(least, F.col("a") == F.col("of")).where(F.col("b") > F.col("a"))
@@ -34,8 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, F.col("a") == F.col("of")).select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
         )
-        edges = staged(small.select("col.*").where(F.col("a") != F.col("b")).distinct(), "star-edges")
-        before, mark = mark, _mark(edges)
+        before = mark
+        edges, mark = _written(small.select("col.*").where(F.col("a") != F.col("b")).distinct())
         if mark == before:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))

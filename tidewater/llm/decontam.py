@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits in lower case. The n-grams of the test items are counted over
-the whole corpus, and the rarest of each item are its seeds. A document meets an item where it
+the whole corpus, and the rare ones of each item are its seeds. A document meets an item where it
 holds seeds of it close together; that passage, with some words on both sides, is aligned with the
 item. The alignment's score over the best possible one says how much of the item stands there,
 with words replaced, left out or put in between.
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from tidewater.llm.words import Words, ngrams, pieces, words_of
 
 NGRAM = 3
-SEED_SHARE = 0.5  # of an item's n-grams, the rarest
+SEED_TIMES = 8
 SEED_LEAST = 8
 SEEDS_MET = 2  # different seeds of an item that a passage has to hold
-THRESHOLD = 0.6
+THRESHOLD = 0.5
 BLOCK = 5_000
 
 MATCH, MISMATCH, GAP = 2, 1, 1
@@ -125,16 +125,21 @@ def _counted(docs: DataFrame, items: Items, n: int) -> np.ndarray:
 
 
 def seeds_of(items: Items, counts: np.ndarray) -> Items:
-    """The items with only the rarest of each item's n-grams."""
+    """The items with only the rare ones of each item's n-grams that occur at all.
+
+    Rare is what occurs at most SEED_TIMES as often as the item's lower quartile; of an item that
+    was copied often all but the common phrases are rare in this sense. The SEED_LEAST rarest always are.
+    """
     keys = np.unique(items.grams)
     often = counts[np.searchsorted(keys, items.grams)]
     order = np.lexsort((items.place, items.grams, often, items.item))
-    item = items.item[order]
+    order = order[often[order] > 0]
+    item, often = items.item[order], often[order]
     first = np.flatnonzero(np.r_[True, item[1:] != item[:-1]][: len(item)])
     sizes = np.diff(np.r_[first, len(item)])
     rank = np.arange(len(item)) - np.repeat(first, sizes)
-    wanted = np.maximum(SEED_LEAST, np.ceil(sizes * SEED_SHARE))
-    chosen = np.sort(order[rank < np.repeat(wanted, sizes)])
+    limit = SEED_TIMES * often[first + (sizes - 1) // 4] if len(first) else first
+    chosen = np.sort(order[(rank < SEED_LEAST) | (often <= np.repeat(limit, sizes))])
     return Items(items.ids, items.words, items.grams[chosen], items.item[chosen], items.place[chosen])
 
 
@@ -173,6 +178,8 @@ def _passages(hits: list[tuple[int, int, int]], length: int) -> Iterator[tuple[i
 def found_in(words: Words, seeds: Items, sizes: list[int], threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
     """(text, item, score, start, end) of the best passage for each text and item that meet."""
     keys = np.unique(seeds.grams)
+    if not len(keys):
+        return
     at, which = _hits(words, keys, sizes)
     first, last = np.searchsorted(seeds.grams, keys, "left"), np.searchsorted(seeds.grams, keys, "right")
     met: dict[tuple[int, int], list] = defaultdict(list)

@@ -139,6 +139,8 @@ class LineRuns:
     def drop(self, keys: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         """The rows of ``keys`` whose lines go: the merge join with the runs finds their key in a larger document."""
         known = self.known(min_docs).select(F.col("h1").alias("run_h1"), F.col("h2").alias("run_h2"), "max_doc")
+        # Written without buckets, so that both sides are shuffled for the merge and Spark can split a hot line.
+        known = staged(known, "line-known")
         later = F.col("doc_id").isNull() | (F.col("doc_id") < F.col("max_doc"))
         same = (F.col("h1") == F.col("run_h1")) & (F.col("h2") == F.col("run_h2"))
         return keys.join(known.hint("merge"), same & F.col("max_doc").isNotNull() & later, "left_semi")
