@@ -1,9 +1,10 @@
 """Links among nodes that share buckets, without all pairs of a bucket.
 
 Every node is first compared with the smallest leader (smallest node of a bucket) it meets; most
-nodes of a group of copies have the same leader after that. Then each bucket's leader is compared with the
-bucket's nodes that have another one. What is still in another component, the strays, are not
-compared pairwise either: two sets of similarity t or more share an element in the rarest part that
+nodes of a group of copies have the same leader after that. Then each bucket's leader, and a member
+picked by hash, are compared with the bucket's nodes that have another one: with as many picks as it has
+buckets, a node of a loose group finds one of its neighbours. What is still in another
+component, the strays, are not compared pairwise either: two sets of similarity t or more share an element in the rarest part that
 holds more than 1 - t of each, so strays meet others of their buckets through these rare elements
 alone. All links within a bucket end up within one component; none is lost to a cap.
 """
@@ -77,24 +78,27 @@ def link(
     ``members``: (bucket, node). ``sets_of`` takes a DataFrame of nodes and gives (node, items, weights).
     """
     members = members.distinct()
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"))
-    leaders = staged(leaders.where("n > 1").select(F.col("bucket").alias("of"), "leader"), "bucket-leaders")
-    shared = members.join(leaders, F.col("bucket") == F.col("of")).select("bucket", "node", "leader")
+    # Besides the smallest node, every bucket has a member picked by hash: other buckets, other members.
+    picked = F.min(F.struct(F.xxhash64("bucket", "node").alias("h"), "node"))["node"]
+    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), picked.alias("pick"), F.count(F.lit(1)).alias("n"))
+    leaders = staged(leaders.where("n > 1").select(F.col("bucket").alias("of"), "leader", "pick"), "bucket-leaders")
+    shared = members.join(leaders, F.col("bucket") == F.col("of")).select("bucket", "node", "leader", "pick")
     shared = staged(shared, "bucket-members")
     sets = staged(sets_of(shared.select("node").distinct()), "bucket-sets")
 
-    others = shared.where("node <> leader")
-    first = staged(others.groupBy("node").agg(F.min("leader").alias("a")).select("a", F.col("node").alias("b")), "pairs")
+    first = shared.where("node <> leader").groupBy("node").agg(F.min("leader").alias("a"))
+    first = staged(first.select("a", F.col("node").alias("b")), "pairs")
     links = staged(_verified(first, sets, threshold), "links")
     # Each node has one link so far, to the leader it was compared with: that leader is its label for now.
     labels = links.select(F.col("b").alias("node"), F.col("a").alias("label"))
 
-    apart = _apart(others, labels).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    second = staged(apart.join(first, ["a", "b"], "left_anti"), "pairs")
+    apart = [_apart(shared, other, labels).select(F.least(other, "node").alias("a"), F.greatest(other, "node").alias("b")) for other in ("leader", "pick")]
+    second = apart[0].unionByName(apart[1]).distinct()
+    second = staged(second.join(first, ["a", "b"], "left_anti"), "pairs")
     links = staged(links.unionByName(_verified(second, sets, threshold)), "links")
     labels = components(links)
 
-    strays = staged(_apart(others, labels), "strays")
+    strays = staged(_apart(shared, "leader", labels), "strays")
     rest = _by_rare_items(strays, shared, labels, sets, threshold)
     found = staged(_verified(rest, sets, threshold), "links")
     if found.isEmpty():
@@ -110,10 +114,11 @@ def _labelled(rows: DataFrame, column: str, labels: DataFrame, to: str) -> DataF
     return joined.select(*[F.col(c) for c in rows.columns], F.coalesce("_label", column).alias(to))
 
 
-def _apart(others: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of a bucket in another component than its leader."""
-    rows = _labelled(_labelled(others, "node", labels, "label"), "leader", labels, "leader_label")
-    return rows.where("label <> leader_label").select("bucket", "node", "leader")
+def _apart(shared: DataFrame, other: str, labels: DataFrame) -> DataFrame:
+    """Members of a bucket in another component than one of its columns' nodes."""
+    rows = shared.where(F.col("node") != F.col(other)).select("bucket", "node", other)
+    rows = _labelled(_labelled(rows, "node", labels, "label"), other, labels, "other_label")
+    return rows.where("label <> other_label").select("bucket", "node", other)
 
 
 def _by_rare_items(
@@ -133,13 +138,19 @@ def _by_rare_items(
     often = items.groupBy(F.col("item").alias("often")).agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy("node")
     before = whole.orderBy("n", "item").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = items.join(often, F.col("item") == F.col("often")).select(
+    counted = items.join(often, F.col("item") == F.col("often")).select(
         "node", "label", "is_stray", "item", "n",
-        F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("before"), F.sum("weight").over(whole).alias("all"),
+        F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("before"),
+        F.sum("weight").over(whole).alias("all"),
+        F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("weight"))).over(whole), F.lit(0)).alias("own"),
     )
-    rare = ranked.where((F.col("before") <= (1 - threshold) * F.col("all") + 1e-9) & (F.col("n") > 1))
-    rare = staged(rare.select("node", "label", "is_stray", "item"), "rare-items")
-    left = rare.where("is_stray").select(F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("item").alias("b_item"))
-    right = rare.select(F.col("node").alias("a"), F.col("label").alias("a_label"), "item")
-    met = left.join(right, (F.col("b_item") == F.col("item")) & (F.col("a_label") != F.col("b_label")))
+    rare = counted.where((F.col("before") <= (1 - threshold) * F.col("all") + 1e-9) & (F.col("n") > 1))
+    rare = staged(rare.select("node", "label", "is_stray", "item", (F.col("own") / F.col("all")).alias("own")), "rare-items")
+    left = rare.where("is_stray").select(
+        F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("item").alias("b_item"), F.col("own").alias("b_own")
+    )
+    right = rare.select(F.col("node").alias("a"), F.col("label").alias("a_label"), "item", F.col("own").alias("a_own"))
+    # Of sets with shares x and y that nobody else has, the similarity is at most (1 - x)(1 - y) / (1 - xy).
+    near = (1 - F.col("a_own")) * (1 - F.col("b_own")) >= threshold * (1 - F.col("a_own") * F.col("b_own")) - 1e-9
+    met = left.join(right, (F.col("b_item") == F.col("item")) & (F.col("a_label") != F.col("b_label")) & near)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
