@@ -40,6 +40,15 @@ def test_shared_passages_are_found_and_no_others(spark):
         assert [r["doc_id"] for r in members if r["kept"]] == [min(r["doc_id"] for r in members)]
 
 
+def test_copies_within_one_task(spark):
+    rows, _ = texts()
+    rows = [(1, rows[1][1]), (2, rows[2][1]), (3, rows[1][1]), (4, rows[4][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = passages.repeats(df).collect()
+    assert {r["doc_id"] for r in found} == {1, 3}
+    assert {r["doc_id"] for r in found if r["kept"]} == {1}
+
+
 def test_one_of_each_passage_stays(spark):
     rows, _ = texts()
     df = spark.createDataFrame(rows, "doc_id long, text string")

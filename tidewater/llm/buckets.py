@@ -71,11 +71,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def link(
-    members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float
+    members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, strays: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Verified links and components (node, label) of nodes in shared buckets.
 
     ``members``: (bucket, node). ``sets_of`` takes a DataFrame of nodes and gives (node, items, weights).
+    Without ``strays`` nodes are compared with leaders and picks alone; a link may then be missed whose
+    ends are like no leader and no pick of the buckets they share.
     """
     members = members.distinct()
     # Besides the smallest node, every bucket has a member picked by hash: other buckets, other members.
@@ -98,8 +100,10 @@ def link(
     links = staged(links.unionByName(_verified(second, sets, threshold)), "links")
     labels = components(links)
 
-    strays = staged(_apart(shared, "leader", labels), "strays")
-    rest = _by_rare_items(strays, shared, labels, sets, threshold)
+    if not strays:
+        return links, labels
+    alone = staged(_apart(shared, "leader", labels), "strays")
+    rest = _by_rare_items(alone, shared, labels, sets, threshold)
     found = staged(_verified(rest, sets, threshold), "links")
     if found.isEmpty():
         return links, labels

@@ -140,6 +140,9 @@ def seeds_of(items: Items, counts: np.ndarray) -> Items:
     rank = np.arange(len(item)) - np.repeat(first, sizes)
     limit = SEED_TIMES * often[first + (sizes - 1) // 4] if len(first) else first
     chosen = np.sort(order[(rank < SEED_LEAST) | (often <= np.repeat(limit, sizes))])
+    # An n-gram that an item repeats is one seed, at its first place.
+    grams, item = items.grams[chosen], items.item[chosen]
+    chosen = chosen[np.r_[True, (grams[1:] != grams[:-1]) | (item[1:] != item[:-1])][: len(chosen)]]
     return Items(items.ids, items.words, items.grams[chosen], items.item[chosen], items.place[chosen])
 
 

@@ -7,13 +7,14 @@ places the one whose next four words have the smallest hash. Two texts that shar
 standard 25 words this holds for all passages of over 50 words.
 
 A paragraph is a set of shingles of five words. Bands of ``rows`` minimum hashes collect paragraphs that may
-be alike: with 3 bands of 2 a pair of similarity 0.8 meets with probability 0.953, of 0.9 with 0.993; an edited copy
-of a longer passage has several paragraphs, each with that chance, and untouched ones always
-meet. Colliding paragraphs of different words are verified by exact Jaccard similarity
-(``buckets``), and the classes are components of the verified links. A class is a repeat when at
+be alike: with 3 bands of 3 a pair of similarity 0.8 meets with probability 0.884, of 0.9 with 0.980; an edited copy
+of a longer passage has several paragraphs, each with that chance (three of them: 0.998), and paragraphs
+of equal words always meet and are always in one class. Colliding paragraphs of different words are compared with
+their band's leader and a picked member by exact Jaccard similarity (``buckets``), and the
+classes are components of the verified links. A class is a repeat when at
 least two documents hold it; its first paragraph (smallest doc_id, then place) stays.
 
-Paragraphs that a task has met before go to a partition of their own choice, not to their band's, so a
+Paragraphs that a task has met before are known to be repeated and need no band, so a
 passage that a third of the documents share is a few rows per task in the shuffle by bands.
 
 Null, empty and short texts (under ``length`` words) have no paragraphs. Null doc_ids are left out. Rows of
@@ -39,11 +40,11 @@ LENGTH = 25
 SHINGLE = 5
 ANCHOR = 4
 THRESHOLD = 0.8
-BANDS, ROWS = 3, 2
+BANDS, ROWS = 3, 3
 
 _GOLD = 0x9E3779B97F4A7C15
 _WRAP = (1 << 64) - 1
-_MET = 300_000  # paragraphs that a task remembers at once
+_MET = 150_000  # paragraphs that a task remembers at once
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -108,30 +109,38 @@ _ROWS = "bucket long, content long, doc_id long, start int, end int, again boole
 
 def _banded(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
+        met: dict[int, tuple | None] = {}  # where a paragraph was met first, until it is met again
         for batch in batches:
             texts, ids = batch.column(1).to_pylist(), np.asarray(batch.column(0))
             for a, b in pieces(texts):
                 words = words_of(texts[a:b])
                 at, content, keys = paragraphs(words, length, bands, rows)
-                listed = content.tolist()
-                new = np.empty(len(at), bool)
-                for i, c in enumerate(listed):
-                    new[i] = c not in met
-                    met.add(c)
+                doc, start, end = ids[a:b][words.doc[at]], words.start[at], words.end[at + length - 1]
+                new, firsts = np.ones(len(at), bool), []
+                for i, (c, *place) in enumerate(zip(content.tolist(), doc.tolist(), start.tolist(), end.tolist())):
+                    if c not in met:
+                        met[c] = tuple(place)
+                        continue
+                    new[i] = False
+                    if met[c] is not None:
+                        firsts.append((c, *met[c]))
+                        met[c] = None
                 if len(met) > _MET:
-                    met = set()
-                place = mix(content ^ mix(at.astype(np.uint64) + words.doc[at].astype(np.uint64) * np.uint64(_GOLD)))
-                bucket = np.concatenate([keys[new].ravel(), place[~new]])
+                    met = {}
                 row = np.concatenate([np.repeat(np.flatnonzero(new), bands), np.flatnonzero(~new)])
-                again = np.repeat([False, True], [bands * int(new.sum()), int((~new).sum())])
+                first = [np.array(x, kind) for x, kind in zip(zip(*firsts), (np.uint64, int, int, int))] or [np.zeros(0, int)] * 4
+                content = np.concatenate([content[row], first[0].astype(np.uint64)])
+                doc, start, end = (np.concatenate([x[row], y]) for x, y in zip((doc, start, end), first[1:]))
+                again = np.arange(len(content)) >= bands * int(new.sum())
+                apart = mix(content ^ mix(doc.astype(np.uint64) * np.uint64(_GOLD) + start.astype(np.uint64)))
+                bucket = np.where(again, apart, np.concatenate([keys[new].ravel(), np.zeros(int(again.sum()), np.uint64)]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(bucket.view(np.int64)),
-                        pa.array(content[row].view(np.int64)),
-                        pa.array(ids[a:b][words.doc[at[row]]]),
-                        pa.array(words.start[at[row]].astype(np.int32)),
-                        pa.array(words.end[at[row] + length - 1].astype(np.int32)),
+                        pa.array(content.view(np.int64)),
+                        pa.array(doc),
+                        pa.array(start.astype(np.int32)),
+                        pa.array(end.astype(np.int32)),
                         pa.array(again),
                     ],
                     [x.split()[0] for x in _ROWS.split(", ")],
@@ -192,7 +201,7 @@ def repeats(
         )
         return _sets(docs.join(wanted, F.col("doc_id") == F.col("of")).select("text", "wanted"))
 
-    _, labels = link(members, lambda nodes: sets_of(nodes).dropDuplicates(["node"]), threshold)
+    _, labels = link(members, lambda nodes: sets_of(nodes).dropDuplicates(["node"]), threshold, strays=False)
     places = collided.select("content", "doc_id", "start", "end").distinct()
     named = labels.select(F.col("node").alias("of"), "label")
     places = places.join(named, F.col("content") == F.col("of"), "left").select(
