@@ -45,11 +45,13 @@ def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids, and whether they decode to the text they came from."""
     small_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    text = F.coalesce(docs["text"], F.lit(""))
-    ids = docs.select(*docs.columns, bpe.encode(text, path).alias("ids"))
-    decoded = ids.select("*", (bpe.decode(F.col("ids"), path) == text).alias("round_trip"))
+    # The columns are held in a struct, so that none of them is taken for the tokens.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
+    ids = rows.select("doc", bpe.encode(text, path).alias("ids"))
+    decoded = ids.select("doc", "ids", (bpe.decode(F.col("ids"), path) == text).alias("round_trip"))
     return decoded.select(
-        "doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip"
+        "doc.doc_id", "doc.lang", "doc.source", "doc.n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip"
     )
 
 

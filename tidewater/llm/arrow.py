@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -20,18 +18,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def chunks(batch: pa.RecordBatch, size) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose rows' sizes add up to about BATCH_BYTES, one row at least."""
-    start, total = 0, 0
-    for i, n in enumerate(size):
-        if total and total + n > BATCH_BYTES:
-            yield batch.slice(start, i - start)
-            start, total = i, 0
-        total += n
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def list_of(offsets: np.ndarray, values: pa.Array, valid: np.ndarray | None = None) -> pa.Array:
     """A list column from offsets; rows that are not valid become null."""
     offsets = pa.array(offsets.astype(np.int32), pa.int32())
