@@ -46,7 +46,7 @@ NEWER = (
 )
 
 # Words and ids that a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 KEPT_IDS = 4_000_000
 
 

@@ -139,22 +139,25 @@ def _by_rare_items(
         .select("node", "label", "is_stray", F.col("x.items").alias("item"), F.col("x.weights").alias("weight"))
     )
     items = staged(items, "stray-items")
-    often = items.groupBy(F.col("item").alias("often")).agg(F.count(F.lit(1)).alias("n"))
+    # Pairs are wanted across components, so an item that only one component holds cannot be shared.
+    often = items.groupBy(F.col("item").alias("often")).agg(
+        F.count(F.lit(1)).alias("n"), (F.min("label") != F.max("label")).alias("across")
+    )
     whole = Window.partitionBy("node")
-    before = whole.orderBy("n", "item").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.orderBy("across", "n", "item").rowsBetween(Window.unboundedPreceding, -1)
     counted = items.join(often, F.col("item") == F.col("often")).select(
-        "node", "label", "is_stray", "item", "n",
+        "node", "label", "is_stray", "item", "across",
         F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("before"),
         F.sum("weight").over(whole).alias("all"),
-        F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("weight"))).over(whole), F.lit(0)).alias("own"),
+        F.coalesce(F.sum(F.when(~F.col("across"), F.col("weight"))).over(whole), F.lit(0)).alias("own"),
     )
-    rare = counted.where((F.col("before") <= (1 - threshold) * F.col("all") + 1e-9) & (F.col("n") > 1))
+    rare = counted.where((F.col("before") <= (1 - threshold) * F.col("all") + 1e-9) & F.col("across"))
     rare = staged(rare.select("node", "label", "is_stray", "item", (F.col("own") / F.col("all")).alias("own")), "rare-items")
     left = rare.where("is_stray").select(
         F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("item").alias("b_item"), F.col("own").alias("b_own")
     )
     right = rare.select(F.col("node").alias("a"), F.col("label").alias("a_label"), "item", F.col("own").alias("a_own"))
-    # Of sets with shares x and y that nobody else has, the similarity is at most (1 - x)(1 - y) / (1 - xy).
+    # Of sets with shares x and y that no other component has, the similarity is at most (1 - x)(1 - y) / (1 - xy).
     near = (1 - F.col("a_own")) * (1 - F.col("b_own")) >= threshold * (1 - F.col("a_own") * F.col("b_own")) - 1e-9
     met = left.join(right, (F.col("b_item") == F.col("item")) & (F.col("a_label") != F.col("b_label")) & near)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
