@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontam, lines, minhash, quality
-from tidewater.llm.arrow import small_batches
+from tidewater.llm.arrow import prepare_session
 from tidewater.session import staged
 
 
@@ -17,33 +17,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the text rules and score as trusted ones do."""
-    small_batches(spark)
+    prepare_session(spark)
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
     return docs.where(quality.judge(docs["text"], model)["kept"])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that at least five of them hold, n_chars counted anew."""
+    prepare_session(spark)
     kept = lines.dedup_table(docs).drop("line_stats")
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    small_batches(spark)
+    prepare_session(spark)
     return minhash.one_of_each(docs, minhash.near_duplicates(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
-    small_batches(spark)
+    prepare_session(spark)
     found = decontam.contaminated(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(staged(found, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids, and whether they decode to the text they came from."""
-    small_batches(spark)
+    prepare_session(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
     # The columns are held in a struct, so that none of them is taken for the tokens.
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))

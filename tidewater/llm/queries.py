@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewater.llm import bpe, chat, decontam, lines, minhash, passages, quality, secrets, urls, warc
-from tidewater.llm.arrow import small_batches
+from tidewater.llm.arrow import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            small_batches(spark)
+            prepare_session(spark)
             return fn(spark, sf_dir.rstrip("/"))
 
         run.__doc__ = fn.__doc__
