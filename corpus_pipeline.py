@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontam, lines, minhash, quality
 from tidewater.llm.arrow import prepare_session
-from tidewater.session import staged
+from tidewater.llm.staging import staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

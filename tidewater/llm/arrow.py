@@ -13,12 +13,7 @@ BATCH_BYTES = 16 << 20
 
 
 def prepare_session(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches by rows and bytes, and drop shuffle files when their query has ended.
-
-    The operators write what several steps read to the shared folder, so a shuffle is of no
-    use once the write behind it is done; while it runs, lost executors are made good as ever.
-    """
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    """Bound the session's Arrow batches by rows and bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

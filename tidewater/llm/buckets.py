@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
-from tidewater.session import staged
+from tidewater.llm.staging import staged
 
 
 def similarity(x: np.ndarray, xw: np.ndarray, y: np.ndarray, yw: np.ndarray) -> float:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import staged
+from tidewater.llm.staging import staged
 
 SHARE = 512  # tokens of a window's own turns
 HISTORY = 256  # tokens of the system turn and of repeated history

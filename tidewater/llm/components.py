@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidewater.session import staged
+from tidewater.llm.staging import staged
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, dict]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.arrow import list_of
 from tidewater.llm.buckets import link
 from tidewater.llm.words import contents, mix, pieces, shingles, words_of
-from tidewater.session import staged
+from tidewater.llm.staging import staged
 
 SHINGLE = 5
 THRESHOLD = 0.8

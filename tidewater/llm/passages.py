@@ -34,7 +34,7 @@ from tidewater.llm.arrow import list_of
 from tidewater.llm.buckets import link
 from tidewater.llm.minhash import weighted
 from tidewater.llm.words import Words, mix, ngrams, pieces, shingles, words_of
-from tidewater.session import staged
+from tidewater.llm.staging import staged
 
 LENGTH = 25
 SHINGLE = 5

@@ -36,7 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import fresh_path, staged
+from tidewater.llm.staging import staged
+from tidewater.session import fresh_path
 
 MIN_PAYLOAD = 1000
 ARCHIVE_BYTES = 32 << 20
