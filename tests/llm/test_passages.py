@@ -65,3 +65,20 @@ def test_odd_rows(odd_docs, no_docs, spark):
     assert {r["doc_id"] for r in passages.repeats(twice).collect()} == {4, 104, 6, 106}
     cut = odd_docs.select(passages.cut(F.col("text"), F.lit(None).cast("array<struct<start:int,end:int>>")).alias("x"), "text")
     assert cut.where("not (x <=> text)").count() == 0
+
+
+def test_links_in_a_crowded_band_equal_brute_force(spark):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    phrase, rows = [word() for _ in range(20)], []
+    for i in range(150):  # each has its own five words after a phrase of all; its edited copy lacks the last of them
+        own = [word() for _ in range(5)]
+        rows += [(2 * i, phrase + own), (2 * i + 1, phrase + own[:4] + [word()])]
+    sets = {i: {tuple(t[k : k + 5]) for k in range(21)} for i, t in rows}
+    links = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(3)
+    classes = {}
+    for r in passages.repeats(df).collect():
+        classes.setdefault(r["class_id"], []).append(r["doc_id"])
+    assert links == {(2 * i, 2 * i + 1) for i in range(150)}
+    assert sorted(map(sorted, classes.values())) == sorted(map(list, links))

@@ -7,11 +7,11 @@ places the one whose next four words have the smallest hash. Two texts that shar
 standard 25 words this holds for all passages of over 50 words.
 
 A paragraph is a set of shingles of five words. Bands of ``rows`` minimum hashes collect paragraphs that may
-be alike: with 3 bands of 3 a pair of similarity 0.8 meets with probability 0.884, of 0.9 with 0.980; an edited copy
-of a longer passage has several paragraphs, each with that chance (three of them: 0.998), and paragraphs
-of equal words always meet and are always in one class. Colliding paragraphs of different words are compared with
-their band's leader and a picked member by exact Jaccard similarity (``buckets``), and the
-classes are components of the verified links. A class is a repeat when at
+be alike: with 5 bands of 2 a pair of similarity 0.8 meets with probability 0.994, of 0.9 with 0.9998, and paragraphs
+of equal words always meet and are always in one class. Colliding paragraphs of different words are verified by
+exact Jaccard similarity (``buckets``), and the classes are components of the verified links; no link within
+a band is lost. A word replaced within a paragraph may take it below the threshold (in the middle of 25 words:
+0.62); the untouched paragraphs of a longer passage still meet. A class is a repeat when at
 least two documents hold it; its first paragraph (smallest doc_id, then place) stays.
 
 Paragraphs that a task has met before are known to be repeated and need no band, so a
@@ -40,7 +40,7 @@ LENGTH = 25
 SHINGLE = 5
 ANCHOR = 4
 THRESHOLD = 0.8
-BANDS, ROWS = 3, 3
+BANDS, ROWS = 5, 2
 
 _GOLD = 0x9E3779B97F4A7C15
 _WRAP = (1 << 64) - 1
@@ -201,7 +201,7 @@ def repeats(
         )
         return _sets(docs.join(wanted, F.col("doc_id") == F.col("of")).select("text", "wanted"))
 
-    _, labels = link(members, lambda nodes: sets_of(nodes).dropDuplicates(["node"]), threshold, strays=False)
+    _, labels = link(members, lambda nodes: sets_of(nodes).dropDuplicates(["node"]), threshold)
     places = collided.select("content", "doc_id", "start", "end").distinct()
     named = labels.select(F.col("node").alias("of"), "label")
     places = places.join(named, F.col("content") == F.col("of"), "left").select(
