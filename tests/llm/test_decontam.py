@@ -65,3 +65,27 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert got == sorted([(3, 3), (3, 3), (3, None), (4, 5)], key=repr)
     assert decontam.contaminated(no_docs, items).count() == 0
     assert decontam.contaminated(odd_docs, items.where("false")).count() == 0
+
+
+def test_equal_edited_copies_beside_an_exact_one(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    item = [word() for _ in range(40)]
+    for step in (10, 5):  # 10 and 20 % of the words replaced, in all copies alike
+        edited = [word() if k % step == step // 2 else w for k, w in enumerate(item)]
+        docs = [(i, " ".join([word(), word(), *(edited if i else item), word()])) for i in range(300)]
+        d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+        rows = decontam.contaminated(d, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+        assert {r["doc_id"] for r in rows} == set(range(300))
+        assert {round(r["score"], 9) for r in rows} == {1.0, round(smith_waterman(item, edited), 9)}
+
+
+def test_one_seed_is_enough():
+    rng = random.Random(6)
+    items = [[rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))] for _ in range(20)]
+    docs = [[rng.choice("abcdefghij") for _ in range(rng.randint(0, 12))] for _ in range(100)]
+    grams = lambda w: {tuple(w[k : k + 3]) for k in range(len(w) - 2)}
+    want = {(d, i) for d, x in enumerate(docs) for i, y in enumerate(items) if grams(x) & grams(y) and smith_waterman(y, x) >= 0.5}
+    own = decontam.items_of([(i, " ".join(w)) for i, w in enumerate(items)], 3)
+    got = decontam.found_in(decontam.plain_words([" ".join(w) for w in docs]), decontam.seeds_of(own), [3], 0.5)
+    assert {r[:2] for r in got} == want and len(want) > 5

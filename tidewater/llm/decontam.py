@@ -1,15 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits in lower case. The n-grams of the test items are counted over
-the whole corpus, and the rare ones of each item are its seeds. A document meets an item where it
-holds seeds of it close together; that passage, with some words on both sides, is aligned with the
-item. The alignment's score over the best possible one says how much of the item stands there,
-with words replaced, left out or put in between.
+Words are runs of letters and digits in lower case. All n-grams of a test item are its seeds, so
+what is found in a document does not depend on how often other documents hold the same. A document
+meets an item where it holds a seed of it; that passage, with some words on both sides, is aligned with
+the item if it holds enough of the item's words to reach the threshold at all. The alignment's score
+over the best possible one says how much of the item stands there, with words replaced, left
+out or put in between.
 
 Items are the stated query set. They are taken in blocks of ``block`` items, so that what
-every task gets is bounded whatever their number; each block reads the documents twice (counting,
-then searching) and shuffles only counts of its own n-grams. Documents are independent of each
-other: a hot source or repeated rows cause no group anywhere.
+every task gets is bounded whatever their number; each block reads the documents once and shuffles
+nothing. Documents are independent of each other: a hot source or repeated rows cause no group
+anywhere.
 
 Null and empty texts on either side meet nothing. Items shorter than an n-gram are compared by their
 words as one shorter n-gram. Repeated items and repeated documents give a row each; null ids are kept
@@ -32,9 +33,6 @@ from pyspark.sql import functions as F
 from tidewater.llm.words import Words, ngrams, pieces, words_of
 
 NGRAM = 3
-SEED_TIMES = 8
-SEED_LEAST = 8
-SEEDS_MET = 2  # different seeds of an item that a passage has to hold
 THRESHOLD = 0.5
 BLOCK = 5_000
 
@@ -104,46 +102,11 @@ def _hits(words: Words, keys: np.ndarray, sizes: list[int]) -> tuple[np.ndarray,
     return np.concatenate(at), np.concatenate(which)
 
 
-def _counted(docs: DataFrame, items: Items, n: int) -> np.ndarray:
-    """How often each distinct n-gram of the items occurs in the corpus."""
-    keys, sizes = np.unique(items.grams), _sizes(items, n)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(keys), np.int64)
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in pieces(texts):
-                total += np.bincount(_hits(plain_words(texts[a:b]), keys, sizes)[1], minlength=len(keys))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["gram", "n"])
-
-    rows = docs.select("text").mapInArrow(task, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(keys), np.int64)
-    for gram, count in rows.collect():  # one row per n-gram of the block
-        out[gram] = count
-    return out
-
-
-def seeds_of(items: Items, counts: np.ndarray) -> Items:
-    """The items with only the rare ones of each item's n-grams that occur at all.
-
-    Rare is what occurs at most SEED_TIMES as often as the item's lower quartile; of an item that
-    was copied often all but the common phrases are rare in this sense. The SEED_LEAST rarest always are.
-    """
-    keys = np.unique(items.grams)
-    often = counts[np.searchsorted(keys, items.grams)]
-    order = np.lexsort((items.place, items.grams, often, items.item))
-    order = order[often[order] > 0]
-    item, often = items.item[order], often[order]
-    first = np.flatnonzero(np.r_[True, item[1:] != item[:-1]][: len(item)])
-    sizes = np.diff(np.r_[first, len(item)])
-    rank = np.arange(len(item)) - np.repeat(first, sizes)
-    limit = SEED_TIMES * often[first + (sizes - 1) // 4] if len(first) else first
-    chosen = np.sort(order[(rank < SEED_LEAST) | (often <= np.repeat(limit, sizes))])
-    # An n-gram that an item repeats is one seed, at its first place.
-    grams, item = items.grams[chosen], items.item[chosen]
-    chosen = chosen[np.r_[True, (grams[1:] != grams[:-1]) | (item[1:] != item[:-1])][: len(chosen)]]
-    return Items(items.ids, items.words, items.grams[chosen], items.item[chosen], items.place[chosen])
+def seeds_of(items: Items) -> Items:
+    """The items with each of their n-grams once, at its first place in the item."""
+    grams, item = items.grams, items.item
+    first = np.r_[True, (grams[1:] != grams[:-1]) | (item[1:] != item[:-1])][: len(grams)]
+    return Items(items.ids, items.words, grams[first], item[first], items.place[first])
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
@@ -162,19 +125,15 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     return best / (MATCH * len(item)), end
 
 
-def _passages(hits: list[tuple[int, int, int]], length: int) -> Iterator[tuple[int, int, int]]:
-    """From hits (place, place in the item, seed) in order: ranges around hits that lie close together, and their seeds."""
+def _passages(hits: list[tuple[int, int]], length: int) -> Iterator[tuple[int, int]]:
+    """From hits (place, place in the item) in order: ranges around hits that lie close together."""
     slack = length // 2 + 2
     group = [hits[0]]
     for hit in [*hits[1:], None]:
         if hit is not None and hit[0] - group[-1][0] <= length:
             group.append(hit)
             continue
-        yield (
-            min(p - i for p, i, _ in group) - slack,
-            max(p + length - i for p, i, _ in group) + slack,
-            len({s for *_, s in group}),
-        )
+        yield min(p - i for p, i in group) - slack, max(p + length - i for p, i in group) + slack
         group = [hit]
 
 
@@ -189,20 +148,15 @@ def found_in(words: Words, seeds: Items, sizes: list[int], threshold: float) ->
     docs = words.doc[at]
     for p, k, d in zip(at.tolist(), which.tolist(), docs.tolist()):
         for s in range(first[k], last[k]):
-            met[d, int(seeds.item[s])].append((p, int(seeds.place[s]), k))
-    n_seeds: dict[int, int] = defaultdict(int)
-    for i in seeds.item.tolist():
-        n_seeds[i] += 1
+            met[d, int(seeds.item[s])].append((p, int(seeds.place[s])))
     ends = np.cumsum(words.counts)
     for (d, i), hits in met.items():
-        least = min(SEEDS_MET, n_seeds[i])
-        if len({s for *_, s in hits}) < least:
-            continue
         item, low, high = seeds.words[i], int(ends[d] - words.counts[d]), int(ends[d])
         best = (0.0, 0, 0)
-        for a, b, n in _passages(sorted(hits), len(item)):
-            if n >= least:
-                a, b = max(a, low), min(b, high)
+        for a, b in _passages(sorted(hits), len(item)):
+            a, b = max(a, low), min(b, high)
+            # Words of the item that do not stand in the passage cannot be matched.
+            if np.isin(item, words.hash[a:b]).sum() >= threshold * len(item) - 1e-9:
                 score, end = align(item, words.hash[a:b])
                 best = max(best, (score, a, a + end))
         if best[0] >= threshold:
@@ -240,6 +194,5 @@ def contaminated(
     while taken := [tuple(r) for r in itertools.islice(rows, block)]:
         own = items_of(taken, n)
         if len(own.grams):
-            seeds = seeds_of(own, _counted(docs, own, n))
-            out = out.unionByName(_searched(docs, seeds, _sizes(own, n), threshold))
+            out = out.unionByName(_searched(docs, seeds_of(own), _sizes(own, n), threshold))
     return out
