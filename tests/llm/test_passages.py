@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidewater.llm import passages
+from tidewater.llm.words import words_of
 
 
 def texts():
@@ -82,3 +84,37 @@ def test_links_in_a_crowded_band_equal_brute_force(spark):
         classes.setdefault(r["class_id"], []).append(r["doc_id"])
     assert links == {(2 * i, 2 * i + 1) for i in range(150)}
     assert sorted(map(sorted, classes.values())) == sorted(map(list, links))
+
+
+def test_passages_within_templates_share_a_paragraph():
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    for k in range(200):
+        fixed = [word() for _ in range(rng.randint(4, 12))]
+        records = lambda n: [w for _ in range(n) for w in [*fixed, *(word() for _ in range(rng.randint(0, 4)))]]
+        shared = (fixed * 20 if k % 2 else records(20))[:52]
+        docs = [" ".join([*records(rng.randint(0, 9)), *shared, *records(rng.randint(0, 9))]) for _ in range(2)]
+        contents = [set(passages.paragraphs(words_of([d]), passages.LENGTH, 1, 1)[1].tolist()) for d in docs]
+        assert contents[0] & contents[1]
+
+
+def test_a_passage_that_repeats_itself_is_found_whole(spark):
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    own = lambda: [word() for _ in range(60)]
+    rows = [(i, " ".join([*own(), *["one two three four five six seven"] * 40, *own()])) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = passages.repeats(df).localCheckpoint()
+    text, at = dict(rows), {i: t.index("one two") for i, t in rows}
+    size = len("one two three four five six seven") * 40 + 39
+    covered = {i: np.zeros(len(t), bool) for i, t in rows}
+    for r in found.collect():
+        covered[r["doc_id"]][r["start"] : r["end"]] = True
+    for i in covered:
+        assert covered[i][at[i] : at[i] + size].mean() > 0.9
+    cut = df.join(passages.removals(found), "doc_id").select("doc_id", passages.cut(F.col("text"), F.col("spans")).alias("text"))
+    left = {r["doc_id"]: r["text"].split() for r in cut.collect()}
+    assert 120 + 25 <= len(left[0]) <= 120 + 25 + 14
+    assert all(120 <= len(left[i]) <= 120 + 14 for i in (1, 2))
+    first = min((r["start"], r["end"]) for r in found.where("doc_id = 0 and kept").collect())
+    assert " ".join(left[0]).find(text[0][first[0] : first[1]]) >= 0

@@ -4,7 +4,9 @@ Texts need not have paragraph marks, and a copied passage may begin in the middl
 paragraphs are windows of ``length`` words at content-defined places: of every ``length`` neighbouring
 places the one whose next four words have the smallest hash. Two texts that share a passage of
 2 * length + 2 words or more, whatever surrounds it, have a paragraph in common; with the
-standard 25 words this holds for all passages of over 50 words.
+standard 25 words this holds for all passages of over 50 words. Repetitive text has a paragraph at each
+place with the smallest hash, so that a passage which repeats itself is covered to its end; those of equal
+words are one node.
 
 A paragraph is a set of shingles of five words. Bands of ``rows`` minimum hashes collect paragraphs that may
 be alike: with 5 bands of 2 a pair of similarity 0.8 meets with probability 0.994, of 0.9 with 0.9998, and paragraphs
@@ -71,9 +73,6 @@ def anchors(words: Words, length: int) -> np.ndarray:
         least[~inside] = 0
         padded = np.concatenate([np.zeros(length - 1, np.uint64), least, np.zeros(n - len(least), np.uint64)])
         chosen = np.flatnonzero((_sliding(padded, length, np.maximum) == hashes) & (hashes != _WRAP))
-        # Repetitive text chooses the same words again and again: once is enough.
-        again = (np.diff(chosen) < length) & (hashes[chosen][1:] == hashes[chosen][:-1])
-        chosen = chosen[np.r_[True, ~again][: len(chosen)]]
         chosen = chosen[chosen + length <= ends[chosen]]
     else:
         chosen = np.zeros(0, np.int64)
@@ -219,10 +218,15 @@ def repeats(
 
 
 def removals(found: DataFrame) -> DataFrame:
-    """(doc_id, spans): what to cut from each document, as disjoint spans in order."""
+    """(doc_id, spans): what to cut from each document, as disjoint spans in order.
+
+    In repetitive text paragraphs of a class overlap; the one that is kept stays whole.
+    """
     before = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("doc_id").orderBy("start", "end")
-    rows = found.where("not kept").select("doc_id", "start", "end", F.max("end").over(before).alias("reach"))
+    held = F.max(F.when(F.col("kept"), F.col("end"))).over(Window.partitionBy("doc_id", "class_id"))
+    rows = found.select("doc_id", "end", "kept", F.greatest("start", held).alias("start")).where("not kept")
+    rows = rows.select("doc_id", "start", "end", F.max("end").over(before).alias("reach"))
     rows = rows.withColumn("island", F.sum((F.col("reach").isNull() | (F.col("start") > F.col("reach"))).cast("int")).over(upto))
     spans = rows.groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     return spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
