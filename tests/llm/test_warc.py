@@ -70,3 +70,15 @@ def test_broken_archives_are_refused():
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read(warc.archived(pages)).count() == 0
+
+
+def test_a_damaged_payload_is_refused():
+    data = warc.record(1, "http://a/", b"payload " * 10, None)
+    read = warc.parse(data)
+    assert (read["payload_bytes"], read["payload_digest"]) == (80, hashlib.sha1(b"payload " * 10).hexdigest())
+    head, _, tail = data.rpartition(b"payload ")
+    for damaged in (head + b"pAyload " + tail, head[:-8]):
+        with pytest.raises(ValueError, match="urn:page:1"):
+            warc.parse(damaged)
+    revisit = warc.parse(warc.record(2, "http://a/", b"payload " * 10, 1))
+    assert (revisit["payload_bytes"], revisit["payload_digest"], revisit["payload"]) == (80, read["payload_digest"], None)

@@ -104,21 +104,31 @@ def _headers(data: bytes) -> dict[str, str]:
 
 
 def parse(data: bytes) -> dict:
-    """What a record says about itself, and its payload (None for a revisit)."""
+    """A record's fields and payload (None for a revisit).
+
+    Length and digest of a response are those of the payload as read; a record whose headers
+    say otherwise is refused. A revisit has them in its headers only.
+    """
     head_end = data.index(b"\r\n\r\n") + 4
     head = _headers(data[:head_end])
     block = data[head_end : head_end + int(head["Content-Length"])]
     http_end = block.index(b"\r\n\r\n") + 4
     number = lambda urn: int(urn[len("<urn:page:") : -1] or -1) if urn and urn != _record_id(None) else None
     revisit = head["WARC-Type"] == "revisit"
+    payload = None if revisit else block[http_end:]
+    size, digest = int(_headers(block[:http_end])["Content-Length"]), head["WARC-Payload-Digest"].removeprefix("sha1:")
+    if payload is not None:
+        said, size, digest = (size, digest), len(payload), hashlib.sha1(payload).hexdigest()
+        if said != (size, digest):
+            raise ValueError(f"the payload of {head['WARC-Record-ID']} is not the one its headers name")
     return {
         "page_id": number(head["WARC-Record-ID"]),
         "url": urllib.parse.unquote(head["WARC-Target-URI"]),
-        "payload_bytes": int(_headers(block[:http_end])["Content-Length"]),
-        "payload_digest": head["WARC-Payload-Digest"].removeprefix("sha1:"),
+        "payload_bytes": size,
+        "payload_digest": digest,
         "record_type": head["WARC-Type"],
         "refers_to": number(head.get("WARC-Refers-To")),
-        "payload": None if revisit else block[http_end:],
+        "payload": payload,
     }
 
 
