@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 
 import duckdb
+import public_tokenizers
 import pytest
+import tiktoken
 from oracle import compare, connect
 from tokenizers import Tokenizer
 
@@ -32,6 +35,19 @@ def test_op1(spark, con, sf, vocabulary):
     assert {r[0]: tuple(r[1:]) for r in queries.QUERIES["op1_bpe"](spark, sf).collect()} == want
 
 
+def test_op12(spark, con, sf):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = {}
+    for i, text in con.execute("select doc_id, coalesce(text, '') from documents").fetchall():
+        ids = library.encode_ordinary(text)
+        want[i] = (len(ids), sha(",".join(map(str, ids)).encode()), sha(library.decode_bytes(ids)))
+    assert {r[0]: tuple(r[1:]) for r in queries.QUERIES["op12_bytepiece"](spark, sf).collect()} == want
+
+
 def test_op2(spark, con, sf):
     from test_secrets import brute
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewater.llm import bpe, chat, decontam, lines, minhash, passages, quality, secrets, urls, warc
+from tidewater.llm import bpe, bytepiece, chat, decontam, lines, minhash, passages, quality, secrets, urls, warc
 from tidewater.llm.arrow import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +211,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeats(table(spark, sf_dir, "documents"))
 
 
+@query("op12_bytepiece")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document by a rank file, and the bytes they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    ids = docs.select("doc_id", bytepiece.encode(text_of(docs), path).alias("ids"))
+    decoded = ids.select("doc_id", "ids", bytepiece.decode(F.col("ids"), path).alias("decoded"))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that pass all stages, as tokens."""
