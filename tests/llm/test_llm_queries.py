@@ -6,6 +6,7 @@ import base64
 import hashlib
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -35,6 +36,15 @@ def test_op1(spark, con, sf, vocabulary):
     assert {r[0]: tuple(r[1:]) for r in queries.QUERIES["op1_bpe"](spark, sf).collect()} == want
 
 
+def test_op11(spark, con, sf):
+    from test_alignment import brute_rows
+
+    rows = con.execute("select doc_id, text from documents order by doc_id").fetchall()
+    want = {i: x for (i, _), x in zip(rows, brute_rows([t for _, t in rows]))}
+    got = {tuple(r)[0]: tuple(r)[1:] for r in queries.QUERIES["op11_align"](spark, sf).collect()}
+    assert got == want
+
+
 def test_op12(spark, con, sf):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     with open(path, "rb") as f:
@@ -48,6 +58,15 @@ def test_op12(spark, con, sf):
     assert {r[0]: tuple(r[1:]) for r in queries.QUERIES["op12_bytepiece"](spark, sf).collect()} == want
 
 
+def test_op13(spark, con, sf):
+    from test_whitening import held_to
+
+    rows = con.execute("select vec_id, embedding from embeddings order by vec_id").fetchall()
+    rows = [(i, v) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    x = np.floor(256 * np.array([v for _, v in rows], float)).astype(np.int64)
+    held_to(queries.QUERIES["op13_whitening"](spark, sf).collect(), x, [i for i, _ in rows])
+
+
 def test_op2(spark, con, sf):
     from test_secrets import brute
 

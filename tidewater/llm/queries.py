@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewater.llm import bpe, bytepiece, chat, decontam, lines, minhash, passages, quality, secrets, urls, warc
+from tidewater.llm import alignment, bpe, bytepiece, chat, decontam, lines, minhash, passages, quality, secrets, urls, warc, whitening
 from tidewater.llm.arrow import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +211,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeats(table(spark, sf_dir, "documents"))
 
 
+@query("op11_align")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by two tokenizers, their groups and links, and what the corpus says of the links."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    rows = alignment.align(docs, *paths)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    scored = alignment.scored(rows.withColumn("groups_sha256", digest).drop("groups"))
+    counts = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    return scored.select("doc.doc_id", *counts, "groups_sha256")
+
+
 @query("op12_bytepiece")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by a rank file, and the bytes they decode to, as digests."""
@@ -226,6 +238,22 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first four whitened components, and how good they are."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    done = whitening.whitened(rows)
+    return done.select(
+        "row.vec_id",
+        "component",
+        "n",
+        F.col("deviation").cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that pass all stages, as tokens."""
