@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -55,6 +57,95 @@ def test_constants_are_propagated():
     assert found('A = "Zx81kkQ19abQ"\nb = A\n') == set()
 
 
+def test_forms_of_assignment():
+    secret = "Zx81kkQ19abQ"
+    for text in (
+        f'SECRET_KEY = b"{secret}"', f"client_pwd: str = '{secret}'", f'd["password"] = "{secret}"', f"password: {secret}\n",
+        f'pwd: Optional[str] | None = "{secret}"', f"private_key={secret}&z=9", f"password = K\nK = '{secret}'",
+        f"a=b\nb=c\nc=a\npassword=a\nc='{secret}'", f"K = '{secret}'\nB = x.K\nself.auth_token = cfg.B\n", f"token := `{secret}`",
+    ):
+        assert found(text) == {secret}, text
+    assert found('PASSPHRASE = "three little words"') == {"three little words"}
+    assert found(f'private_key = """{secret}\nsecond line"""') == {f"{secret}\nsecond line"}
+    assert found(f'private_key = """{secret}') == set() and found(f'password = "{secret}\n"') == set()
+    assert found(f"password = x\nx = '{secret}'\nx = 'Other81kQ1'") == {secret, "Other81kQ1"}
+
+
+def brute_literals(text):
+    """Literal spans by the definition: every pair on its own, and names followed until nothing changes."""
+    stop, found = "\"'`,;&(){}[]<>", []
+    annotated = [
+        (m.start(2), m.end(), m[1])
+        for m in re.finditer(r"(?<![\w$])([A-Za-z_$][\w$]*)[ \t]*(:)[ \t]*[A-Za-z_][\w.]*(?:\[[^\]\n=]{0,200}\])?(?:[ \t]*\|[ \t]*[A-Za-z_][\w.]*)*[ \t]*=(?!=)", text)
+    ]
+    for m in re.finditer(r"=>|:=|[:=](?![:=])", text):
+        if m.start() in [a for a, *_ in annotated]:
+            continue
+        name = re.search(r"([\w$.-]*)[\"'`\])]{0,3}[ \t]*\Z", text[: m.start()], re.ASCII)[1]
+        names = [n for n in [name, *[n for _, end, n in annotated if end == m.end()]] if n]
+        at = m.end() + len(re.match(r"[ \t]*", text[m.end() :])[0])
+        quote = re.match(r"([rRbBuUfF]{0,2})(\"\"\"|'''|[\"'`])", text[at:])
+        if quote:
+            start, q = at + quote.end(), quote[2]
+            body = re.match(r"(?s).*?(?=" + q + ")" if len(q) == 3 else r"(?:\\.|[^\\\n" + q + "])*(?=" + q + ")", text[start:])
+            if not body:
+                continue
+            end = start + body.end()
+        else:
+            start = end = at
+            while end < len(text) and not text[end].isspace() and text[end] not in stop:
+                end += 1
+        if names and (quote or end > start):
+            found += [(n, start, end, bool(quote)) for n in names]
+    last = lambda n: n.rpartition(".")[2] or n
+    known = {last(n) for n, *_ in found}
+    weight = {n: 0.0 for n in known}
+    for n, *_ in found:
+        weight[last(n)] = max(weight[last(n)], secrets.name_score(n), secrets.name_score(last(n)))
+    word = r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*"
+    alias = lambda s, e, q: not q and re.fullmatch(word, text[s:e]) and last(text[s:e]) in known
+    for _ in known:
+        for n, s, e, q in found:
+            if alias(s, e, q):
+                weight[last(text[s:e])] = max(weight[last(text[s:e])], weight[last(n)])
+    out = {}
+    for n, s, e, q in found:
+        own = alias(s, e, q) and last(text[s:e]) != last(n)
+        if not own and weight[last(n)] and e - s >= secrets.MIN_LENGTH:
+            score = 0.5 * weight[last(n)] + 0.5 * secrets.literal_score(text[s:e])
+            if score >= secrets.MIN_SCORE:
+                out[s, e] = max(out.get((s, e), 0), round(score, 6))
+    return out
+
+
+def test_literals_against_the_definition():
+    rng = random.Random(11)
+    parts = [
+        "password", "api_key", "token", "x", "y", "self.x", "cfg.y", "Zx81kkQ19abQ", "hunter2-Hunter2", "Optional[str]", "str", "=", " = ",
+        ": ", ":=", "=>", "==", ":", "&", " ", "\n", "\t", '"', "'", "`", '"""', "b", "\\", "(", ")", "[", "]", "| None", "é", ".", "key",
+        *["password", "=", "Zx81kkQ19abQ", '"', "x"] * 3,
+    ]
+    hits = 0
+    for _ in range(4000):
+        text = "".join(rng.choices(parts, k=rng.randint(3, 25)))
+        got = {(a, b): s for kind, a, b, s in secrets.spans(text) if kind == "literal"}
+        want = brute_literals(text)
+        assert got == want, (text, got, want)
+        hits += bool(want)
+    assert hits > 200
+
+
+def test_time_grows_with_the_text():
+    for unit in ("a=b&", "token=ab1&", "token=", "token:", "a:b[", "x='", '="""', 'a="\\"', "tok.en=a.b.c:", "x" * 500 + "=b"):
+        took = []
+        for size in (60_000, 240_000):
+            text = unit * (size // len(unit))
+            start = time.process_time()
+            secrets.spans(text)
+            took.append(time.process_time() - start)
+        assert took[1] < 10 * took[0] + 0.5, (unit, took)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = odd_docs.select("text", secrets.scan(F.col("text")).alias("spans")).collect()
     assert len(rows) == odd_docs.count() and all(r["spans"] == [] for r in rows)
