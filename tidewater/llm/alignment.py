@@ -45,7 +45,7 @@ from tidewater.llm.staging import staged
 # A tokens of a lane: bounds the steps of a batch to about the A and B tokens of a lane.
 LANE = 256
 # Bytes of the texts that are aligned at once and share one list of pairs.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 @dataclass
