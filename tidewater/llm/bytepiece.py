@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.arrow import list_of, ranges
 from tidewater.llm.pretokens import cut
+from tidewater.llm.words import pieces
 
 # Pre-tokens and ids that a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 400_000
 KEPT_IDS = 4_000_000
+# Ids that are decoded at once, one row at least.
+DECODED = 250_000
 
 # One character per byte, none of them white space, a control or U+2581, which sentencepiece treats apart.
 FIRST_CHAR = 0x100
@@ -180,6 +183,16 @@ class BytePieces:
         ends = np.r_[0, np.cumsum(lengths)][np.cumsum(counts)].tolist()
         return [data[a:b] for a, b in zip([0, *ends], ends)]
 
+    def decode_rows(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[bytes]:
+        """As :func:`decode`, some rows at a time."""
+        ends = np.cumsum(counts)
+        first = 0
+        while first < len(counts):
+            start = ends[first] - counts[first]
+            last = max(first + 1, int(np.searchsorted(ends, start + DECODED, side="right")))
+            yield from self.decode(ids[start : ends[last - 1]], counts[first:last])
+            first = last
+
 
 @functools.cache
 def byte_pieces(path: str) -> BytePieces:
@@ -191,10 +204,13 @@ def encode(text: Column, path: str) -> Column:
     """Token ids (array<int>) of a text column, by the rank file at ``path``."""
 
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = byte_pieces(path)
-        for texts in batches:
-            flat, counts = pieces.encode(texts.to_pylist())
-            yield list_of(np.r_[0, np.cumsum(counts)], pa.array(flat, pa.int32()), ~np.asarray(texts.is_null()))
+        own = byte_pieces(path)
+        for column in batches:
+            texts = column.to_pylist()
+            # Lists of words are held for some of a batch's texts at once.
+            parts = [own.encode(texts[a:b]) for a, b in pieces(texts)] or [own.encode([])]
+            flat, counts = (np.concatenate(x) for x in zip(*parts))
+            yield list_of(np.r_[0, np.cumsum(counts)], pa.array(flat, pa.int32()), ~np.asarray(column.is_null()))
 
     ids.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(ids, "array<int>")(text)
@@ -204,12 +220,12 @@ def decode(ids: Column, path: str) -> Column:
     """The bytes (binary) of token ids, by the rank file at ``path``; null for a row that holds a null id."""
 
     def data(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = byte_pieces(path)
+        own = byte_pieces(path)
         for rows in batches:
             counts = np.asarray(rows.value_lengths().fill_null(0)).astype(np.int64)
             flat = rows.flatten()
             holes = np.asarray(flat.is_null())
-            out = pieces.decode(np.asarray(flat.fill_null(0)).astype(np.int64), counts)
+            out = own.decode_rows(np.asarray(flat.fill_null(0)).astype(np.int64), counts)
             seen = np.r_[0, np.cumsum(holes)]
             ends = np.cumsum(counts)
             null = np.asarray(rows.is_null()) | (seen[ends] > seen[ends - counts])
