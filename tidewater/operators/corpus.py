@@ -254,10 +254,10 @@ SIMILARITY_DIGITS = 9
 # Queries and corpus rows that meet in one group.
 QUERY_BLOCK = 5_000
 CORPUS_BLOCK = 50_000
-_NEAREST = "query_id bigint, corpus_id bigint, sim double, corpus_label int"
+NEAREST_SCHEMA = "query_id bigint, corpus_id bigint, sim double, corpus_label int"
 
 
-def _block_search(k: int):
+def block_search(k: int):
     """Unit rows of a column of vectors, and the search of one block of rows for some queries."""
     names = ["query_id", "corpus_id", "sim", "corpus_label"]
 
@@ -297,7 +297,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     rows per query; only those are shuffled for the final cut. The queries are
     staged, so that what they were computed from is read once.
     """
-    unit, search = _block_search(k)
+    unit, search = block_search(k)
     corpus = corpus.filter(F.col("embedding").isNotNull())
     queries = staged(queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding"), "queries")
     q_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
@@ -325,7 +325,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         every(q_blocks).alias("qb"), block("corpus_id", c_blocks).alias("cb"),
         "corpus_id", "embedding", "corpus_label",
     )
-    near = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, _NEAREST)
+    near = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, NEAREST_SCHEMA)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "corpus_id"))
     return near.withColumn("place", place).filter(F.col("place") <= k)
 

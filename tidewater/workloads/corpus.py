@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import fingerprint, json_double, json_text
-from tidewater.operators import corpus
+from tidewater.operators import corpus, retrieval
 from tidewater.plans import screens
+from tidewater.session import fresh_path, staged
 from tidewater.workloads.registry import query
 from tidewater.workloads.shapes import table
 
@@ -266,3 +267,55 @@ def recall_per_version(spark: SparkSession, sf: str) -> DataFrame:
     queries = queries.withColumn("vec_id", -1 - F.col("label"))
     found = corpus.recall_per_version(vectors, queries, ["v0", "v1"])
     return found.withColumn("recall_at_5", F.round("recall_at_5", 9))
+
+
+_DIRECTED_SQL = """
+v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where list_count(embedding) = len(embedding) and list_aggregate(list_transform(embedding, lambda x: isfinite(x)), 'bool_and')
+    and list_aggregate(list_transform(embedding, lambda x: x <> 0), 'bool_or'))"""
+INDEX_RECALL = 0.9
+
+
+def _index(spark: SparkSession, sf: str):
+    """An index of all vectors, its queries (every id divisible by 50) and the lists a query probes."""
+    vectors = table(spark, sf, "embeddings")
+    corpus_rows = vectors.select(
+        F.col("vec_id").alias("corpus_id"), "embedding", F.col("label").cast("int").alias("corpus_label")
+    )
+    asked = vectors.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    lists = max(1, min(4096, round(vectors.count() ** 0.5)))
+    index = retrieval.build_index(corpus_rows, fresh_path(spark, "vector-lists"), lists)
+    sample = retrieval.sample_of(corpus_rows, min(retrieval.SAMPLE_MOST, retrieval.SAMPLE_PER_LIST * lists))
+    return index, asked, retrieval.probes_for(sample, index.centroids, 5, INDEX_RECALL + 0.03)
+
+
+@query("index_search", f"""
+with {_DIRECTED_SQL},
+sims as (
+  select q.vec_id as query_id, c.vec_id as corpus_id, round(list_cosine_similarity(q.e, c.e), 9) as sim
+  from v q, v c where q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+near as (select *, row_number() over (partition by query_id order by sim desc, corpus_id) as place from sims)
+select query_id, place::int as place, corpus_id, sim from near where place <= 5""")
+def index_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest vectors of every query by the index, exactly."""
+    index, asked, probes = _index(spark, sf)
+    return retrieval.search_exact(index, asked, 5, probes).select("query_id", "place", "corpus_id", "sim")
+
+
+@query("index_recall", f"""
+with {_DIRECTED_SQL}
+select count(*) as n_queries, {INDEX_RECALL}::double as recall, true as bounded from v
+where vec_id % 50 = 0 having count(*) > 0""")
+def index_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Recall of a search in the probed lists against the exact one, counted up to the target, and whether
+    a query's candidates are at most the vectors of its lists."""
+    index, asked, probes = _index(spark, sf)
+    found = staged(retrieval.search(index, asked, 5, probes), "found")
+    exact = staged(retrieval.search_exact(index, asked, 5, probes), "exact")
+    row = retrieval.search_recall(index, found, exact, probes).filter("n_queries > 0")
+    return row.select(
+        "n_queries",
+        F.least("recall", F.lit(INDEX_RECALL)).alias("recall"),
+        (F.col("most_candidates") <= int(index.sizes.sum())).alias("bounded"),
+    )
