@@ -12,6 +12,7 @@ do the same on the table itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -23,6 +24,7 @@ from tidewater.operators.merge import merge_into_table, merge_upsert, no_null, r
 from tidewater.session import one_row, staged
 
 LEDGER_SCHEMA = "table_name string, execution_date date, snapshot_id bigint, recorded_at timestamp"
+Write = Callable[[DataFrame, str], None]
 COMMIT_SCHEMA = "snapshot_id bigint, parent_id bigint, committed_at timestamp, seq bigint"
 
 
@@ -152,14 +154,19 @@ def _commit(spark: SparkSession, root: str, snapshot_id: int, seq: int, parent:
     row.write.mode("append").parquet(f"{root}/commits")
 
 
-def commit_state(spark: SparkSession, root: str, state: DataFrame) -> int:
+def _overwrite(state: DataFrame, path: str) -> None:
+    state.write.mode("overwrite").parquet(path)
+
+
+def commit_state(spark: SparkSession, root: str, state: DataFrame, write: Write = _overwrite) -> int:
     """Write a whole state under a new snapshot id, then make it current.
 
     A table has one writer at a time. What a failed attempt left under the id is
-    replaced by the next one.
+    replaced by the next one. ``write`` may audit what it writes: if it raises, nothing has
+    become visible.
     """
     _, top, seq = _head(spark, root)
-    state.write.mode("overwrite").parquet(f"{root}/states/snapshot_id={top + 1}")
+    write(state, f"{root}/states/snapshot_id={top + 1}")
     _commit(spark, root, top + 1, seq + 1)
     return top + 1
 
@@ -263,18 +270,18 @@ def stateful_merge_changes(
 
 def stateful_merge(
     spark: SparkSession, root: str, source: DataFrame, keys: list[str], table: str,
-    execution_date: date, ledger_path: str,
+    execution_date: date, ledger_path: str, write: Write = _overwrite,
 ) -> int:
     """Merge into the snapshot before the date, and record the new snapshot.
 
     A backfill for an older date thereby starts from what the table was before
     that date; without an earlier one it starts from the current state. Nothing
     becomes visible before the merge is written, so if it fails the table and the
-    ledger are as before.
+    ledger are as before. ``write`` is that of :func:`commit_state`.
     """
     base = _base(spark, root, table, execution_date, ledger_path)
     batch = staged(source, "source")
     target = batch.limit(0) if base is None else state_at(spark, root, base)
-    snapshot_id = commit_state(spark, root, merge_upsert(target, batch, keys))
+    snapshot_id = commit_state(spark, root, merge_upsert(target, batch, keys), write)
     record_snapshot(spark, ledger_path, table, execution_date, snapshot_id)
     return snapshot_id

@@ -17,6 +17,7 @@ from tidewater.operators.history import (
     stateful_merge_table,
 )
 from tidewater.operators.quality import TableChecks, post_audit, pre_audit
+from tidewater.plans.publish import gate
 from tidewater.sources import read_csv_dir
 
 
@@ -48,7 +49,8 @@ def replicate(spark: SparkSession, cfg: Replication, run_date: date) -> tuple[Da
     """One run. Returns the pre-audit rows and the new snapshot id.
 
     The pre-audit only reports. The post-audit raises when the merged table has
-    repeated keys, after it left an alert.
+    repeated keys, after it left an alert. With whole states it stands before the commit, so that readers and the ledger
+    never come to a state that failed; the other modes audit what has been merged.
     """
     source = read_csv_dir(spark, cfg.source_path, cfg.schema)
     keys = [cfg.primary_key]
@@ -60,8 +62,11 @@ def replicate(spark: SparkSession, cfg: Replication, run_date: date) -> tuple[Da
         return before, made
     now = current_snapshot_id(spark, cfg.root)
     before = pre_audit(None if now is None else replica(spark, cfg, now), cfg.checks)
-    merge = {"batches": stateful_merge_changes, "states": stateful_merge}[cfg.mode]
-    made = merge(spark, cfg.root, source, keys, cfg.name, run_date, cfg.ledger_path)
+    if cfg.mode == "states":
+        audited = gate(cfg.checks, cfg.alerts_path)
+        made = stateful_merge(spark, cfg.root, source, keys, cfg.name, run_date, cfg.ledger_path, audited)
+        return before, made
+    made = stateful_merge_changes(spark, cfg.root, source, keys, cfg.name, run_date, cfg.ledger_path)
     post_audit(replica(spark, cfg, made), cfg.checks, cfg.alerts_path)
     return before, made
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Settings the operators are written for. Shuffle partitions are left to the
@@ -79,6 +80,14 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(seen: Observation, **none) -> dict:
+    """What a finished write observed; ``none`` if Spark found that there were no rows and left the metrics out."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return none
+
+
 def one_row(spark: SparkSession, **values) -> DataFrame:
     """One row of literals, in one partition and without a trip through Python."""
     return spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in values.items()])
