@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ from tidewater.session import staged
 from tidewater.sources.records import with_record_meta
 
 
+# The day of rows without a time.
+NO_DAY = "1000-01-01"
+
+
 # -- running -----------------------------------------------------------------
 
 
@@ -129,6 +135,27 @@ def dedup_stream(
     return first(df, keys)
 
 
+def append_batch(batch: DataFrame, path: str, keys: list[str], ts: str) -> list[date]:
+    """Append those rows of a batch whose key the dataset does not hold yet; returns the days of the batch.
+
+    The dataset is partitioned by ``<ts>_day``. The batch's days, as many as it has, come to the driver and are
+    literals of the scan, so that other partitions are not read. Rows without a time are one more day.
+    """
+    day = f"{ts}_day"
+    batch = batch.withColumn(day, F.coalesce(F.to_date(ts), F.lit(NO_DAY).cast("date")))
+    unique = staged(dedup(batch, keys), "stream-batch")
+    days = sorted(r[day] for r in unique.select(day).distinct().collect())
+    try:
+        held = batch.sparkSession.read.schema(unique.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        held = unique.limit(0)
+    seen = held.filter(F.col(day).isin(days))
+    dedup_against(unique, seen, keys).write.mode("append").partitionBy(day).parquet(path)
+    return days
+
+
 def append_new(
     df: DataFrame, path: str, checkpoint: str, keys: list[str], ts: str, trigger: str | None = None
 ) -> StreamingQuery:
@@ -141,20 +168,9 @@ def append_new(
     """
     if ts not in keys:
         raise ValueError(f"{ts} has to be one of the keys, so that copies are found on one day")
-    day = f"{ts}_day"
 
     def write(batch: DataFrame, _: int) -> None:
-        batch = batch.withColumn(day, F.coalesce(F.to_date(ts), F.lit("1000-01-01").cast("date")))
-        unique = staged(dedup(batch, keys), "stream-batch")
-        try:
-            held = batch.sparkSession.read.schema(unique.schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            held = unique.limit(0)
-        days = unique.select(day).distinct()
-        seen = held.join(days, day, "left_semi")
-        dedup_against(unique, seen, keys).write.mode("append").partitionBy(day).parquet(path)
+        append_batch(batch, path, keys, ts)
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater import sinks, sources
 from tidewater.functions import fingerprint, json_double, json_set, json_text, l2_normalize, parse_ts, text_or_empty
-from tidewater.operators import clean, dedup, enrich, gold, merge
+from tidewater.operators import clean, dedup, enrich, gold, merge, sketches
 from tidewater.plans import trips as trip_plans
 from tidewater.session import fresh_path, staged
 from tidewater.streaming import parse_json_payload
@@ -737,3 +737,24 @@ group by 1, 2""")
 def silver_gold_trips(spark: SparkSession, sf: str) -> DataFrame:
     silver = trip_plans.silver_trips(shapes.trips(spark, sf), shapes.zones(spark, sf))
     return ntz(trip_plans.gold_trips(silver))
+
+
+@query("sketch_ranges", """
+select date_trunc('week', ts) as week, count(*) as n, true as users_near, true as median_near from events group by 1""")
+def sketch_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches per day, stored and merged to weeks; their estimates are held against the exact numbers."""
+    events = table(spark, sf, "events").select("user_id", "value", shapes.ts("ts").alias("t"))
+    days = staged(sketches.sketched(events.withColumn("day", F.to_date("t")), ["day"], ["user_id"], ["value"]), "sketches")
+    weeks = sketches.merged(days.withColumn("week", F.date_trunc("week", "day")), ["week"])
+    guess = sketches.estimates(weeks)
+    rows = events.withColumn("week", F.date_trunc("week", "t")).join(F.broadcast(guess.select("week", "value_p50")), "week")
+    exact = rows.groupBy("week").agg(
+        F.count_distinct("user_id").alias("users"), F.avg((F.col("value") <= F.col("value_p50")).cast("int")).alias("rank")
+    )
+    held = guess.join(exact, "week").select(
+        "week",
+        "n",
+        (F.abs(F.col("distinct_user_id") - F.col("users")) <= 0.05 * F.col("users")).alias("users_near"),
+        F.col("rank").between(0.45, 0.55).alias("median_near"),
+    )
+    return ntz(held)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater import streaming
 from tidewater.operators.gold import count_by
-from tidewater.session import fresh_path
+from tidewater.session import fresh_path, staged
 from tidewater.sinks import create_or_append
 from tidewater.sources import read_parquet, read_table_stream
 from tidewater.workloads import shapes
@@ -131,3 +131,90 @@ def table_stream(spark: SparkSession, sf: str) -> DataFrame:
     create_or_append(table(spark, sf, "events").select("event_id", "event_type"), name, f"{root}/table")
     streaming.run_once(read_table_stream(spark, name), f"{root}/out", f"{root}/ckpt")
     return read_parquet(spark, f"{root}/out")
+
+
+@query("corrected_gold", f"""
+with {LOG_SQL}
+select topic as pickup_zone, date_trunc('hour', ts) as pickup_hour, count(*) as trip_count,
+       sum(cents)::double / count(cents) as avg_fare
+from log group by 1, 2""")
+def corrected_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record comes twice and in no order of time, over many micro-batches; gold is that of all rows in the end."""
+    root = fresh_path(spark, "stream")
+    events = table(spark, sf, "events").select(
+        "event_id",
+        F.concat(F.lit("events-"), F.col("event_type")).alias("pickup_zone"),
+        shapes.ts("ts").alias("pickup_ts"),
+        shapes.cents("value").alias("fare_amount"),
+    )
+    for run in ("a", "b"):
+        events.repartition(4, F.hash("event_id", F.lit(run))).write.mode("append").parquet(f"{root}/in")
+    rows = read_table_stream(spark, path=f"{root}/in", schema=events.schema, files_per_batch=3)
+    streaming.corrected_gold(
+        rows, f"{root}/silver", f"{root}/gold", f"{root}/ckpt", ["event_id", "pickup_ts"]
+    ).awaitTermination()
+    return ntz(read_parquet(spark, f"{root}/gold").drop("gold_day"))
+
+
+@query("stream_progress", """
+select count(*) as input_rows, 0::bigint as late_rows, 1::bigint as queries, 2::bigint as runs from events""")
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What the engine says of two runs on one checkpoint, of which the second one finds nothing new."""
+    root = fresh_path(spark, "stream")
+    runs = []
+    with streaming.recorded(spark, f"{root}/progress"):
+        for _ in range(2):
+            records = streaming.bronze_stream(shapes.as_records(_events(spark, sf)))
+            started = streaming.stream_append(records, f"{root}/bronze", f"{root}/ckpt")
+            started.awaitTermination()
+            runs.append(str(started.runId))
+    done = streaming.read_progress(spark, f"{root}/progress")
+    return done.agg(
+        F.coalesce(F.sum("input_rows"), F.lit(0)).alias("input_rows"),
+        F.coalesce(F.sum("late_rows"), F.lit(0)).alias("late_rows"),
+        F.count_distinct("query_id").alias("queries"),
+    ).withColumn("runs", F.lit(len(set(runs))).cast("bigint"))
+
+
+@query("stream_state", """
+select run, count(*) as state_rows from (select distinct user_id, event_type from events), (values (1), (2)) v(run)
+group by 1""")
+def stream_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The state a stream leaves behind after its first run and after a restart without new data."""
+    root = fresh_path(spark, "stream")
+    found = []
+    for run in (1, 2):
+        first = streaming.dedup_stream(_events(spark, sf), ["user_id", "event_type"])
+        streaming.run_once(first.select("user_id", "event_type"), f"{root}/out", f"{root}/ckpt")
+        state = streaming.state_rows(spark, f"{root}/ckpt")
+        found.append(staged(state.agg(F.count(F.lit(1)).alias("state_rows")).withColumn("run", F.lit(run)), "state"))
+    return found[0].unionByName(found[1])
+
+
+@query("first_within", """
+with copies as (
+  select event_id, ts, ts + to_hours(event_id % 5) as arrived, true as first from events
+  union all select event_id, ts, ts + to_hours(event_id % 5) + interval 3 day, false from events)
+select event_id, arrived, arrived > ts + interval 2 hour as late from copies""")
+def first_within(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event arrives up to four hours late, ten minutes later again, and three days later once more.
+
+    The second copy is dropped, the third one comes after its key was forgotten; late rows are kept.
+    """
+    root = fresh_path(spark, "stream")
+    after = F.make_dt_interval(hours=(F.col("event_id") % 5).cast("int"))
+    copies = F.array(*[F.expr(f"interval {i}") for i in ("0 seconds", "10 minutes", "3 days")])
+    events = table(spark, sf, "events").select("event_id", shapes.ts("ts").alias("ts")).select(
+        "event_id", "ts", F.explode(F.transform(copies, lambda i: F.col("ts") + after + i)).alias("arrived")
+    )
+    events = staged(events, "copies")
+    low, high = (r.timestamp() for r in events.agg(F.min("arrived"), F.max("arrived")).first())
+    parts = 4
+    # Milliseconds are cut off, so the first row's are before its time.
+    part = F.greatest(F.lit(0), F.floor((F.unix_millis("arrived") / 1000 - low) / (high - low + 1) * parts))
+    for n in range(parts):
+        events.filter(part == n).repartition(2, "event_id").write.mode("append").parquet(f"{root}/in")
+    rows = read_table_stream(spark, path=f"{root}/in", schema=events.schema, files_per_batch=2)
+    first = streaming.first_within(rows, ["event_id"], "ts", "arrived", "2 hours", 86_400)
+    streaming.run_once(first, f"{root}/out", f"{root}/ckpt")
+    return ntz(read_parquet(spark, f"{root}/out").select("event_id", "arrived", "late"))
