@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.merge import merge_cdc, merge_upsert
 from tidewater.plans.cdc import apply_changes
-from tidewater.session import observed, staged
+from tidewater.session import drop_path, observed, staged
 from tidewater.sinks import overwrite_partitions
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -56,13 +56,6 @@ def touched(batch: DataFrame, keys: list[str], buckets: int) -> list[int]:
     return sorted(r[name] for r in batch.select(bucket_of(keys, buckets)).distinct().collect())
 
 
-def _drop_partitions(spark: SparkSession, path: str, folders: list[str]) -> None:
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for folder in folders:
-        files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, folder), True)
-
-
 def merge_bucketed(
     spark: SparkSession, path: str, batch: DataFrame, keys: list[str], buckets: int, merge: Merge,
     empty: DataFrame, batch_keys: list[str] | None = None,
@@ -90,7 +83,8 @@ def merge_bucketed(
     after = merge(target, batch).select("*", bucket_of(keys, buckets))
     overwrite_partitions(after.observe(left, F.collect_set(name).alias("buckets")), path, name)
     gone = sorted(set(hit) - set(observed(left, buckets=[])["buckets"]))
-    _drop_partitions(spark, path, [f"{name}={b}" for b in gone])
+    for bucket in gone:
+        drop_path(spark, f"{path}/{name}={bucket}")
     return hit
 
 

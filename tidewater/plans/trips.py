@@ -67,8 +67,10 @@ def ingest_inbox(
     taken = [0]
 
     def process(batch: DataFrame, _: int) -> None:
+        # The manifest grows with all runs; rows meet only those of its files that this batch holds again, mostly none.
         done = read_manifest(spark, manifest).select(F.col("path").alias("source_path"))
-        fresh = batch.join(done, "source_path", "left_anti")
+        again = staged(done.join(batch.select("source_path").distinct(), "source_path", "left_semi"), "files-again")
+        fresh = batch.join(again, "source_path", "left_anti")
         trips = months_per_file(clean_trips(fresh, keys, order, trip), trip.pickup, months)
         rich = enrich_zones(trips, zones, trip.pickup_zone, trip.dropoff_zone, **lookup)
         overwrite_partitions(rich.withColumn("source_id", F.sha2("source_path", 256)), out, "source_id")

@@ -62,10 +62,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that this application wrote."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Remove all that this application has staged. For its end: DataFrames may still read from there."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, application_dir(spark))
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:

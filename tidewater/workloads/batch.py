@@ -689,13 +689,14 @@ def read_objects(spark: SparkSession, sf: str) -> DataFrame:
 # -- pipelines ---------------------------------------------------------------
 
 
-def _move_as(spark: SparkSession, folder: str, to: str, name: str) -> None:
-    """Move the one part file of a folder to another folder, under a name."""
+def _move_numbered(spark: SparkSession, folder: str, to: str) -> None:
+    """Move the part files of a folder to another one, as trips-0, trips-1 and so on."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = path(to).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path(to))
-    part = next(f.getPath() for f in files.listStatus(path(folder)) if f.getPath().getName().startswith("part-"))
-    files.rename(part, path(f"{to}/{name}"))
+    parts = sorted(f.getPath().getName() for f in files.listStatus(path(folder)) if f.getPath().getName().startswith("part-"))
+    for i, name in enumerate(parts):
+        files.rename(path(f"{folder}/{name}"), path(f"{to}/trips-{i}.parquet"))
 
 
 @query("ingest_inbox", """
@@ -719,8 +720,8 @@ def ingest_inbox(spark: SparkSession, sf: str) -> DataFrame:
     staging = f"{root}/staging"
     for folder, batch in (("a", F.col("pickup_ts") < day), ("b", F.col("pickup_ts") >= day), (None, None)):
         if folder:
-            sinks.overwrite(orders.filter(batch).coalesce(1), staging)
-            _move_as(spark, staging, f"{root}/inbox/{folder}", "trips.parquet")
+            sinks.overwrite(orders.filter(batch), staging)
+            _move_numbered(spark, staging, f"{root}/inbox/{folder}")
         trip_plans.ingest_inbox(
             spark, f"{root}/inbox/*/*.parquet", f"{root}/manifest", f"{root}/out", zones, ["o_orderkey"], ["pickup_ts"]
         )
