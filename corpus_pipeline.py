@@ -16,34 +16,55 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the text rules and score as trusted ones do."""
+    """Documents that pass the text rules and score as trusted ones do.
+
+    Null, empty and very short texts fail the rules. Each row is judged by its text alone, so repeated rows and null ids get
+    what their text gets; without labelled documents the rules alone decide.
+    """
     prepare_session(spark)
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
     return docs.where(quality.judge(docs["text"], model)["kept"])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that at least five of them hold, n_chars counted anew."""
+    """Documents without lines that at least five of them hold, n_chars counted anew.
+
+    Of equal lines the one in the largest doc_id stays; a null doc_id is below all others. A null text becomes empty. Rows
+    of equal doc_id are one document for counting, and each keeps its own text. A column that is called like the
+    operator's own result is carried under another name meanwhile.
+    """
     prepare_session(spark)
-    kept = lines.dedup_table(docs).drop("line_stats")
+    names, own = docs.columns, "line_stats"
+    apart = max(names, key=len) + "_"  # longer than any name
+    renamed = docs.withColumnRenamed(own, apart) if own in names else docs
+    kept = lines.dedup_table(renamed).drop(own).withColumnRenamed(apart, own)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: that of the smallest doc_id.
+
+    Rows of equal doc_id are one document, of which the smallest text stays. Texts without words have no copies, and rows
+    without a doc_id stay.
+    """
     prepare_session(spark)
     return minhash.one_of_each(docs, minhash.near_duplicates(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item."""
+    """Documents that hold no passage of a benchmark item.
+
+    Each row is judged by its text, so a null or repeated doc_id makes no difference; null and empty texts stay.
+    """
     prepare_session(spark)
-    found = decontam.contaminated(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(staged(found, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+    return decontam.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids, and whether they decode to the text they came from."""
+    """The documents' token ids, and whether they decode to the text they came from.
+
+    A null text has no ids. Repeated rows give repeated rows.
+    """
     prepare_session(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
     # The columns are held in a struct, so that none of them is taken for the tokens.
