@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.staging import staged
-from tidewater.session import fresh_path
+from tidewater.session import drop_path, fresh_path
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,22 +63,22 @@ def long_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_c
 
 
 class LineRuns:
-    """Levelled sorted runs in the session's warehouse, which all executors share."""
+    """Levelled sorted runs: tables of the session whose files lie in the shared folder."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
         # As many as a shuffle has partitions, so that a run is laid out as what it meets.
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"line_runs_{uuid.uuid4().hex[:12]}"
-        self.made = 0
+        self.paths: dict[str, str] = {}
         self.levels: list[list[str]] = []
 
     def _write(self, rows: DataFrame) -> str:
         """Rows that are already dealt out by hash, as a run: one sorted file per bucket."""
-        self.made += 1
-        table = f"{self.name}_{self.made}"
+        table = f"{self.name}_{len(self.paths)}"
+        self.paths[table] = fresh_path(self.spark, "line-run")
         write = rows.write.format("parquet").bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
-        write.saveAsTable(table)
+        write.option("path", self.paths[table]).saveAsTable(table)
         return table
 
     def _merged(self, tables: list[str]) -> DataFrame:
@@ -124,10 +124,11 @@ class LineRuns:
     def _forget(self, tables: list[str]) -> None:
         for table in tables:
             self.spark.sql(f"drop table if exists {table}")
+            drop_path(self.spark, self.paths[table])
 
     def close(self) -> None:
-        """Remove all runs."""
-        self._forget([table for level in self.levels for table in level])
+        """Remove all runs, also those that a step which failed has left."""
+        self._forget(list(self.paths))
         self.levels = []
 
     def known(self, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -197,11 +198,13 @@ def dedup_table(
 ) -> DataFrame:
     """A whole table, batch by batch into the runs, then judged against all of them."""
     runs = LineRuns(docs.sparkSession)
-    keys, parts = _batches(long_keys(docs, doc_id, text, min_chars), batches)
-    for part in parts:
-        runs.add(part)
-    gone = staged(runs.drop(keys, min_docs).select("doc_id", "row", "pos"), "line-drops")
-    runs.close()
+    try:
+        keys, parts = _batches(long_keys(docs, doc_id, text, min_chars), batches)
+        for part in parts:
+            runs.add(part)
+        gone = staged(runs.drop(keys, min_docs).select("doc_id", "row", "pos"), "line-drops")
+    finally:
+        runs.close()
     return without(docs, gone, doc_id, text)
 
 
