@@ -86,6 +86,58 @@ def test_strays_of_a_bucket_are_linked(spark):
     assert {tuple(r) for r in labels.collect()} == {(3, 2)}
 
 
+def test_bounds_leave_no_similar_pair_out(spark):
+    """Weighted sets around the threshold: what the parities rule out is below it, and little else passes."""
+    rng = np.random.default_rng(12)
+    rows, want, low = [], set(), set()
+    for k in range(400):
+        n = int(rng.integers(5, 200))
+        x = dict(zip(rng.choice(10**12, n, replace=False).tolist(), rng.choice([1, 1, 1, 2, 5], n).tolist()))
+        y = dict(x)
+        for e in list(x)[: int(rng.integers(0, max(2, n // 3)))]:
+            change = rng.integers(0, 4)
+            if change == 0:
+                del y[e]
+            elif change == 1:
+                y[e] = int(rng.integers(1, 4))
+            else:
+                del y[e]
+                y[int(rng.integers(10**12))] = 1
+        sides = [(np.array(sorted(s), np.uint64), np.array([s[e] for e in sorted(s)], float)) for s in (x, y)]
+        if stated(*sides) >= 0.8:
+            want.add(k)
+        elif stated(*sides) < 0.6:
+            low.add(k)
+        rows.append((k, *(v for items, w in sides for v in (items.astype(np.int64).tolist(), int(w.sum())))))
+    frame = spark.createDataFrame(rows, "k int, a array<long>, a_all long, b array<long>, b_all long")
+    frame = frame.select("k", buckets.parities(F.col("a")).alias("a"), "a_all", buckets.parities(F.col("b")).alias("b"), "b_all")
+    allowed = buckets._parities_allow(F.col("a"), F.col("a_all"), F.col("b"), F.col("b_all"), 0.8)
+    got = {r["k"] for r in frame.where(allowed).collect()}
+    assert want <= got and len(want) > 50 and len(got & low) <= len(low) // 4
+
+
+def test_a_loose_group_has_few_candidates(spark, monkeypatch):
+    """Hundreds of sets in one bucket that differ from their base, some of them alike, none like the leader."""
+    rng = np.random.default_rng(13)
+    base = np.arange(1000, 1200)
+    table = [(0, list(range(200)))]
+    for k in range(1, 301):
+        own = base.copy()
+        own[rng.choice(200, 40, replace=False)] = k * 10_000 + np.arange(40)
+        table.append((k, sorted(own.tolist())))
+        if k % 10 == 0:
+            copy = own.copy()
+            copy[:5] = 5_000_000 + k * 100 + np.arange(5)
+            table.append((1000 + k, sorted(copy.tolist())))
+    sets_of = spark.createDataFrame([(n, i, [1] * len(i)) for n, i in table], "node long, items array<long>, weights array<int>")
+    members = spark.createDataFrame([(7, n) for n, _ in table], "bucket long, node long")
+    seen = []
+    monkeypatch.setattr(buckets, "_verified", lambda pairs, *a, f=buckets._verified: seen.append(pairs.count()) or f(pairs, *a))
+    _, labels = buckets.link(members, lambda nodes: sets_of.join(nodes, "node"), 0.8)
+    assert {tuple(r) for r in labels.collect()} == {(1000 + k, k) for k in range(10, 301, 10)}
+    assert seen[-1] < 2000
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(100, 140)] + [(1, k) for k in range(2, 60)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]

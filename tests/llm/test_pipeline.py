@@ -66,6 +66,20 @@ def test_empty_and_odd_tables(spark, odd_docs, path, tmp_path):
         frame.count()
 
 
+def test_rows_without_an_id_and_names_that_clash(spark, path, tmp_path):
+    """A contaminated document without a doc_id goes too, and columns with odd names stay."""
+    docs, _ = corpus(path, spark)
+    text = dict(map(tuple, docs))
+    rows = [(None, text[202], 1, 7, 200), (5, text[5], 2, 8, 100), (None, None, 3, 9, 0)]
+    names = "doc_id long, text string, line_stats int, `a.b` int, n_chars long"
+    frame = spark.createDataFrame(rows, names)
+    for stage in (corpus_pipeline.line_dedup, corpus_pipeline.near_dedup, corpus_pipeline.decontamination):
+        frame = stage(spark, frame, str(tmp_path))
+        assert frame.columns == ["doc_id", "text", "line_stats", "a.b", "n_chars"]
+    got = frame.collect()
+    assert sorted((r["line_stats"], r["a.b"], r["text"] or "") for r in got) == [(2, 8, text[5]), (3, 9, "")]
+
+
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
     assert len(corpus_pipeline.STAGES) == 5 and F is not None

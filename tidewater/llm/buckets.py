@@ -6,7 +6,9 @@ picked by hash, are compared with the bucket's nodes that have another one: with
 buckets, a node of a loose group finds one of its neighbours. What is still in another
 component, the strays, are not compared pairwise either: two sets of similarity t or more share an element in the rarest part that
 holds more than 1 - t of each, so strays meet others of their buckets through these rare elements
-alone. All links within a bucket end up within one component; none is lost to a cap.
+alone, and only where two bounds leave a similarity of t possible: what stands before the shared element in the order of rarity is in
+one of the sets alone, and every bit in which the parities of two sets differ is an element that one of them
+lacks. All links within a bucket end up within one component; none is lost to a cap or a bound.
 """
 
 from __future__ import annotations
@@ -18,8 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm.arrow import list_of
 from tidewater.llm.components import components
 from tidewater.llm.staging import staged
+from tidewater.llm.words import mix
+
+# 64-bit words of a set's parities.
+PARITY_WORDS = 8
 
 
 def similarity(x: np.ndarray, xw: np.ndarray, y: np.ndarray, yw: np.ndarray) -> float:
@@ -62,6 +69,36 @@ def similar(a: Column, a_weights: Column, b: Column, b_weights: Column, threshol
     return F.arrow_udf(compare, "boolean")(a, a_weights, b, b_weights)
 
 
+def parities(items: Column) -> Column:
+    """PARITY_WORDS longs whose bits say whether an even or odd number of a set's elements fall on them."""
+    size = 64 * PARITY_WORDS
+
+    def words(column: pa.Array) -> pa.Array:
+        ends = np.asarray(column.offsets).astype(np.int64)
+        values = np.asarray(column.values)[ends[0] : ends[-1]].view(np.uint64)
+        row = np.repeat(np.arange(len(column)), np.diff(ends))
+        cells = row * size + (mix(values) % np.uint64(size)).astype(np.int64)
+        odd = (np.bincount(cells, minlength=len(column) * size) & 1).astype(np.uint8).reshape(-1, size)
+        flat = np.packbits(odd, axis=1, bitorder="little").view(np.int64).ravel()
+        return list_of(np.arange(len(column) + 1) * PARITY_WORDS, pa.array(flat))
+
+    words.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return F.arrow_udf(words, "array<long>")(items)
+
+
+def _possible(x: Column, y: Column, threshold: float) -> Column:
+    """Whether sets may be as similar of which shares x and y are not in the other one: (1 - x)(1 - y) / (1 - xy) at most."""
+    return (1 - x) * (1 - y) >= threshold * (1 - x * y) - 1e-9
+
+
+def _parities_allow(a: Column, a_all: Column, b: Column, b_all: Column, threshold: float) -> Column:
+    """The same for sets (weights of 1 or more) whose parities differ in so many bits, dealt between both as it suits them best."""
+    apart = F.bit_count(a[0].bitwiseXOR(b[0]))
+    for i in range(1, PARITY_WORDS):
+        apart = apart + F.bit_count(a[i].bitwiseXOR(b[i]))
+    return apart * (1 + threshold) <= 2 * F.greatest(a_all, b_all) * (1 - threshold) + 1e-6
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough. Each side's sets are joined on, and not kept."""
     side = lambda s: sets.select(F.col("node").alias(f"{s}_node"), F.col("items").alias(f"{s}_items"), F.col("weights").alias(f"{s}_weights"))
@@ -145,15 +182,20 @@ def _by_rare_items(
         "node", "label", "is_stray", "item", "across",
         F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("before"),
         F.sum("weight").over(whole).alias("all"),
-        F.coalesce(F.sum(F.when(~F.col("across"), F.col("weight"))).over(whole), F.lit(0)).alias("own"),
     )
     rare = counted.where((F.col("before") <= (1 - threshold) * F.col("all") + 1e-9) & F.col("across"))
-    rare = staged(rare.select("node", "label", "is_stray", "item", (F.col("own") / F.col("all")).alias("own")), "rare-items")
-    left = rare.where("is_stray").select(
-        F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("item").alias("b_item"), F.col("own").alias("b_own")
+    rare = rare.select("node", "label", "is_stray", "item", (F.col("before") / F.col("all")).alias("alone"), "all")
+    signs = known.select("node").join(sets, "node").select(F.col("node").alias("of"), parities(F.col("items")).alias("parity"))
+    rare = staged(rare.join(staged(signs, "parities"), F.col("node") == F.col("of")).drop("of"), "rare-items")
+    side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in ("label", "item", "alone", "all", "parity")]
+    left = rare.where("is_stray").select(F.col("node").alias("b"), *side("b"))
+    right = rare.select(F.col("node").alias("a"), *side("a"))
+    met = left.join(
+        right,
+        (F.col("b_item") == F.col("a_item"))
+        & (F.col("a_label") != F.col("b_label"))
+        # At the rarest element that both hold, all rarer ones are in one of them alone.
+        & _possible(F.col("a_alone"), F.col("b_alone"), threshold)
+        & _parities_allow(F.col("a_parity"), F.col("a_all"), F.col("b_parity"), F.col("b_all"), threshold),
     )
-    right = rare.select(F.col("node").alias("a"), F.col("label").alias("a_label"), "item", F.col("own").alias("a_own"))
-    # Of sets with shares x and y that no other component has, the similarity is at most (1 - x)(1 - y) / (1 - xy).
-    near = (1 - F.col("a_own")) * (1 - F.col("b_own")) >= threshold * (1 - F.col("a_own") * F.col("b_own")) - 1e-9
-    met = left.join(right, (F.col("b_item") == F.col("item")) & (F.col("a_label") != F.col("b_label")) & near)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
