@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import corpus
+from tidewater.operators import corpus, trees
 from tidewater.plans import screens
 from tidewater.workloads.corpus import letter_encoder, length_generator
 
@@ -41,6 +41,26 @@ def test_deep_tree(spark):
     assert len(flat(spark, node)[0]) == 401
 
 
+def test_levels_give_the_same_rows_without_python(spark):
+    deep = '{"text": "x"}'
+    for i in range(9):
+        deep = '{"text": "y%d", "children": [{"class": "before"}, %s, {"class": 7}]}' % (i, deep)
+    texts = [
+        deep, '{"activity": {"root": {"class": "in", "children": [{"text": true}, {"text": false}, 5, null, [1]]}}, "class": "out"}',
+        '{"activity": [1], "class": "own"}', '{"activity": {"root": null}, "class": "own"}', "no json", None, "[]", "5", '{"children": {"a": 1}}',
+        '{"class": "\\u00a0 a b\\n", "text": null, "bounds": [1, 2, 3, 4]}', '{"class": 0, "text": "t", "bounds": [1, 2, 3]}',
+        '{"text": "t", "bounds": [1, 2, 3, null]}', '{"text": "t", "bounds": [1, 2, 3, 1099511627776]}', '{"text": "t", "bounds": 7}',
+    ]
+    df = spark.createDataFrame([(i % 12, d) for i, d in enumerate(texts)], "screen_id int, tree string")
+    rows = lambda x: sorted((r["screen_id"], r["elements"] and [tuple(e) for e in r["elements"]]) for r in x.collect() if r["elements"] is not None)
+    by_level = trees.flatten_tree_by_level(df, "screen_id")
+    assert rows(by_level) == rows(corpus.flatten_tree(df, "screen_id"))
+    assert by_level.filter("elements is null").count() == 2 and by_level.count() == len(texts)
+    plan = by_level._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
+    assert trees.flatten_tree_by_level(df.limit(0), "screen_id").collect() == []
+
+
 def test_text_is_read_top_down_then_left(spark):
     nodes = [("c", "low", [0, 9, 0, 0]), ("c", "right", [5, 1, 0, 0]), ("c", "left", [2, 1, 0, 0]), ("c", "", [0, 0, 0, 0]), ("c", "again", [2, 1, 0, 0])]
     df = spark.createDataFrame([(nodes,)], f"elements {corpus.ELEMENTS}")

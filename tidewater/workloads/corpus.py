@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import fingerprint, json_double, json_text
-from tidewater.operators import corpus, retrieval
+from tidewater.operators import corpus, retrieval, trees
 from tidewater.plans import screens
 from tidewater.session import fresh_path, staged
 from tidewater.workloads.registry import query
@@ -46,11 +46,14 @@ raw as (
 nodes as (select doc_id, lang, i, n, {_STRIPPED} as text from raw)"""
 
 
-@query("flatten_tree", f"""
+_FLAT_SQL = f"""
 with {_LINES_SQL}
 select doc_id, 0::bigint as place, lang as cls, '' as text, 0 as top from documents where lang is not null
 union all
-select doc_id, (i - case when lang is null then 1 else 0 end)::bigint, 'line', text, (n - i + 1)::int from nodes""")
+select doc_id, (i - case when lang is null then 1 else 0 end)::bigint, 'line', text, (n - i + 1)::int from nodes"""
+
+
+@query("flatten_tree", _FLAT_SQL)
 def flatten_tree(spark: SparkSession, sf: str) -> DataFrame:
     flat = corpus.flatten_tree(_trees(spark, sf), "doc_id")
     return flat.select("doc_id", F.posexplode("elements").alias("place", "e")).select(
@@ -58,6 +61,15 @@ def flatten_tree(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("flatten_tree_by_level", _FLAT_SQL)
+def flatten_tree_by_level(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by VARIANT functions alone."""
+    flat = trees.flatten_tree_by_level(_trees(spark, sf), "doc_id")
+    return flat.select("doc_id", F.posexplode("elements").alias("place", "e")).select(
+        "doc_id", F.col("place").cast("bigint").alias("place"), "e.cls", "e.text", F.col("e.bounds")[1].alias("top")
+    )
+
+
 _TEXTS_SQL = f"""
 {_LINES_SQL},
 texts as (
