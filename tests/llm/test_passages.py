@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidewater.llm import passages
+from tidewater.llm.staging import staged
 from tidewater.llm.words import words_of
 
 
@@ -69,6 +70,30 @@ def test_odd_rows(odd_docs, no_docs, spark):
     assert cut.where("not (x <=> text)").count() == 0
 
 
+def test_texts_of_one_id_are_cut_each_by_its_own_places(spark):
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    say = lambda n: [word() for _ in range(n)]
+    shared = say(60)
+    rows = [(1, " ".join([*say(30), *shared])), (7, " ".join([*say(80), *shared, *say(40)])), (7, " ".join([*shared, *say(90)]))]
+    rows += [rows[1], (8, rows[2][1] + " more"), (9, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.xxhash64("text"))
+    found = staged(passages.repeats(df), "found")
+    places = {(r["doc_id"], r["text_hash"]) for r in found.collect()}
+    assert places == {(r["doc_id"], r["text_hash"]) for r in df.collect()}
+    by_text = {(r["doc_id"], r["text_hash"]): r["text"] for r in df.collect()}
+    at = {}
+    for r in found.collect():
+        said = by_text[r["doc_id"], r["text_hash"]][r["start"] : r["end"]]
+        assert len(said.split()) == passages.LENGTH and at.setdefault(r["class_id"], said) == said
+    cut = df.join(passages.removals(found), ["doc_id", "text_hash"], "left")
+    left = cut.select("doc_id", passages.cut(F.col("text"), F.col("spans")).alias("text")).collect()
+    assert {r["text"] for r in left if r["doc_id"] == 1} == {rows[0][1]}
+    sizes = sorted(len(r["text"].split()) for r in left if r["doc_id"] == 7)
+    assert sizes[0] < 150 and all(n < 180 for n in sizes)
+    assert passages.repeats(df.where("doc_id = 7")).count() == 0
+
+
 def test_links_in_a_crowded_band_equal_brute_force(spark):
     rng = random.Random(17)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))
@@ -104,7 +129,7 @@ def test_a_passage_that_repeats_itself_is_found_whole(spark):
     own = lambda: [word() for _ in range(60)]
     rows = [(i, " ".join([*own(), *["one two three four five six seven"] * 40, *own()])) for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = passages.repeats(df).localCheckpoint()
+    found = staged(passages.repeats(df), "found")
     text, at = dict(rows), {i: t.index("one two") for i, t in rows}
     size = len("one two three four five six seven") * 40 + 39
     covered = {i: np.zeros(len(t), bool) for i, t in rows}

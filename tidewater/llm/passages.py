@@ -20,7 +20,7 @@ Paragraphs that a task has met before are known to be repeated and need no band,
 passage that a third of the documents share is a few rows per task in the shuffle by bands.
 
 Null, empty and short texts (under ``length`` words) have no paragraphs. Null doc_ids are left out. Rows of
-equal doc_id are one document. Whole texts are read; offsets are code points.
+equal doc_id are one document; where their texts differ, places are those of each text. Whole texts are read; offsets are code points.
 """
 
 from __future__ import annotations
@@ -103,22 +103,24 @@ def paragraphs(words: Words, length: int, bands: int, rows: int) -> tuple[np.nda
     return at, content, keys
 
 
-_ROWS = "bucket long, content long, doc_id long, start int, end int, again boolean"
+_ROWS = "bucket long, content long, doc_id long, text_hash long, start int, end int, again boolean"
 
 
 def _banded(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[int, tuple | None] = {}  # where a paragraph was met first, until it is met again
         for batch in batches:
-            texts, ids = batch.column(1).to_pylist(), np.asarray(batch.column(0))
+            texts, ids, hashes = batch.column(1).to_pylist(), np.asarray(batch.column(0)), np.asarray(batch.column(2))
             for a, b in pieces(texts):
                 words = words_of(texts[a:b])
                 at, content, keys = paragraphs(words, length, bands, rows)
-                doc, start, end = ids[a:b][words.doc[at]], words.start[at], words.end[at + length - 1]
+                doc, text_hash = ids[a:b][words.doc[at]], hashes[a:b][words.doc[at]]
+                start, end = words.start[at], words.end[at + length - 1]
                 new, firsts = np.ones(len(at), bool), []
-                for i, (c, *place) in enumerate(zip(content.tolist(), doc.tolist(), start.tolist(), end.tolist())):
+                places = zip(doc.tolist(), text_hash.tolist(), start.tolist(), end.tolist())
+                for i, (c, place) in enumerate(zip(content.tolist(), places)):
                     if c not in met:
-                        met[c] = tuple(place)
+                        met[c] = place
                         continue
                     new[i] = False
                     if met[c] is not None:
@@ -127,9 +129,12 @@ def _banded(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
                 if len(met) > _MET:
                     met = {}
                 row = np.concatenate([np.repeat(np.flatnonzero(new), bands), np.flatnonzero(~new)])
-                first = [np.array(x, kind) for x, kind in zip(zip(*firsts), (np.uint64, int, int, int))] or [np.zeros(0, int)] * 4
+                kinds = (np.uint64, int, int, int, int)
+                first = [np.array(x, kind) for x, kind in zip(zip(*firsts), kinds)] or [np.zeros(0, int)] * 5
                 content = np.concatenate([content[row], first[0].astype(np.uint64)])
-                doc, start, end = (np.concatenate([x[row], y]) for x, y in zip((doc, start, end), first[1:]))
+                doc, text_hash, start, end = (
+                    np.concatenate([x[row], y]) for x, y in zip((doc, text_hash, start, end), first[1:])
+                )
                 again = np.arange(len(content)) >= bands * int(new.sum())
                 apart = mix(content ^ mix(doc.astype(np.uint64) * np.uint64(_GOLD) + start.astype(np.uint64)))
                 bucket = np.where(again, apart, np.concatenate([keys[new].ravel(), np.zeros(int(again.sum()), np.uint64)]))
@@ -138,6 +143,7 @@ def _banded(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
                         pa.array(bucket.view(np.int64)),
                         pa.array(content.view(np.int64)),
                         pa.array(doc),
+                        pa.array(text_hash),
                         pa.array(start.astype(np.int32)),
                         pa.array(end.astype(np.int32)),
                         pa.array(again),
@@ -182,8 +188,12 @@ def repeats(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """(doc_id, start, end, class_id, kept) for each paragraph that more than one document holds."""
+    """(doc_id, text_hash, start, end, class_id, kept) for each paragraph that more than one document holds.
+
+    ``text_hash`` is xxhash64 of the text, which tells texts of one doc_id apart.
+    """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
     banded = _banded(docs, length, bands, rows)
     whole = Window.partitionBy("bucket")
     collided = banded.select(
@@ -193,43 +203,44 @@ def repeats(
     members = collided.where("mixed").select("bucket", F.col("content").alias("node"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        one = collided.groupBy("content").agg(F.min(F.struct("doc_id", "start", "end")).alias("at"))
+        one = collided.groupBy("content").agg(F.min(F.struct("doc_id", "text_hash", "start", "end")).alias("at"))
         one = one.join(nodes, F.col("content") == F.col("node"), "left_semi")
-        wanted = one.groupBy(F.col("at.doc_id").alias("of")).agg(
+        wanted = one.groupBy(F.col("at.doc_id").alias("of"), F.col("at.text_hash").alias("of_text")).agg(
             F.collect_list(F.struct("content", "at.start", "at.end")).alias("wanted")
         )
-        return _sets(docs.join(wanted, F.col("doc_id") == F.col("of")).select("text", "wanted"))
+        same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("of_text"))
+        return _sets(docs.join(wanted, same).select("text", "wanted"))
 
     _, labels = link(members, lambda nodes: sets_of(nodes).dropDuplicates(["node"]), threshold)
-    places = collided.select("content", "doc_id", "start", "end").distinct()
+    places = collided.select("content", "doc_id", "text_hash", "start", "end").distinct()
     named = labels.select(F.col("node").alias("of"), "label")
     places = places.join(named, F.col("content") == F.col("of"), "left").select(
-        "doc_id", "start", "end", F.coalesce("label", "content").alias("class_id")
+        "doc_id", "text_hash", "start", "end", F.coalesce("label", "content").alias("class_id")
     )
     places = staged(places, "places")
     classes = places.groupBy("class_id").agg(
-        F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last")
+        F.min(F.struct("doc_id", "start", "text_hash")).alias("first"), F.max("doc_id").alias("last")
     )
     classes = classes.where("first.doc_id <> last").select(F.col("class_id").alias("class"), "first")
     classes = staged(classes, "passage-classes")
-    own = F.struct("doc_id", "start") == F.col("first")
+    own = F.struct("doc_id", "start", "text_hash") == F.col("first")
     found = places.join(classes, F.col("class_id") == F.col("class"))
-    return found.select("doc_id", "start", "end", "class_id", own.alias("kept"))
+    return found.select("doc_id", "text_hash", "start", "end", "class_id", own.alias("kept"))
 
 
 def removals(found: DataFrame) -> DataFrame:
-    """(doc_id, spans): what to cut from each document, as disjoint spans in order.
+    """(doc_id, text_hash, spans): what to cut from each text, as disjoint spans in order.
 
     In repetitive text paragraphs of a class overlap; the one that is kept stays whole.
     """
-    before = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("doc_id").orderBy("start", "end")
-    held = F.max(F.when(F.col("kept"), F.col("end"))).over(Window.partitionBy("doc_id", "class_id"))
-    rows = found.select("doc_id", "end", "kept", F.greatest("start", held).alias("start")).where("not kept")
-    rows = rows.select("doc_id", "start", "end", F.max("end").over(before).alias("reach"))
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
+    held = F.max(F.when(F.col("kept"), F.col("end"))).over(Window.partitionBy("doc_id", "text_hash", "class_id"))
+    rows = found.select("doc_id", "text_hash", "end", "kept", F.greatest("start", held).alias("start")).where("not kept")
+    rows = rows.select("doc_id", "text_hash", "start", "end", F.max("end").over(before).alias("reach"))
     rows = rows.withColumn("island", F.sum((F.col("reach").isNull() | (F.col("start") > F.col("reach"))).cast("int")).over(upto))
-    spans = rows.groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    spans = rows.groupBy("doc_id", "text_hash", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def cut(text: Column, spans: Column) -> Column:
