@@ -5,12 +5,14 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from oracle import compare, connect
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewater import streaming
 from tidewater.operators import sketches
 from tidewater.sources import read_table_stream
+from tidewater.workloads import QUERIES, SQL
 
 START = datetime(2024, 1, 1)
 
@@ -100,6 +102,30 @@ def test_rows_without_an_arrival_are_refused(spark, path):
         streaming.run_once(first, path("out"), path("ckpt"))
 
 
+def test_first_within_runs_in_a_session_with_another_state_store(spark, sf):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before, other = spark.conf.get(name), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(name, other)
+    try:
+        assert compare(spark, connect(sf), QUERIES["first_within"], SQL["first_within"], sf) is None
+        assert spark.conf.get(name) == other
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_first_within_tells_keys_of_one_bucket_apart(spark, path):
+    micro = timedelta(microseconds=1)
+    keys = [(at(0), "1", 0.0), (at(0) + micro, "1", 0.0), (at(0), None, 0.0), (None, "1", 0.0), (at(0), "1", float("nan"))]
+    rows = [(*k, at(0), at(0) + timedelta(minutes=m)) for k in keys for m in (0, 30, 70)]
+    rows += [(at(0), "1", -0.0, at(0), at(0.25))]
+    stream = feed(spark, path("in"), rows, "t timestamp, s string, d double, ts timestamp, arrived timestamp")
+    first = streaming.first_within(stream, ["t", "s", "d"], "ts", "arrived", "2 hours", 3600, buckets=1)
+    with streaming.rocksdb_state(spark):
+        streaming.run_once(first, path("out"), path("ckpt"))
+    got = spark.read.parquet(path("out")).groupBy("t", "s", "d").agg(F.collect_set("arrived").alias("at")).collect()
+    assert len(got) == len(keys) and all(sorted(r["at"]) == [at(0), at(0) + timedelta(minutes=70)] for r in got)
+
+
 # -- progress ----------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Structured Streaming."""
 
 from tidewater.streaming.corrections import corrected_gold
-from tidewater.streaming.expiry import first_within
+from tidewater.streaming.expiry import first_within, rocksdb_state
 from tidewater.streaming.layers import (
     append_batch,
     append_new,
@@ -31,6 +31,7 @@ __all__ = [
     "parse_json_payload",
     "read_progress",
     "recorded",
+    "rocksdb_state",
     "run_once",
     "silver_rows",
     "silver_stream",

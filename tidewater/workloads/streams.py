@@ -216,5 +216,6 @@ def first_within(spark: SparkSession, sf: str) -> DataFrame:
         events.filter(part == n).repartition(2, "event_id").write.mode("append").parquet(f"{root}/in")
     rows = read_table_stream(spark, path=f"{root}/in", schema=events.schema, files_per_batch=2)
     first = streaming.first_within(rows, ["event_id"], "ts", "arrived", "2 hours", 86_400)
-    streaming.run_once(first, f"{root}/out", f"{root}/ckpt")
+    with streaming.rocksdb_state(spark):
+        streaming.run_once(first, f"{root}/out", f"{root}/ckpt")
     return ntz(read_parquet(spark, f"{root}/out").select("event_id", "arrived", "late"))
