@@ -138,6 +138,16 @@ def test_a_loose_group_has_few_candidates(spark, monkeypatch):
     assert seen[-1] < 2000
 
 
+def test_rows_are_left_out_before_a_join_and_no_wanted_one(spark):
+    keys = spark.range(-30_000, 30_000).select(F.when(F.col("id") != 7, F.col("id") * 10_007).alias("k"), F.lit("t").alias("text"))
+    wanted = keys.where("k % 90063 = 0").select("k")  # every ninth one
+    left = buckets.likely(keys, "k", wanted)
+    assert left.columns == ["k", "text"] and left.join(wanted, "k", "left_semi").count() == wanted.count() > 6000
+    assert left.count() < wanted.count() * 1.1
+    assert buckets.likely(keys, "k", wanted.limit(0)).isEmpty()
+    assert "hashpartitioning(k" not in left._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(100, 140)] + [(1, k) for k in range(2, 60)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]

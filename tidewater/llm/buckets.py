@@ -27,6 +27,8 @@ from tidewater.llm.words import mix
 
 # 64-bit words of a set's parities.
 PARITY_WORDS = 8
+# Bits of the map by which rows are left out before a join: 2 MB.
+FILTER_BITS = 1 << 24
 
 
 def similarity(x: np.ndarray, xw: np.ndarray, y: np.ndarray, yw: np.ndarray) -> float:
@@ -107,6 +109,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return joined.select("a", "b", good.alias("good")).where("good").select("a", "b")
 
 
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Those rows, among them all whose key (long) is among the wanted ones (one column) and few others.
+
+    A bitmap of fixed size says which hashes are wanted, so that most rows are left out where they lie before a join
+    that would shuffle them.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    asked = place(F.col(wanted.columns[0]).cast("long"))
+    bits = wanted.groupBy(F.bitmap_bucket_number(asked).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(asked)).alias("_bits"))
+    own = place(F.col(key))
+    at = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.join(F.broadcast(bits), F.bitmap_bucket_number(own) == F.col("_part"))
+    return met.where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0).select(*rows.columns)
+
+
 def link(
     members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float
 ) -> tuple[DataFrame, DataFrame]:
@@ -114,14 +132,17 @@ def link(
 
     ``members``: (bucket, node). ``sets_of`` takes a DataFrame of nodes and gives (node, items, weights).
     """
-    members = members.distinct()
+    ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    leaders = staged(ends.where("leader < last").select(F.col("bucket").alias("of"), "leader"), "bucket-leaders")
+    shared = members.join(leaders, F.col("bucket") == F.col("of")).select("bucket", "node", "leader").distinct()
+    shared = staged(shared, "bucket-nodes")
     # Besides the smallest node, every bucket has a member picked by hash: other buckets, other members.
     picked = F.min(F.struct(F.xxhash64("bucket", "node").alias("h"), "node"))["node"]
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), picked.alias("pick"), F.count(F.lit(1)).alias("n"))
-    leaders = staged(leaders.where("n > 1").select(F.col("bucket").alias("of"), "leader", "pick"), "bucket-leaders")
-    shared = members.join(leaders, F.col("bucket") == F.col("of")).select("bucket", "node", "leader", "pick")
+    picks = shared.groupBy(F.col("bucket").alias("of")).agg(picked.alias("pick"))
+    shared = shared.join(picks, F.col("bucket") == F.col("of")).select("bucket", "node", "leader", "pick")
     shared = staged(shared, "bucket-members")
-    sets = staged(sets_of(shared.select("node").distinct()), "bucket-sets")
+    sets = sets_of(shared.select("node").distinct()).select("*", parities(F.col("items")).alias("parity"))
+    sets = staged(sets, "bucket-sets")
 
     first = shared.where("node <> leader").groupBy("node").agg(F.min("leader").alias("a"))
     first = staged(first.select("a", F.col("node").alias("b")), "pairs")
@@ -185,8 +206,8 @@ def _by_rare_items(
     )
     rare = counted.where((F.col("before") <= (1 - threshold) * F.col("all") + 1e-9) & F.col("across"))
     rare = rare.select("node", "label", "is_stray", "item", (F.col("before") / F.col("all")).alias("alone"), "all")
-    signs = known.select("node").join(sets, "node").select(F.col("node").alias("of"), parities(F.col("items")).alias("parity"))
-    rare = staged(rare.join(staged(signs, "parities"), F.col("node") == F.col("of")).drop("of"), "rare-items")
+    signs = known.select("node").join(sets.select(F.col("node").alias("of"), "parity"), F.col("node") == F.col("of"))
+    rare = staged(rare.join(staged(signs.select("of", "parity"), "parities"), F.col("node") == F.col("of")).drop("of"), "rare-items")
     side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in ("label", "item", "alone", "all", "parity")]
     left = rare.where("is_stray").select(F.col("node").alias("b"), *side("b"))
     right = rare.select(F.col("node").alias("a"), *side("a"))

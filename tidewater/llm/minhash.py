@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.arrow import list_of
-from tidewater.llm.buckets import link
+from tidewater.llm.buckets import likely, link
 from tidewater.llm.words import contents, mix, pieces, shingles, words_of
 from tidewater.llm.staging import staged
 
@@ -141,7 +141,7 @@ def near_duplicates(
     members = same.select(F.explode("bands").alias("bucket"), "node")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        texts = docs.join(nodes, F.col("doc_id") == F.col("node")).groupBy("doc_id").agg(F.min("text").alias("text"))
+        texts = likely(docs, "doc_id", nodes).join(nodes, F.col("doc_id") == F.col("node")).groupBy("doc_id").agg(F.min("text").alias("text"))
         return shingle_sets(texts, shingle)
 
     _, labels = link(members, sets_of, threshold)
