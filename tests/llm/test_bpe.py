@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -36,6 +37,27 @@ def test_decodes_as_the_library_what_is_no_utf8(vocabulary):
         assert own.decode(np.array(ids), np.array([len(ids)])) == [library.decode(ids, skip_special_tokens=False)]
 
 
+def test_words_and_bytes_are_held_for_a_part_of_a_batch(vocabulary):
+    random.seed(3)
+    word = lambda: "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    texts = [" ".join(word() for _ in range(2000)) for _ in range(300)] + [None, ""]
+    own, library = bpe.ByteBPE(vocabulary), Tokenizer.from_file(vocabulary)
+    size = sum(len(t or "") for t in texts)
+    tracemalloc.start()
+    flat, counts = own.encode(texts)
+    encoding = tracemalloc.get_traced_memory()[1] - tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    back = own.decode(flat, counts)
+    decoding = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert encoding < 30 * size and decoding < 12 * size, (encoding / size, decoding / size)
+    assert back == [t or "" for t in texts]
+    few = texts[:5]
+    want = [i for e in library.encode_batch(few, add_special_tokens=False) for i in e.ids]
+    assert flat[: counts[:5].sum()].tolist() == want
+
+
 def test_forgets_and_goes_on(vocabulary, monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
     own = bpe.ByteBPE(vocabulary)

@@ -26,6 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewater.llm.arrow import list_of, ranges
+from tidewater.llm.words import pieces
 
 # The words of the vocabulary's byte-level pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -48,6 +49,10 @@ NEWER = (
 # Words and ids that a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 400_000
 KEPT_IDS = 4_000_000
+# New words that are merged at once.
+MERGED = 10_000
+# Ids that are decoded at once. A longer row is taken alone.
+DECODED = 400_000
 
 
 def _byte_chars() -> dict[str, int]:
@@ -184,10 +189,11 @@ class ByteBPE:
         return symbols[order].astype(np.int32), np.bincount(word, minlength=len(words))
 
     def _learn(self, words: list[str]) -> None:
-        ids, counts = self.merge([w.encode() for w in words])
+        parts = [self.merge([w.encode() for w in words[a : a + MERGED]]) for a in range(0, len(words), MERGED)]
+        counts = np.concatenate([n for _, n in parts])
         self.seen_at = np.concatenate([self.seen_at, np.cumsum(counts) - counts + len(self.seen_ids)])
         self.seen_len = np.concatenate([self.seen_len, counts])
-        self.seen_ids = np.concatenate([self.seen_ids, ids])
+        self.seen_ids = np.concatenate([self.seen_ids, *[ids for ids, _ in parts]])
 
     def _cut(self, text: str) -> list[str]:
         if _LATIN(text):
@@ -205,7 +211,13 @@ class ByteBPE:
         return out + self._cut(text[at:])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and how many belong to each text."""
+        """Ids of all texts in one array, and how many belong to each text; words are held for some texts at a time."""
+        parts = [self._encode(texts[a:b]) for a, b in pieces(texts)]
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.seen) > KEPT_WORDS or len(self.seen_ids) > KEPT_IDS:
             self._forget()
         words = [self._pieces(t) if t else [] for t in texts]
@@ -220,11 +232,19 @@ class ByteBPE:
         return ids, np.diff(np.r_[0, ends])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
-        """The text of each row's ids; bytes that are no UTF-8 become U+FFFD."""
-        lengths = self.token_len[ids]
-        data = self.token_bytes[ranges(self.token_at[ids], lengths)].tobytes()
-        ends = np.r_[0, np.cumsum(lengths)][np.cumsum(counts)].tolist()
-        return [data[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends], ends)]
+        """The text of each row's ids; bytes that are no UTF-8 become U+FFFD. Rows of about DECODED ids are taken at a time."""
+        out: list[str] = []
+        ends = np.cumsum(counts)
+        first, at = 0, 0
+        while first < len(counts):
+            last = max(first + 1, int(np.searchsorted(ends, at + DECODED, side="right")))
+            part = ids[at : ends[last - 1]]
+            lengths = self.token_len[part]
+            data = self.token_bytes[ranges(self.token_at[part], lengths)].tobytes()
+            stops = np.r_[0, np.cumsum(lengths)][ends[first:last] - at].tolist()
+            out += [data[a:b].decode("utf-8", "replace") for a, b in zip([0, *stops], stops)]
+            first, at = last, int(ends[last - 1])
+        return out
 
 
 @functools.cache
