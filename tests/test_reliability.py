@@ -224,6 +224,25 @@ def test_audit_is_stored_before_it_stops_the_run(spark, path):
     assert {r["audit_status"] for r in got} == {"passed", "failed"}
 
 
+def test_tasks_of_an_audit_do_not_grow_with_the_keys(spark):
+    keys = spark.range(600_000).select(F.xxhash64("id").alias("screen_id"), (F.col("id") % 7).alias("line"))
+    few = spark.range(0, 5, 1, 1).select(F.col("id").alias("screen_id"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    spark.sparkContext.setJobGroup("audit", "audit")
+    try:
+        row = quality.audit_duplicates(keys, few, embedding_keys=["screen_id", "line"]).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert row["audit_status"] == "passed"
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(i) for job in tracker.getJobIdsForGroup("audit") for i in tracker.getJobInfo(job).stageIds]
+    # One is the scan, the other counts the keys; with one partition of each input that would be two tasks.
+    assert sum(1 for stage in stages if stage and stage.numCompletedTasks > 2) >= 2
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
 # -- runs and replication ----------------------------------------------------
 
 

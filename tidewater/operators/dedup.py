@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import staged_by_small_tasks
+
 
 def _first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -54,16 +56,20 @@ def _per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def dedup_report(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: rows before, rows after deduplication, rows removed. NULL keys form a group."""
-    return _per_key(df, keys).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("before_n"), F.count(F.lit(1)).alias("after_n")
-    ).withColumn("removed", F.col("before_n") - F.col("after_n"))
+    counts = _per_key(df, keys).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("before_n"), F.count(F.lit(1)).alias("after_n"))
+    return staged_by_small_tasks(counts, "report").withColumn("removed", F.col("before_n") - F.col("after_n"))
 
 
-def keys_over(df: DataFrame, keys: list[str], k: int = 1) -> DataFrame:
-    """Keys that occur in more than k rows, with their number of rows."""
+def over(df: DataFrame, keys: list[str], k: int = 1) -> DataFrame:
+    """:func:`keys_over` as a plan, for a caller that only counts the keys."""
     return _per_key(df, keys).filter(F.col("n") > k)
 
 
+def keys_over(df: DataFrame, keys: list[str], k: int = 1) -> DataFrame:
+    """Keys that occur in more than k rows, with their number of rows. They are staged."""
+    return staged_by_small_tasks(over(df, keys, k), "repeated-keys")
+
+
 def count_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: how many key values occur more than once."""
-    return keys_over(df, keys, 1).agg(F.count(F.lit(1)).alias("dup_keys"))
+    return staged_by_small_tasks(over(df, keys).agg(F.count(F.lit(1)).alias("dup_keys")), "repeated-keys")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidewater.errors import DataQualityError
 from tidewater.functions import channel, ratio
-from tidewater.operators.dedup import count_duplicates, keys_over
-from tidewater.session import one_row
+from tidewater.operators.dedup import count_duplicates, over
+from tidewater.session import one_row, staged_by_small_tasks
 
 # Thresholds of the checks.
 MAX_NULL_RATE = 0.01
@@ -37,11 +37,12 @@ def _facts(df: DataFrame, cfg: TableChecks) -> DataFrame:
     """
     nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in cfg.critical_columns]
     per_key = df.groupBy(F.col(cfg.primary_key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"), *nulls)
-    return per_key.agg(
+    facts = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("n"),
         F.count_if(F.col("__n") > 1).alias("dup_keys"),
         *[F.coalesce(F.sum(f"nulls_{c}"), F.lit(0)).alias(f"nulls_{c}") for c in cfg.critical_columns],
     )
+    return staged_by_small_tasks(facts, "facts")
 
 
 def _worst(cfg: TableChecks) -> tuple[Column, Column]:
@@ -194,8 +195,8 @@ def audit_duplicates(
     Embeddings are audited by rows per key (more than ``per_key``), or, with
     ``embedding_keys``, by repeats of the whole key. ``details`` is JSON.
     """
-    emb = keys_over(embeddings, embedding_keys, 1) if embedding_keys else keys_over(embeddings, [key], per_key)
-    meta = keys_over(metadata, [key], 1)
+    emb = over(embeddings, embedding_keys) if embedding_keys else over(embeddings, [key], per_key)
+    meta = over(metadata, [key])
     counts = (
         emb.select(F.lit(1).alias("e"), F.lit(0).alias("m"))
         .unionByName(meta.select(F.lit(0).alias("e"), F.lit(1).alias("m")))
@@ -204,6 +205,7 @@ def audit_duplicates(
             F.coalesce(F.sum("m"), F.lit(0)).alias("duplicate_metadata"),
         )
     )
+    counts = staged_by_small_tasks(counts, "audit")
     bad = (F.col("duplicate_embeddings") > 0) | (F.col("duplicate_metadata") > 0)
     return counts.select(
         F.lit(run_id).cast("string").alias("run_id"),
