@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import corpus, trees
 from tidewater.plans import screens
+from tidewater.workloads import corpus as workload
 from tidewater.workloads.corpus import letter_encoder, length_generator
 
 
@@ -61,6 +62,14 @@ def test_levels_give_the_same_rows_without_python(spark):
     assert trees.flatten_tree_by_level(df.limit(0), "screen_id").collect() == []
 
 
+def test_nodes_are_read_once(spark, sf):
+    """What is asked of the result reads stored labels, and a document is split into lines once, not once per line."""
+    docs = workload._trees(spark, sf)
+    assert docs._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    plan = trees.flatten_tree_by_level(docs.limit(3), "doc_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant" not in plan.lower()
+
+
 def test_text_is_read_top_down_then_left(spark):
     nodes = [("c", "low", [0, 9, 0, 0]), ("c", "right", [5, 1, 0, 0]), ("c", "left", [2, 1, 0, 0]), ("c", "", [0, 0, 0, 0]), ("c", "again", [2, 1, 0, 0])]
     df = spark.createDataFrame([(nodes,)], f"elements {corpus.ELEMENTS}")

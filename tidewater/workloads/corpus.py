@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions import fingerprint, json_double, json_text
+from tidewater.functions import computed_once, fingerprint, json_double, json_text
 from tidewater.operators import corpus, retrieval, trees
 from tidewater.plans import screens
 from tidewater.session import fresh_path, staged
@@ -19,7 +19,10 @@ from tidewater.workloads.shapes import table
 
 def _trees(spark: SparkSession, sf: str, key: str = "doc_id") -> DataFrame:
     """Documents as JSON trees; English ones are wrapped the way an app dump is."""
-    lines = F.split("text", "\n")
+    # The lines are there before they are numbered: in an expression each line would split the text again.
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias(key), "lang", "text")
+    docs = computed_once(docs, [key, "lang"], "lines", F.split("text", "\n"))
+    lines = F.col("lines")
     nodes = F.transform(
         lines,
         lambda line, i: F.struct(
@@ -31,7 +34,7 @@ def _trees(spark: SparkSession, sf: str, key: str = "doc_id") -> DataFrame:
     root = F.struct(F.col("lang").alias("class"), nodes.alias("children"))
     wrapped = F.to_json(F.struct(F.struct(root.alias("root")).alias("activity")))
     tree = F.when(F.col("lang") == "en", wrapped).otherwise(F.to_json(root))
-    return table(spark, sf, "documents").select(F.col("doc_id").alias(key), tree.alias("tree"))
+    return docs.select(key, tree.alias("tree"))
 
 
 # The characters that end a trimmed text.
