@@ -153,6 +153,25 @@ def test_batches_overlap_repeat_and_die_half_way(spark, path):
     assert rows_of(offsets.read_offsets(spark, path("offsets"))) == sorted(want, key=repr)
 
 
+def test_records_of_a_batch_are_shuffled_and_written_once(spark, path, monkeypatch):
+    frame = lambda ids: spark.createDataFrame(
+        [("t", 0, i, f"v{i}") for i in ids], "topic string, partition int, offset long, value string"
+    )
+    offsets.append_consumed(frame([1, 2]), path("bronze"), path("offsets"), 0)
+    plans, replace = [], offsets._replace
+
+    def seen(rows, folder, batch_id):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        replace(rows, folder, batch_id)
+
+    monkeypatch.setattr(offsets, "_replace", seen)
+    offsets.append_consumed(frame([2, 3, 3]), path("bronze"), path("offsets"), 1)
+    # The records go straight into bronze: copies are dropped behind the join with what is stored, not before it and once more for its keys.
+    assert plans[0].index("Aggregate [") < plans[0].index("LeftAnti")
+    assert sum("first(value" in line for line in plans[0].splitlines()) == 1
+    assert sorted(r["offset"] for r in spark.read.parquet(path("bronze")).collect()) == [1, 2, 3]
+
+
 # -- checksums ---------------------------------------------------------------
 
 

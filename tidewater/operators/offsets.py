@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.merge import no_null
-from tidewater.session import staged
 
 # Neighbouring offsets that are looked at in one group.
 CHUNK = 65_536
@@ -120,10 +119,11 @@ def append_consumed(records: DataFrame, bronze: str, offsets: str, batch_id: int
     spark = records.sparkSession
     earlier = _others(spark, offsets, batch_id)
     by = [*LOG, "offset"]
-    keyed = records.filter(no_null(by)).dropDuplicates(by).unionByName(records.filter(~no_null(by)))
-    fresh = staged(not_consumed(keyed, earlier), "fresh-records")
-    _replace(fresh, bronze, batch_id)
-    _replace(intervals_of(fresh).select(*LOG, "first", "last"), offsets, batch_id)
+    # What is already stored goes first: the records are shuffled once, and their copies then lie together.
+    fresh = not_consumed(records.filter(no_null(by)), earlier).dropDuplicates(by)
+    _replace(fresh.unionByName(records.filter(~no_null(by))), bronze, batch_id)
+    written = spark.read.schema(records.schema).parquet(_batch(bronze, batch_id))
+    _replace(intervals_of(written).select(*LOG, "first", "last"), offsets, batch_id)
 
 
 def _others(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
@@ -137,4 +137,8 @@ def _others(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
 
 
 def _replace(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    rows.write.mode("overwrite").parquet(_batch(path, batch_id))
+
+
+def _batch(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={int(batch_id)}"
