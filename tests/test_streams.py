@@ -161,3 +161,19 @@ def test_merged_sketches_are_those_of_the_union(spark):
     assert sketches.estimates(two).first()["n"] == 20_000
     none = sketches.estimates(sketches.merged(sketches.sketched(df.filter("id < 0"), ["day"], ["u"]), ["day"]))
     assert none.collect() == []
+
+
+def test_a_bronze_file_can_be_read_by_several_tasks(spark, sf, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidewater.session import application_dir
+    from tidewater.workloads import streams
+
+    monkeypatch.setattr(streams, "ROW_GROUP", 8 << 10)
+    files = lambda: set(glob.glob(f"{application_dir(spark)}/stream-*/bronze/part-*.parquet"))
+    before = files()
+    assert streams.silver_stream(spark, sf).count() == spark.read.parquet(f"{sf}/events.parquet").count()
+    written = files() - before
+    assert len(written) == 8 and all(pq.ParquetFile(f).metadata.num_row_groups > 1 for f in written)

@@ -14,6 +14,9 @@ from tidewater.workloads import shapes
 from tidewater.workloads.registry import query
 from tidewater.workloads.shapes import LOG_SQL, ntz, table
 
+# Bytes of a row group of bronze: a file is read by as many tasks as it has row groups.
+ROW_GROUP = 16 << 20
+
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     # A glob, because a stream can be given a folder or a pattern but not a file.
@@ -59,7 +62,7 @@ def silver_stream(spark: SparkSession, sf: str) -> DataFrame:
         by_hash = records.repartition(4, F.hash("offset", F.lit(run)))
         by_hash.select("value", "topic", "partition", "offset", F.col("timestamp").alias("kafka_time")).write.mode(
             "append"
-        ).parquet(f"{root}/bronze")
+        ).option("parquet.block.size", ROW_GROUP).parquet(f"{root}/bronze")
     schema = read_parquet(spark, f"{root}/bronze").schema
     bronze = read_table_stream(spark, path=f"{root}/bronze", schema=schema, files_per_batch=3)
     zones = shapes.zones(spark, sf).filter(F.col("LocationID") < 20)
