@@ -73,3 +73,9 @@ def test_odd_rows(odd_docs, no_docs, vocabulary):
     assert all(r["back"] == r["text"] for r in back)
     assert {r["ids"] is None for r in back if r["text"] is None} == {True}
     assert no_docs.select(bpe.encode(F.col("text"), vocabulary)).count() == 0
+
+
+def test_ids_and_their_text_by_one_worker(odd_docs, vocabulary):
+    one = odd_docs.select("text", bpe.encode(F.col("text"), vocabulary).alias("ids"), bpe.coded(F.col("text"), vocabulary).alias("coded"))
+    for r in one.collect():
+        assert r["coded"]["ids"] == r["ids"] and r["coded"]["decoded"] == r["text"]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -24,6 +25,17 @@ def test_alignment():
         assert abs(decontam.align(a, b)[0] - smith_waterman(a.tolist(), b.tolist())) < 1e-9
 
 
+def test_tables_of_characters_take_little_memory_to_make():
+    tracemalloc.start()
+    letters, lower = decontam._tables.__wrapped__()
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 32 << 20
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert letters[points].tolist() == [chr(c).isalnum() for c in points]
+    assert lower[points].tolist() == [ord(x) if len(x := chr(c).lower()) == 1 else c for c in points]
+
+
 def corpus():
     rng = random.Random(3)
     word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(1, 6)))

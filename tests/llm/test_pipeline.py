@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidewater import session
 from tidewater.llm import queries
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -80,6 +82,27 @@ def test_rows_without_an_id_and_names_that_clash(spark, path, tmp_path):
     assert sorted((r["line_stats"], r["a.b"], r["text"] or "") for r in got) == [(2, 8, text[5]), (3, 9, "")]
 
 
+def test_no_task_runs_two_python_workers(spark, path, tmp_path, monkeypatch):
+    """An executor's idle workers stay, so a task that needs two doubles what Python takes from then on."""
+    corpus(path, spark)
+    plans, write = [], session.staged
+
+    def seen(df, label="stage"):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, label)
+
+    monkeypatch.setattr(session, "staged", seen)
+    tokens = corpus_pipeline.run(spark, str(tmp_path))
+    plans.append(("tokens", tokens._jdf.queryExecution().executedPlan().toString()))
+    python = 0
+    for label, plan in plans:
+        for part in plan.split("Exchange"):  # what stands between two exchanges runs in one task
+            workers = len(re.findall(r"ArrowEvalPython|MapInArrow", part))
+            assert workers <= 1, (label, plan)
+            python += workers
+    assert python >= 5
+
+
 def test_every_operator_is_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
     assert len(corpus_pipeline.STAGES) == 5 and F is not None

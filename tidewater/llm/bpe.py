@@ -279,3 +279,22 @@ def decode(ids: Column, path: str) -> Column:
 
     texts.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(texts, "string")(ids)
+
+
+def coded(text: Column, path: str) -> Column:
+    """Token ids of a text column and the text of these ids (struct<ids:array<int>,decoded:string>).
+
+    As :func:`encode` and :func:`decode` after each other, but by one Python worker for each task instead of two.
+    """
+
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = tokenizer(path)
+        for texts in batches:
+            flat, counts = bpe.encode(texts.to_pylist())
+            valid = ~np.asarray(texts.is_null())
+            ids = list_of(np.r_[0, np.cumsum(counts)], pa.array(flat, pa.int32()), valid)
+            decoded = [t if v else None for v, t in zip(valid.tolist(), bpe.decode(flat.astype(np.int64), counts))]
+            yield pa.StructArray.from_arrays([ids, pa.array(decoded, pa.string())], ["ids", "decoded"])
+
+    both.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(both, "struct<ids:array<int>,decoded:string>")(text)

@@ -71,18 +71,22 @@ def similar(a: Column, a_weights: Column, b: Column, b_weights: Column, threshol
     return F.arrow_udf(compare, "boolean")(a, a_weights, b, b_weights)
 
 
+def parity_words(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    """The parities (see :func:`parities`) of sets that lie one after another; ``ends`` begins with 0."""
+    size, n = 64 * PARITY_WORDS, len(ends) - 1
+    row = np.repeat(np.arange(n), np.diff(ends))
+    cells = row * size + (mix(values) % np.uint64(size)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=n * size) & 1).astype(np.uint8).reshape(-1, size)
+    flat = np.packbits(odd, axis=1, bitorder="little").view(np.int64).ravel()
+    return list_of(np.arange(n + 1) * PARITY_WORDS, pa.array(flat))
+
+
 def parities(items: Column) -> Column:
     """PARITY_WORDS longs whose bits say whether an even or odd number of a set's elements fall on them."""
-    size = 64 * PARITY_WORDS
 
     def words(column: pa.Array) -> pa.Array:
         ends = np.asarray(column.offsets).astype(np.int64)
-        values = np.asarray(column.values)[ends[0] : ends[-1]].view(np.uint64)
-        row = np.repeat(np.arange(len(column)), np.diff(ends))
-        cells = row * size + (mix(values) % np.uint64(size)).astype(np.int64)
-        odd = (np.bincount(cells, minlength=len(column) * size) & 1).astype(np.uint8).reshape(-1, size)
-        flat = np.packbits(odd, axis=1, bitorder="little").view(np.int64).ravel()
-        return list_of(np.arange(len(column) + 1) * PARITY_WORDS, pa.array(flat))
+        return parity_words(ends - ends[0], np.asarray(column.values)[ends[0] : ends[-1]].view(np.uint64))
 
     words.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(words, "array<long>")(items)
@@ -130,7 +134,8 @@ def link(
 ) -> tuple[DataFrame, DataFrame]:
     """Verified links and components (node, label) of nodes in shared buckets.
 
-    ``members``: (bucket, node). ``sets_of`` takes a DataFrame of nodes and gives (node, items, weights).
+    ``members``: (bucket, node). ``sets_of`` takes a DataFrame of nodes and gives (node, items, weights), and their
+    parity if it has it at hand: a UDF after a Python step takes a second worker for each task.
     """
     ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
     leaders = staged(ends.where("leader < last").select(F.col("bucket").alias("of"), "leader"), "bucket-leaders")
@@ -141,7 +146,9 @@ def link(
     picks = shared.groupBy(F.col("bucket").alias("of")).agg(picked.alias("pick"))
     shared = shared.join(picks, F.col("bucket") == F.col("of")).select("bucket", "node", "leader", "pick")
     shared = staged(shared, "bucket-members")
-    sets = sets_of(shared.select("node").distinct()).select("*", parities(F.col("items")).alias("parity"))
+    sets = sets_of(shared.select("node").distinct())
+    if "parity" not in sets.columns:
+        sets = sets.select("*", parities(F.col("items")).alias("parity"))
     sets = staged(sets, "bucket-sets")
 
     first = shared.where("node <> leader").groupBy("node").agg(F.min("leader").alias("a"))

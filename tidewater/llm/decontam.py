@@ -47,12 +47,14 @@ MATCH, MISMATCH, GAP = 2, 1, 1
 
 @functools.cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Per code point: whether it is a letter or digit, and its lower-case form."""
-    chars = [chr(c) if not 0xD800 <= c < 0xE000 else " " for c in range(0x110000)]
-    lower = [c.lower() for c in chars]
+    """Per code point: whether it is a letter or digit, and its lower-case form.
+
+    Every Python worker makes its own, so it is done character by character: lists of a million strings would take 200 MB.
+    """
+    size = 0x110000
     return (
-        np.array([c.isalnum() for c in chars]),
-        np.array([ord(x) if len(x) == 1 else ord(c) for x, c in zip(lower, chars)], np.uint32),
+        np.fromiter((chr(c).isalnum() for c in range(size)), bool, size),
+        np.fromiter((ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(size)), np.uint32, size),
     )
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.arrow import list_of
-from tidewater.llm.buckets import likely, link
+from tidewater.llm.buckets import likely, link, parity_words
 from tidewater.llm.words import contents, mix, pieces, shingles, words_of
 from tidewater.llm.staging import staged
 
@@ -103,7 +103,7 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(node, items, weights) of (doc_id, text)."""
+    """(node, items, weights, parity) of (doc_id, text)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,11 +116,12 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
                         batch.column(0).slice(a, b - a),
                         list_of(ends, pa.array(items.view(np.int64))),
                         list_of(ends, pa.array(weights.astype(np.int32))),
+                        parity_words(ends, items),
                     ],
-                    ["node", "items", "weights"],
+                    ["node", "items", "weights", "parity"],
                 )
 
-    return docs.mapInArrow(task, "node long, items array<long>, weights array<int>")
+    return docs.mapInArrow(task, "node long, items array<long>, weights array<int>, parity array<long>")
 
 
 def near_duplicates(
