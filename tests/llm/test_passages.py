@@ -143,3 +143,24 @@ def test_a_passage_that_repeats_itself_is_found_whole(spark):
     assert all(120 <= len(left[i]) <= 120 + 14 for i in (1, 2))
     first = min((r["start"], r["end"]) for r in found.where("doc_id = 0 and kept").collect())
     assert " ".join(left[0]).find(text[0][first[0] : first[1]]) >= 0
+
+
+def test_buckets_are_taken_in_pairs_or_given_out_whole(spark, monkeypatch):
+    monkeypatch.setattr(passages, "_CHUNK", 7)
+    rows = [(1, n, 21, 5) for n in range(100)] + [(2, n, 21, 5) for n in range(5)] + [(3, 7, 21, 0), (3, 8, 21, 0x3FF), (4, 9, 21, 0)]
+    rows += [(5, n, 21, 0) for n in range(passages.CROWD)] + rows[:50]
+    df = spark.createDataFrame(rows, "bucket long, node long, size int, parity long").repartition(3)
+    got = passages._meetings(df, 0.8).collect()
+    assert sorted((r["bucket"], r["a"]) for r in got if r["bucket"] is not None) == [(1, n) for n in range(100)]
+    pairs = sorted((r["a"], r["b"]) for r in got if r["bucket"] is None)
+    assert pairs == sorted((a, b) for k in (5, passages.CROWD) for b in range(k) for a in range(b))
+
+
+def test_neighbours_that_overlap_are_not_compared(spark, monkeypatch):
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    df = spark.createDataFrame([(i, " ".join(word() for _ in range(1000))) for i in range(60)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(passages, "_alike", lambda pairs, *a, f=passages._alike: seen.append(pairs.count()) or f(pairs, *a))
+    assert passages.repeats(df).count() == 0
+    assert sum(seen) < 60 * 1000 / 13 / 2  # a paragraph begins at every 13th word; before, most had their sets compared

@@ -172,7 +172,7 @@ def link(
     return links, components(links)
 
 
-def _labelled(rows: DataFrame, column: str, labels: DataFrame, to: str) -> DataFrame:
+def labelled(rows: DataFrame, column: str, labels: DataFrame, to: str) -> DataFrame:
     """Rows with the label of a node column; a node without a label is its own."""
     named = labels.select(F.col("node").alias("_of"), F.col("label").alias("_label"))
     joined = rows.join(named, F.col(column) == F.col("_of"), "left")
@@ -182,7 +182,7 @@ def _labelled(rows: DataFrame, column: str, labels: DataFrame, to: str) -> DataF
 def _apart(shared: DataFrame, other: str, labels: DataFrame) -> DataFrame:
     """Members of a bucket in another component than one of its columns' nodes."""
     rows = shared.where(F.col("node") != F.col(other)).select("bucket", "node", other)
-    rows = _labelled(_labelled(rows, "node", labels, "label"), other, labels, "other_label")
+    rows = labelled(labelled(rows, "node", labels, "label"), other, labels, "other_label")
     return rows.where("label <> other_label").select("bucket", "node", other)
 
 
@@ -193,7 +193,7 @@ def _by_rare_items(
     open_buckets = strays.select("bucket").distinct()
     stray = strays.select(F.col("node").alias("stray")).distinct()
     nodes = shared.join(open_buckets, "bucket", "left_semi").select("node").distinct()
-    known = _labelled(nodes, "node", labels, "label").join(stray, F.col("node") == F.col("stray"), "left")
+    known = labelled(nodes, "node", labels, "label").join(stray, F.col("node") == F.col("stray"), "left")
     items = (
         known.join(sets, "node")
         .select("node", "label", F.col("stray").isNotNull().alias("is_stray"), F.explode(F.arrays_zip("items", "weights")).alias("x"))

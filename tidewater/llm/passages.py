@@ -11,11 +11,17 @@ words are one node.
 A paragraph is a set of shingles of five words. Bands of ``rows`` minimum hashes collect paragraphs that may
 be alike: with 5 bands of 2 a pair of similarity 0.8 meets with probability 0.994, of 0.9 with 0.9998, and paragraphs
 of equal words always meet and are always in one class. Colliding paragraphs of different words are verified by
-exact Jaccard similarity (``buckets``), and the classes are components of the verified links; no link within
+exact Jaccard similarity, and the classes are components of the verified links; no link within
 a band is lost. A word replaced within a paragraph may take it below the threshold (in the middle of 25 words:
 0.62); the untouched paragraphs of a longer passage still meet. A class is a repeat when at
 least two documents hold it; its first paragraph (smallest doc_id, then place) stays.
 
+Most paragraphs that meet are neighbours of one text, which overlap but are not alike. So a row in a bucket carries
+64 parities of its set: every bit in which those of two sets differ is an element that one of them lacks, so more
+bits than a similar pair's sets can differ by rule a pair out where it meets. In a bucket of up to CROWD paragraphs all pairs are looked
+at in this way; larger ones are not taken in pairs but by ``buckets``. Bands are dealt out one after
+another, so that a shuffle holds one row for each paragraph.
+
 Paragraphs that a task has met before are known to be repeated and need no band, so a
 passage that a third of the documents share is a few rows per task in the shuffle by bands.
 
@@ -25,6 +31,7 @@ equal doc_id are one document; where their texts differ, places are those of eac
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +39,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.arrow import list_of
-from tidewater.llm.buckets import link
-from tidewater.llm.minhash import weighted
+from tidewater.llm.buckets import labelled, likely, link
+from tidewater.llm.components import components
+from tidewater.llm.minhash import shingle_sets, weighted
 from tidewater.llm.words import Words, mix, ngrams, pieces, shingles, words_of
-from tidewater.llm.staging import staged
+from tidewater.llm.staging import drop, staged
 
 LENGTH = 25
 SHINGLE = 5
@@ -47,6 +54,8 @@ BANDS, ROWS = 5, 2
 _GOLD = 0x9E3779B97F4A7C15
 _WRAP = (1 << 64) - 1
 _MET = 150_000  # paragraphs that a task remembers at once
+CROWD = 32  # paragraphs of a bucket that are taken in pairs
+_CHUNK = 1 << 16  # rows of buckets that are worked on at once
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -82,8 +91,17 @@ def anchors(words: Words, length: int) -> np.ndarray:
     return np.union1d(chosen, starts).astype(np.int64)
 
 
-def paragraphs(words: Words, length: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of all paragraphs, the hash of each one's words, and its band keys."""
+def parity(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 parities of each row's set of hashes, and how many hashes it has."""
+    own = np.sort(own, 1)
+    first = np.ones(own.shape, bool)
+    first[:, 1:] = own[:, 1:] != own[:, :-1]
+    bits = np.where(first, np.uint64(1) << (mix(own) & np.uint64(63)), np.uint64(0))
+    return np.bitwise_xor.reduce(bits, 1), first.sum(1)
+
+
+def paragraphs(words: Words, length: int, bands: int, rows: int, met: set[int] | None = None) -> tuple[np.ndarray, ...]:
+    """Places of all paragraphs, the hash of each one's words, whether it is new to ``met``; of the new ones the band keys, parities and size."""
     at = anchors(words, length)
     n = length - SHINGLE + 1
     grams = words.hash.copy()
@@ -92,70 +110,121 @@ def paragraphs(words: Words, length: int, bands: int, rows: int) -> tuple[np.nda
     own = grams[at[:, None] + np.arange(n)]
     order = np.array([(i + 1) * _GOLD & _WRAP for i in range(n)], np.uint64)
     content = mix((mix(own ^ np.uint64(0xA5A5)) * (order | np.uint64(1))).sum(1))
-    keys = np.empty((len(at), bands), np.uint64)
+    met = set() if met is None else met
+    new = np.zeros(len(at), bool)
+    for i, c in enumerate(content.tolist()):
+        if c not in met:
+            new[i] = True
+            met.add(c)
+    own = own[new]
+    keys = np.empty((len(own), bands), np.uint64)
     for b in range(bands):
-        key = np.full(len(at), np.uint64(b + 1))
+        key = np.full(len(own), np.uint64(b + 1))
         for r in range(rows):
             seed = np.uint64((b * rows + r + 1) * 0xD6E8FEB86659FD93 & _WRAP)
-            least = mix(own ^ seed).min(1) if len(at) else np.zeros(0, np.uint64)
+            least = mix(own ^ seed).min(1) if len(own) else np.zeros(0, np.uint64)
             key = mix(key * np.uint64(_GOLD) + least)
         keys[:, b] = key
-    return at, content, keys
+    return at, content, new, keys, *parity(own)
 
 
-_ROWS = "bucket long, content long, doc_id long, text_hash long, start int, end int, again boolean"
+def _places(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
+    """A row for each paragraph; parity, size and band keys are null where the task has met its words before."""
+    schema = "content long, doc_id long, text_hash long, start int, end int, size int, parity long"
+    schema += "".join(f", band_{b} long" for b in range(bands))
 
-
-def _banded(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: dict[int, tuple | None] = {}  # where a paragraph was met first, until it is met again
+        met: set[int] = set()
         for batch in batches:
             texts, ids, hashes = batch.column(1).to_pylist(), np.asarray(batch.column(0)), np.asarray(batch.column(2))
             for a, b in pieces(texts):
                 words = words_of(texts[a:b])
-                at, content, keys = paragraphs(words, length, bands, rows)
-                doc, text_hash = ids[a:b][words.doc[at]], hashes[a:b][words.doc[at]]
-                start, end = words.start[at], words.end[at + length - 1]
-                new, firsts = np.ones(len(at), bool), []
-                places = zip(doc.tolist(), text_hash.tolist(), start.tolist(), end.tolist())
-                for i, (c, place) in enumerate(zip(content.tolist(), places)):
-                    if c not in met:
-                        met[c] = place
-                        continue
-                    new[i] = False
-                    if met[c] is not None:
-                        firsts.append((c, *met[c]))
-                        met[c] = None
+                at, content, new, keys, bits, size = paragraphs(words, length, bands, rows, met)
                 if len(met) > _MET:
-                    met = {}
-                row = np.concatenate([np.repeat(np.flatnonzero(new), bands), np.flatnonzero(~new)])
-                kinds = (np.uint64, int, int, int, int)
-                first = [np.array(x, kind) for x, kind in zip(zip(*firsts), kinds)] or [np.zeros(0, int)] * 5
-                content = np.concatenate([content[row], first[0].astype(np.uint64)])
-                doc, text_hash, start, end = (
-                    np.concatenate([x[row], y]) for x, y in zip((doc, text_hash, start, end), first[1:])
-                )
-                again = np.arange(len(content)) >= bands * int(new.sum())
-                apart = mix(content ^ mix(doc.astype(np.uint64) * np.uint64(_GOLD) + start.astype(np.uint64)))
-                bucket = np.where(again, apart, np.concatenate([keys[new].ravel(), np.zeros(int(again.sum()), np.uint64)]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(bucket.view(np.int64)),
-                        pa.array(content.view(np.int64)),
-                        pa.array(doc),
-                        pa.array(text_hash),
-                        pa.array(start.astype(np.int32)),
-                        pa.array(end.astype(np.int32)),
-                        pa.array(again),
-                    ],
-                    [x.split()[0] for x in _ROWS.split(", ")],
-                )
-
-    return docs.mapInArrow(task, _ROWS)
-
-
-def _sets(texts: DataFrame) -> DataFrame:
-    """(node, items, weights) of (text, wanted: array of content, start, end)."""
+                    met.clear()
+                doc, row = words.doc[at], np.cumsum(new) - 1
+                start, end = words.start[at].astype(np.int32), words.end[at + length - 1].astype(np.int32)
+                columns = [pa.array(x) for x in (content.view(np.int64), ids[a:b][doc], hashes[a:b][doc], start, end)]
+                for values in (size.astype(np.int32), bits.view(np.int64), *keys.view(np.int64).T):
+                    columns.append(pa.array(values[row] if len(values) else np.zeros(len(at), values.dtype), mask=~new))
+                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
+
+    return docs.mapInArrow(task, schema)
+
+
+def _pairs(node: np.ndarray, bits: np.ndarray, size: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Pairs of nodes of one bucket (``counts`` rows each) whose parities leave the similarity possible."""
+    end = np.repeat(np.cumsum(counts), counts)
+    out, at = [np.zeros((0, 2), np.int64)], np.arange(len(node))
+    for k in range(1, int(counts.max(initial=0))):
+        at = at[at + k < end[at]]
+        apart, both = np.bitwise_count(bits[at] ^ bits[at + k]), size[at] + size[at + k]
+        good = at[apart * (1 + threshold) <= both * (1 - threshold) + 1e-6]
+        out.append(np.c_[node[good], node[good + k]])
+    return np.concatenate(out)
+
+
+def _meetings(rows: DataFrame, threshold: float) -> DataFrame:
+    """What meets in the buckets of (bucket, node, size, parity): pairs (a, b), and (bucket, a) for each node of a bucket of more than CROWD."""
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray] | None]:
+        held, n = [], 0
+        for batch in batches:
+            held.append([np.asarray(c) for c in batch.columns])
+            n += batch.num_rows
+            if n >= _CHUNK:
+                yield [np.concatenate(c) for c in zip(*held)]
+                held, n = [], 0
+        if held:
+            yield [np.concatenate(c) for c in zip(*held)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come by bucket and node. A chunk's last bucket waits for the next chunk; of a large one only its last row does, which is given out already.
+        held, given = None, False
+        for chunk in itertools.chain(chunks(batches), [None]):
+            if chunk is None and held is None:
+                return
+            parts = [x for x in (held, chunk) if x is not None]
+            bucket, node, size, bits = (np.concatenate(c) for c in zip(*parts))
+            other = np.r_[True, bucket[1:] != bucket[:-1]]
+            stay = other | np.r_[True, node[1:] != node[:-1]]
+            bucket, node, size, bits, other = bucket[stay], node[stay], size[stay], bits[stay], other[stay]
+            starts = np.flatnonzero(other)
+            counts = np.diff(np.r_[starts, len(bucket)])
+            large = counts > CROWD
+            large[0] |= given
+            crowd = np.repeat(large, counts)
+            crowd[0] &= not given
+            small = ~np.repeat(large, counts)
+            held, given = None, False
+            if chunk is not None:
+                given = bool(large[-1])
+                first = len(bucket) - 1 if given else starts[-1]
+                held = [x[first:] for x in (bucket, node, size, bits)]
+                if not given:
+                    small[first:] = False
+                    large[-1] = True  # not yet
+            pairs = _pairs(node[small], bits[small].view(np.uint64), size[small], counts[~large], threshold)
+            none = pa.nulls(len(pairs), pa.int64()), pa.nulls(int(crowd.sum()), pa.int64())
+            columns = [
+                pa.concat_arrays([none[0], pa.array(bucket[crowd])]),
+                pa.array(np.r_[pairs[:, 0], node[crowd]]),
+                pa.concat_arrays([pa.array(pairs[:, 1].copy()), none[1]]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "a", "b"])
+
+    dealt = rows.select("bucket", "node", "size", "parity").repartition("bucket").sortWithinPartitions("bucket", "node")
+    return dealt.mapInArrow(task, "bucket long, a long, b long")
+
+
+def _texts_of(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text): the words of paragraphs, each from one of its places."""
+    known = likely(found.where("size is not null"), "content", nodes).join(nodes, F.col("content") == F.col("node"), "left_semi")
+    one = known.groupBy("content").agg(F.min(F.struct("doc_id", "text_hash", "start", "end")).alias("at"))
+    wanted = one.groupBy(F.col("at.doc_id").alias("of"), F.col("at.text_hash").alias("of_text")).agg(
+        F.collect_list(F.struct("content", "at.start", "at.end")).alias("wanted")
+    )
+    same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("of_text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,20 +232,63 @@ def _sets(texts: DataFrame) -> DataFrame:
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 nodes += [w["content"] for w in wanted]
                 parts += [text[w["start"] : w["end"]] for w in wanted]
-            for a, b in pieces(parts):
-                items, of, weights = weighted(*shingles(words_of(parts[a:b]), SHINGLE))
-                ends = np.r_[0, np.cumsum(np.bincount(of, minlength=b - a))]
-                ones = np.ones(len(weights), np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(nodes[a:b], pa.int64()),
-                        list_of(ends, pa.array(items.view(np.int64))),
-                        list_of(ends, pa.array(ones)),
-                    ],
-                    ["node", "items", "weights"],
-                )
-
-    return texts.mapInArrow(task, "node long, items array<long>, weights array<int>")
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(parts, pa.string())], ["node", "text"])
+
+    return docs.join(wanted, same).select("text", "wanted").mapInArrow(task, "node long, text string")
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of paragraphs whose sets of shingles have that Jaccard similarity."""
+
+    def compare(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for sides in batches:
+            n = len(sides[0])
+            items, of, _ = zip(*(weighted(*shingles(words_of(side.to_pylist()), SHINGLE)) for side in sides))
+            _, row, times = weighted(np.concatenate(items), np.concatenate(of))
+            shared, whole = np.bincount(row[times == 2], minlength=n), np.bincount(row, minlength=n)
+            yield pa.array(shared / np.maximum(whole, 1) >= threshold - 1e-9)
+
+    compare.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    side = lambda s: texts.select(F.col("node").alias(f"{s}_node"), F.col("text").alias(f"{s}_text"))
+    joined = pairs.join(side("b"), F.col("b") == F.col("b_node")).join(side("a"), F.col("a") == F.col("a_node"))
+    good = F.arrow_udf(compare, "boolean")(F.col("a_text"), F.col("b_text"))
+    return joined.select("a", "b", good.alias("good")).where("good").select("a", "b")
+
+
+def _labels(docs: DataFrame, found: DataFrame, bands: int, threshold: float) -> DataFrame:
+    """(node, label) of paragraphs of different words that are linked."""
+    met = []
+    for b in range(bands):
+        rows = found.where("size is not null").select(F.col(f"band_{b}").alias("bucket"), F.col("content").alias("node"), "size", "parity")
+        met.append(staged(_meetings(rows, threshold), "meetings"))
+    every = met[0]
+    for more in met[1:]:
+        every = every.unionByName(more)
+    pairs = staged(every.where("bucket is null").select("a", "b").distinct(), "pairs")
+    crowds = staged(every.where("bucket is not null").select("bucket", F.col("a").alias("node")), "crowds")
+    for part in met:
+        drop(part)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node"))
+    texts = staged(_texts_of(docs, found, staged(nodes.distinct(), "nodes")), "paragraph-texts")
+    # Each paragraph's smallest partner first: most of a group of copies are in one component then.
+    first = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    links = staged(_alike(first, texts, threshold), "links")
+    named = components(links)
+    rest = labelled(labelled(pairs.join(first, ["a", "b"], "left_anti"), "a", named, "a_label"), "b", named, "b_label")
+    rest = staged(rest.where("a_label <> b_label").select("a", "b"), "pairs")
+    links = links.unionByName(staged(_alike(rest, texts, threshold), "links"))
+    if not crowds.isEmpty():
+
+        def sets_of(nodes: DataFrame) -> DataFrame:
+            own = texts.join(nodes.select(F.col("node").alias("of")), F.col("node") == F.col("of"), "left_semi")
+            sets = shingle_sets(own.dropDuplicates(["node"]).select("node", "text"), SHINGLE)
+            return sets.withColumn("weights", F.transform("weights", lambda w: F.lit(1)))
+
+        links = links.unionByName(link(crowds, sets_of, threshold)[0])
+    labels = components(links)
+    for part in (pairs, first, rest, texts):
+        drop(part)
+    return labels
 
 
 def repeats(
@@ -194,38 +306,19 @@ def repeats(
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    banded = _banded(docs, length, bands, rows)
-    whole = Window.partitionBy("bucket")
-    collided = banded.select(
-        "*", F.count(F.lit(1)).over(whole).alias("n"), (F.min("content").over(whole) != F.max("content").over(whole)).alias("mixed")
-    ).where("n > 1 or again")
-    collided = staged(collided, "collided")
-    members = collided.where("mixed").select("bucket", F.col("content").alias("node"))
-
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        one = collided.groupBy("content").agg(F.min(F.struct("doc_id", "text_hash", "start", "end")).alias("at"))
-        one = one.join(nodes, F.col("content") == F.col("node"), "left_semi")
-        wanted = one.groupBy(F.col("at.doc_id").alias("of"), F.col("at.text_hash").alias("of_text")).agg(
-            F.collect_list(F.struct("content", "at.start", "at.end")).alias("wanted")
-        )
-        same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("of_text"))
-        return _sets(docs.join(wanted, same).select("text", "wanted"))
-
-    _, labels = link(members, lambda nodes: sets_of(nodes).dropDuplicates(["node"]), threshold)
-    places = collided.select("content", "doc_id", "text_hash", "start", "end").distinct()
-    named = labels.select(F.col("node").alias("of"), "label")
-    places = places.join(named, F.col("content") == F.col("of"), "left").select(
-        "doc_id", "text_hash", "start", "end", F.coalesce("label", "content").alias("class_id")
-    )
-    places = staged(places, "places")
-    classes = places.groupBy("class_id").agg(
-        F.min(F.struct("doc_id", "start", "text_hash")).alias("first"), F.max("doc_id").alias("last")
-    )
-    classes = classes.where("first.doc_id <> last").select(F.col("class_id").alias("class"), "first")
-    classes = staged(classes, "passage-classes")
-    own = F.struct("doc_id", "start", "text_hash") == F.col("first")
-    found = places.join(classes, F.col("class_id") == F.col("class"))
-    return found.select("doc_id", "text_hash", "start", "end", "class_id", own.alias("kept"))
+    found = staged(_places(docs, length, bands, rows), "paragraphs")
+    labels = _labels(docs, found, bands, threshold)
+    named = labels.unionByName(labels.select(F.col("label").alias("node"), "label")).distinct()
+    place = F.struct("doc_id", "start", "text_hash")
+    once = found.groupBy("content").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
+    once = once.join(named, F.col("content") == F.col("node"), "left").where("label is not null or first.doc_id <> last")
+    once = staged(once.select("content", F.coalesce("label", "content").alias("class_id"), "first", "last"), "repeated")
+    classes = once.groupBy(F.col("class_id").alias("class")).agg(F.min("first").alias("kept_at"), F.max("last").alias("last"))
+    classes = classes.where("kept_at.doc_id <> last").select("class", "kept_at")
+    repeated = once.join(classes, F.col("class_id") == F.col("class")).select(F.col("content").alias("of"), "class_id", "kept_at")
+    places = found.select("content", "doc_id", "text_hash", "start", "end").join(staged(repeated, "passage-classes"), F.col("content") == F.col("of"))
+    own = (place == F.col("kept_at")).alias("kept")
+    return places.select("doc_id", "text_hash", "start", "end", "class_id", own).distinct()
 
 
 def removals(found: DataFrame) -> DataFrame:
