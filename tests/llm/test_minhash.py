@@ -183,3 +183,11 @@ def test_pieces_cover_all():
     texts = ["x" * n for n in (10, 0, 5_000_000, 3, 2_000_000)] + [None]
     assert [t for a, b in pieces(texts) for t in texts[a:b]] == texts
     assert list(pieces([])) == [] and F is not None
+
+
+def test_similarity_of_sets_without_weights_is_that_of_weighted_ones():
+    rng = np.random.default_rng(5)
+    sides = [[np.unique(rng.integers(0, 40, n)).astype(np.int64) for n in rng.integers(0, 30, 200)] for _ in range(2)]
+    ends = [np.r_[3, 3 + np.cumsum([len(x) for x in side])] for side in sides]  # as in a slice of a column
+    got = buckets._plain(*(v for side, e in zip(sides, ends) for v in (np.concatenate([np.zeros(3, np.int64), *side]), e)))
+    assert np.allclose(got, [buckets.similarity(x, np.ones(len(x)), y, np.ones(len(y))) for x, y in zip(*sides)])

@@ -164,3 +164,34 @@ def test_neighbours_that_overlap_are_not_compared(spark, monkeypatch):
     monkeypatch.setattr(passages, "_alike", lambda pairs, *a, f=passages._alike: seen.append(pairs.count()) or f(pairs, *a))
     assert passages.repeats(df).count() == 0
     assert sum(seen) < 60 * 1000 / 13 / 2  # a paragraph begins at every 13th word; before, most had their sets compared
+
+
+def test_neighbours_as_similar_as_the_threshold_need_no_band(spark):
+    rng = random.Random(41)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    say = lambda n: [word() for _ in range(n)]
+    rows = []
+    for i in range(0, 60, 2):
+        shared = say(150)
+        rows += [(i, " ".join([*say(60), *shared])), (i + 1, " ".join([*shared, *say(60)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r["doc_id"], r["start"]): r["class_id"] for r in passages.repeats(df, bands=1, rows=12).collect()}
+    links = 0
+    for i, text in rows:
+        words, all_words = words_of([text]), text.split()
+        at = passages.anchors(words, passages.LENGTH)
+        sets = [{tuple(all_words[k : k + 5]) for k in range(p, p + 21)} for p in at]
+        for a, b, x, y in zip(sets, sets[1:], words.start[at].tolist(), words.start[at[1:]].tolist()):
+            if len(a & b) >= 0.8 * len(a | b):
+                assert found.get((i, x)) == found.get((i, y))
+                links += (i, x) in found
+    assert links > 10  # before, one band of 12 minima brought few of these together
+
+
+def test_pairs_of_one_run_are_not_given_out(spark):
+    rows = [(1, n, 21, 5, n // 4) for n in range(8)] + [(2, n, 21, 5, 0) for n in range(passages.CROWD + 1)]
+    df = spark.createDataFrame(rows, "bucket long, node long, size int, parity long, run long")
+    got = passages._meetings(df, 0.8).collect()
+    pairs = sorted((r["a"], r["b"]) for r in got if r["bucket"] is None)
+    assert pairs == [(a, b) for a in range(4) for b in range(4, 8)]
+    assert sorted((r["bucket"], r["a"]) for r in got if r["bucket"] is not None) == [(2, n) for n in range(passages.CROWD + 1)]

@@ -49,6 +49,17 @@ def similarity(x: np.ndarray, xw: np.ndarray, y: np.ndarray, yw: np.ndarray) ->
     return float(total)
 
 
+def _plain(x: np.ndarray, x_ends: np.ndarray, y: np.ndarray, y_ends: np.ndarray) -> np.ndarray:
+    """Jaccard of pairs of sets, those of each side one after another."""
+    n = len(x_ends) - 1
+    items = np.concatenate([x[x_ends[0] : x_ends[-1]], y[y_ends[0] : y_ends[-1]]])
+    row = np.concatenate([np.repeat(np.arange(n), np.diff(ends)) for ends in (x_ends, y_ends)])
+    order = np.lexsort((items, row))
+    items, row = items[order], row[order]
+    shared = np.bincount(row[1:][(items[1:] == items[:-1]) & (row[1:] == row[:-1])], minlength=n)
+    return shared / np.maximum(np.diff(x_ends) + np.diff(y_ends) - shared, 1)
+
+
 def similar(a: Column, a_weights: Column, b: Column, b_weights: Column, threshold: float) -> Column:
     """Whether two weighted sets (arrays of sorted elements and of weights) are as similar as that."""
 
@@ -58,6 +69,9 @@ def similar(a: Column, a_weights: Column, b: Column, b_weights: Column, threshol
             for column in columns:
                 ends = np.asarray(column.offsets)
                 parts.append((np.asarray(column.values), ends))
+            if all((v[e[0] : e[-1]] == 1).all() for v, e in parts[1::2]):
+                yield pa.array(_plain(*parts[0], *parts[2]) >= threshold - 1e-9)
+                continue
             out = []
             for k in range(len(columns[0])):
                 x, xw, y, yw = (v[e[k] : e[k + 1]] for v, e in parts)

@@ -8,6 +8,8 @@ standard 25 words this holds for all passages of over 50 words. Repetitive text
 place with the smallest hash, so that a passage which repeats itself is covered to its end; those of equal
 words are one node.
 
+Neighbouring paragraphs of a text that are as similar as the threshold are linked where they are found: a run.
+
 A paragraph is a set of shingles of five words. Bands of ``rows`` minimum hashes collect paragraphs that may
 be alike: with 5 bands of 2 a pair of similarity 0.8 meets with probability 0.994, of 0.9 with 0.9998, and paragraphs
 of equal words always meet and are always in one class. Colliding paragraphs of different words are verified by
@@ -16,7 +18,7 @@ a band is lost. A word replaced within a paragraph may take it below the thresho
 0.62); the untouched paragraphs of a longer passage still meet. A class is a repeat when at
 least two documents hold it; its first paragraph (smallest doc_id, then place) stays.
 
-Most paragraphs that meet are neighbours of one text, which overlap but are not alike. So a row in a bucket carries
+Most paragraphs that meet are neighbours of one text, either of one run, which needs no second link, or not alike. So a row carries its run, and a row in a bucket carries
 64 parities of its set: every bit in which those of two sets differ is an element that one of them lacks, so more
 bits than a similar pair's sets can differ by rule a pair out where it meets. In a bucket of up to CROWD paragraphs all pairs are looked
 at in this way; larger ones are not taken in pairs but by ``buckets``. Bands are dealt out one after
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.buckets import labelled, likely, link
+from tidewater.llm.buckets import labelled, link
 from tidewater.llm.components import components
 from tidewater.llm.minhash import shingle_sets, weighted
 from tidewater.llm.words import Words, mix, ngrams, pieces, shingles, words_of
@@ -54,6 +56,7 @@ BANDS, ROWS = 5, 2
 _GOLD = 0x9E3779B97F4A7C15
 _WRAP = (1 << 64) - 1
 _MET = 150_000  # paragraphs that a task remembers at once
+_PLAIN = {"parquet.enable.dictionary": "false"}  # hashes hardly repeat
 CROWD = 32  # paragraphs of a bucket that are taken in pairs
 _CHUNK = 1 << 16  # rows of buckets that are worked on at once
 
@@ -100,8 +103,29 @@ def parity(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.bitwise_xor.reduce(bits, 1), first.sum(1)
 
 
-def paragraphs(words: Words, length: int, bands: int, rows: int, met: set[int] | None = None) -> tuple[np.ndarray, ...]:
-    """Places of all paragraphs, the hash of each one's words, whether it is new to ``met``; of the new ones the band keys, parities and size."""
+def _near(bits: np.ndarray, size: np.ndarray, other_bits: np.ndarray, other_size: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the parities of two sets leave that similarity possible."""
+    return np.bitwise_count(bits ^ other_bits) * (1 + threshold) <= (size + other_size) * (1 - threshold) + 1e-6
+
+
+def runs(own: np.ndarray, bits: np.ndarray, size: np.ndarray, doc: np.ndarray, content: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each paragraph the smallest content of its run (neighbours of one text of which each is that similar to the next), and whether it is alone in it."""
+    at = np.flatnonzero((doc[1:] == doc[:-1]) & _near(bits[1:], size[1:], bits[:-1], size[:-1], threshold))
+    both = np.sort(np.concatenate([own[at], own[at + 1]], 1), 1)
+    whole = 1 + (both[:, 1:] != both[:, :-1]).sum(1)
+    other = np.ones(len(own), bool)
+    other[1 + at[size[at] + size[at + 1] - whole >= (threshold - 1e-9) * whole]] = False
+    starts = np.flatnonzero(other)
+    if not len(starts):
+        return content.view(np.int64), other
+    counts = np.diff(np.r_[starts, len(own)])
+    return np.repeat(np.minimum.reduceat(content.view(np.int64), starts), counts), np.repeat(counts == 1, counts)
+
+
+def paragraphs(
+    words: Words, length: int, bands: int, rows: int, met: set[int] | None = None, threshold: float = THRESHOLD
+) -> tuple[np.ndarray, ...]:
+    """Places of all paragraphs, the hash of each one's words, whether it is new to ``met``; of the new ones the band keys, parities and size; of all what ``runs`` says."""
     at = anchors(words, length)
     n = length - SHINGLE + 1
     grams = words.hash.copy()
@@ -116,6 +140,8 @@ def paragraphs(words: Words, length: int, bands: int, rows: int, met: set[int] |
         if c not in met:
             new[i] = True
             met.add(c)
+    bits, size = parity(own)
+    run, alone = runs(own, bits, size, words.doc[at], content, threshold)
     own = own[new]
     keys = np.empty((len(own), bands), np.uint64)
     for b in range(bands):
@@ -125,12 +151,12 @@ def paragraphs(words: Words, length: int, bands: int, rows: int, met: set[int] |
             least = mix(own ^ seed).min(1) if len(own) else np.zeros(0, np.uint64)
             key = mix(key * np.uint64(_GOLD) + least)
         keys[:, b] = key
-    return at, content, new, keys, *parity(own)
+    return at, content, new, keys, bits[new], size[new], run, alone
 
 
-def _places(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
-    """A row for each paragraph; parity, size and band keys are null where the task has met its words before."""
-    schema = "content long, doc_id long, text_hash long, start int, end int, size int, parity long"
+def _places(docs: DataFrame, length: int, bands: int, rows: int, threshold: float) -> DataFrame:
+    """A row for each paragraph; run is null where it is alone in it, parity, size and band keys where the task has met its words before."""
+    schema = "content long, doc_id long, text_hash long, start int, end int, run long, size int, parity long"
     schema += "".join(f", band_{b} long" for b in range(bands))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,12 +165,13 @@ def _places(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
             texts, ids, hashes = batch.column(1).to_pylist(), np.asarray(batch.column(0)), np.asarray(batch.column(2))
             for a, b in pieces(texts):
                 words = words_of(texts[a:b])
-                at, content, new, keys, bits, size = paragraphs(words, length, bands, rows, met)
+                at, content, new, keys, bits, size, run, alone = paragraphs(words, length, bands, rows, met, threshold)
                 if len(met) > _MET:
                     met.clear()
                 doc, row = words.doc[at], np.cumsum(new) - 1
                 start, end = words.start[at].astype(np.int32), words.end[at + length - 1].astype(np.int32)
                 columns = [pa.array(x) for x in (content.view(np.int64), ids[a:b][doc], hashes[a:b][doc], start, end)]
+                columns.append(pa.array(run, mask=alone))
                 for values in (size.astype(np.int32), bits.view(np.int64), *keys.view(np.int64).T):
                     columns.append(pa.array(values[row] if len(values) else np.zeros(len(at), values.dtype), mask=~new))
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
@@ -152,20 +179,24 @@ def _places(docs: DataFrame, length: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(task, schema)
 
 
-def _pairs(node: np.ndarray, bits: np.ndarray, size: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs of nodes of one bucket (``counts`` rows each) whose parities leave the similarity possible."""
+def _pairs(node: np.ndarray, bits: np.ndarray, size: np.ndarray, run: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Pairs of nodes of one bucket (``counts`` rows each), of different runs, whose parities leave the similarity possible."""
     end = np.repeat(np.cumsum(counts), counts)
     out, at = [np.zeros((0, 2), np.int64)], np.arange(len(node))
     for k in range(1, int(counts.max(initial=0))):
         at = at[at + k < end[at]]
-        apart, both = np.bitwise_count(bits[at] ^ bits[at + k]), size[at] + size[at + k]
-        good = at[apart * (1 + threshold) <= both * (1 - threshold) + 1e-6]
+        good = at[(run[at] != run[at + k]) & _near(bits[at], size[at], bits[at + k], size[at + k], threshold)]
         out.append(np.c_[node[good], node[good + k]])
     return np.concatenate(out)
 
 
 def _meetings(rows: DataFrame, threshold: float) -> DataFrame:
-    """What meets in the buckets of (bucket, node, size, parity): pairs (a, b), and (bucket, a) for each node of a bucket of more than CROWD."""
+    """What meets in the buckets of (bucket, node, size, parity): pairs (a, b), and (bucket, a) for each node of a bucket of more than CROWD.
+
+    With a column ``run``, pairs of one run are left out: they are linked already.
+    """
+    if "run" not in rows.columns:
+        rows = rows.withColumn("run", F.col("node"))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray] | None]:
         held, n = [], 0
@@ -179,32 +210,38 @@ def _meetings(rows: DataFrame, threshold: float) -> DataFrame:
             yield [np.concatenate(c) for c in zip(*held)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come by bucket and node. A chunk's last bucket waits for the next chunk; of a large one only its last row does, which is given out already.
-        held, given = None, False
+        # Rows come by bucket. A chunk's last bucket waits for the next chunk; of a large one the nodes are given out at once, and remembered up to a number.
+        held, open_, given = None, None, set()
         for chunk in itertools.chain(chunks(batches), [None]):
             if chunk is None and held is None:
                 return
             parts = [x for x in (held, chunk) if x is not None]
-            bucket, node, size, bits = (np.concatenate(c) for c in zip(*parts))
+            columns = [np.concatenate(c) for c in zip(*parts)]
+            order = np.lexsort((columns[1], columns[0]))
+            bucket, node = columns[0][order], columns[1][order]
             other = np.r_[True, bucket[1:] != bucket[:-1]]
             stay = other | np.r_[True, node[1:] != node[:-1]]
-            bucket, node, size, bits, other = bucket[stay], node[stay], size[stay], bits[stay], other[stay]
-            starts = np.flatnonzero(other)
+            bucket, node, size, bits, run = (x[order][stay] for x in columns)
+            starts = np.flatnonzero(other[stay])
             counts = np.diff(np.r_[starts, len(bucket)])
             large = counts > CROWD
-            large[0] |= given
+            again = bucket[0] == open_
+            large[0] |= again
             crowd = np.repeat(large, counts)
-            crowd[0] &= not given
-            small = ~np.repeat(large, counts)
-            held, given = None, False
-            if chunk is not None:
-                given = bool(large[-1])
-                first = len(bucket) - 1 if given else starts[-1]
-                held = [x[first:] for x in (bucket, node, size, bits)]
-                if not given:
-                    small[first:] = False
-                    large[-1] = True  # not yet
-            pairs = _pairs(node[small], bits[small].view(np.uint64), size[small], counts[~large], threshold)
+            small = ~crowd
+            if again:
+                crowd[: counts[0]] = [n not in given for n in node[: counts[0]].tolist()]
+            held = None
+            if chunk is not None and large[-1]:
+                if bucket[-1] != open_ or len(given) > _MET:
+                    given = set()
+                open_ = bucket[-1]
+                given.update(node[starts[-1] :].tolist())
+            elif chunk is not None:
+                held = [x[starts[-1] :] for x in (bucket, node, size, bits, run)]
+                small[starts[-1] :] = False
+                large[-1] = True  # not yet
+            pairs = _pairs(node[small], bits[small].view(np.uint64), size[small], run[small], counts[~large], threshold)
             none = pa.nulls(len(pairs), pa.int64()), pa.nulls(int(crowd.sum()), pa.int64())
             columns = [
                 pa.concat_arrays([none[0], pa.array(bucket[crowd])]),
@@ -213,17 +250,14 @@ def _meetings(rows: DataFrame, threshold: float) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "a", "b"])
 
-    dealt = rows.select("bucket", "node", "size", "parity").repartition("bucket").sortWithinPartitions("bucket", "node")
+    dealt = rows.select("bucket", "node", "size", "parity", "run").repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(task, "bucket long, a long, b long")
 
 
-def _texts_of(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text): the words of paragraphs, each from one of its places."""
-    known = likely(found.where("size is not null"), "content", nodes).join(nodes, F.col("content") == F.col("node"), "left_semi")
-    one = known.groupBy("content").agg(F.min(F.struct("doc_id", "text_hash", "start", "end")).alias("at"))
-    wanted = one.groupBy(F.col("at.doc_id").alias("of"), F.col("at.text_hash").alias("of_text")).agg(
-        F.collect_list(F.struct("content", "at.start", "at.end")).alias("wanted")
-    )
+def _texts_of(docs: DataFrame, once: DataFrame) -> DataFrame:
+    """(node, text): the words of the nodes among ``once``, each from its first place."""
+    wanted = once.where("node is not null").groupBy(F.col("first.doc_id").alias("of"), F.col("first.text_hash").alias("of_text"))
+    wanted = wanted.agg(F.collect_list(F.struct("content", "first.start", "first.end")).alias("wanted"))
     same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("of_text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,11 +289,13 @@ def _alike(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.select("a", "b", good.alias("good")).where("good").select("a", "b")
 
 
-def _labels(docs: DataFrame, found: DataFrame, bands: int, threshold: float) -> DataFrame:
-    """(node, label) of paragraphs of different words that are linked."""
+def _met(found: DataFrame, bands: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that meet in bands of up to CROWD paragraphs, and the (bucket, node) of larger ones."""
     met = []
     for b in range(bands):
-        rows = found.where("size is not null").select(F.col(f"band_{b}").alias("bucket"), F.col("content").alias("node"), "size", "parity")
+        rows = found.where("size is not null").select(
+            F.col(f"band_{b}").alias("bucket"), F.col("content").alias("node"), "size", "parity", F.coalesce("run", "content").alias("run")
+        )
         met.append(staged(_meetings(rows, threshold), "meetings"))
     every = met[0]
     for more in met[1:]:
@@ -268,8 +304,23 @@ def _labels(docs: DataFrame, found: DataFrame, bands: int, threshold: float) ->
     crowds = staged(every.where("bucket is not null").select("bucket", F.col("a").alias("node")), "crowds")
     for part in met:
         drop(part)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node"))
-    texts = staged(_texts_of(docs, found, staged(nodes.distinct(), "nodes")), "paragraph-texts")
+    return pairs, crowds
+
+
+def _links_of_runs(found: DataFrame, once: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b) that link the paragraphs of each run that another document or another link may join; the other runs are of one document."""
+    members = staged(found.where("run is not null").select("content", "run").distinct(), "runs")
+    met = once.where("run is not null and first.doc_id <> last").select("content")
+    for side in ("a", "b"):
+        met = met.unionByName(links.select(F.col(side).alias("content")))
+    wanted = members.join(met, "content", "left_semi").select("run").distinct()
+    wanted = members.join(wanted, "run", "left_semi").where("content <> run")
+    return staged(wanted.select(F.col("content").alias("a"), F.col("run").alias("b")), "links")
+
+
+def _labels(docs: DataFrame, found: DataFrame, once: DataFrame, pairs: DataFrame, crowds: DataFrame, threshold: float) -> DataFrame:
+    """(node, label) of paragraphs of different words that are linked."""
+    texts = staged(_texts_of(docs, once), "paragraph-texts")
     # Each paragraph's smallest partner first: most of a group of copies are in one component then.
     first = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
     links = staged(_alike(first, texts, threshold), "links")
@@ -285,7 +336,8 @@ def _labels(docs: DataFrame, found: DataFrame, bands: int, threshold: float) ->
             return sets.withColumn("weights", F.transform("weights", lambda w: F.lit(1)))
 
         links = links.unionByName(link(crowds, sets_of, threshold)[0])
-    labels = components(links)
+    links = staged(links, "links")
+    labels = components(links.unionByName(_links_of_runs(found, once, links)))
     for part in (pairs, first, rest, texts):
         drop(part)
     return labels
@@ -306,12 +358,16 @@ def repeats(
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    found = staged(_places(docs, length, bands, rows), "paragraphs")
-    labels = _labels(docs, found, bands, threshold)
+    found = staged(_places(docs, length, bands, rows, threshold), "paragraphs", **_PLAIN)
+    pairs, crowds = _met(found, bands, threshold)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node")).distinct()
+    place = F.struct("doc_id", "start", "text_hash", "end")
+    once = found.groupBy("content").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"), F.max("run").alias("run"))
+    once = once.join(staged(nodes, "nodes"), F.col("content") == F.col("node"), "left")
+    once = staged(once.where("node is not null or run is not null or first.doc_id <> last"), "met-or-repeated")
+    labels = _labels(docs, found, once, pairs, crowds, threshold)
     named = labels.unionByName(labels.select(F.col("label").alias("node"), "label")).distinct()
-    place = F.struct("doc_id", "start", "text_hash")
-    once = found.groupBy("content").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
-    once = once.join(named, F.col("content") == F.col("node"), "left").where("label is not null or first.doc_id <> last")
+    once = once.drop("node").join(named, F.col("content") == F.col("node"), "left").where("label is not null or first.doc_id <> last")
     once = staged(once.select("content", F.coalesce("label", "content").alias("class_id"), "first", "last"), "repeated")
     classes = once.groupBy(F.col("class_id").alias("class")).agg(F.min("first").alias("kept_at"), F.max("last").alias("last"))
     classes = classes.where("kept_at.doc_id <> last").select("class", "kept_at")
